@@ -1,0 +1,2 @@
+"""No streaming operators: the workload is batch only (the reporting delay is a
+plain column of day numbers), so this package is empty on purpose."""
