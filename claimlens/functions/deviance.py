@@ -1,8 +1,8 @@
 """Severity losses as aggregate expressions.
 
-Every function takes the observed and the fitted column and returns the *mean* loss;
-``unit_deviance`` is the term of one row.  Rows where a side is null or not positive
-have no deviance and are skipped.
+Every function takes the names of the observed and the fitted column and returns the
+*mean* loss; ``unit_deviance`` is the term of one row.  Rows where a side is null or not
+positive have no deviance and are skipped.
 """
 
 from __future__ import annotations
@@ -10,42 +10,48 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from claimlens.functions.numeric import ColumnLike, col
+from claimlens.functions.text import number, quoted
 
 
-def unit_deviance(y: ColumnLike, mu: ColumnLike, power: float) -> Column:
-    """Deviance of one observation under variance ``mu ** power``."""
-    y, mu = col(y), col(mu)
+def deviance_text(y: str, mu: str, power: float) -> str:
+    """Deviance of one observation under variance ``mu ** power``, as SQL text.
+
+    Powers 2 (gamma) and 3 (inverse Gaussian) have their own forms; the general one is
+    singular at 1 and 2.
+    """
+    y, mu, power = quoted(y), quoted(mu), float(power)
     if power in (0.0, 1.0):
         raise ValueError("severity deviances need a variance power other than 0 and 1")
     if power == 2.0:
-        term = 2.0 * ((y - mu) / mu + F.log(mu / y))
+        term = f"2D * (({y} - {mu}) / {mu} + ln({mu} / {y}))"
     elif power == 3.0:
-        term = (y - mu) * (y - mu) / (mu * mu * y)
+        term = f"({y} - {mu}) * ({y} - {mu}) / ({mu} * {mu} * {y})"
     else:
         a, b = 1.0 - power, 2.0 - power
-        term = 2.0 * (
-            F.pow(y, F.lit(b)) / (a * b)
-            - y * F.pow(mu, F.lit(a)) / a
-            + F.pow(mu, F.lit(b)) / b
+        term = (
+            f"2D * (pow({y}, {number(b)}) / {number(a * b)}"
+            f" - {y} * pow({mu}, {number(a)}) / {number(a)}"
+            f" + pow({mu}, {number(b)}) / {number(b)})"
         )
-    return F.when((y > 0) & (mu > 0), term)
+    return f"CASE WHEN {y} > 0 AND {mu} > 0 THEN {term} END"
+
+
+def unit_deviance(y: str, mu: str, power: float) -> Column:
+    return F.expr(deviance_text(y, mu, power))
 
 
-def square_loss(y: ColumnLike, mu: ColumnLike) -> Column:
-    difference = col(y) - col(mu)
-    return F.avg(difference * difference)
+def square_loss(y: str, mu: str) -> Column:
+    y, mu = quoted(y), quoted(mu)
+    return F.expr(f"avg(({y} - {mu}) * ({y} - {mu}))")
 
 
-def gamma_deviance(y: ColumnLike, mu: ColumnLike) -> Column:
+def gamma_deviance(y: str, mu: str) -> Column:
     return F.avg(unit_deviance(y, mu, 2.0))
 
 
-def inverse_gaussian_deviance(y: ColumnLike, mu: ColumnLike) -> Column:
+def inverse_gaussian_deviance(y: str, mu: str) -> Column:
     return F.avg(unit_deviance(y, mu, 3.0))
 
 
-def power_deviance(y: ColumnLike, mu: ColumnLike, power: float) -> Column:
-    """Power-variance deviance; powers 2 and 3 take the gamma and inverse-Gaussian
-    forms, the first because the general one is singular there."""
-    return F.avg(unit_deviance(y, mu, float(power)))
+def power_deviance(y: str, mu: str, power: float) -> Column:
+    return F.avg(unit_deviance(y, mu, power))

@@ -10,6 +10,9 @@ from pyspark.ml.regression import (
     GeneralizedLinearRegressionModel,
 )
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from claimlens.functions.text import linear
 
 
 def severity_glm(power: float, **settings: object) -> GeneralizedLinearRegression:
@@ -43,5 +46,7 @@ def predict_glm(
     features: Sequence[str],
     name: str,
 ) -> DataFrame:
-    model = model.copy().setPredictionCol(name)
-    return model.transform(assemble(df, features)).drop("design")
+    """Add the fitted mean: the exponential of the linear predictor, as a plain column
+    expression.  A row with a missing feature gets null."""
+    eta = linear(features, list(model.coefficients), model.intercept)
+    return df.withColumn(name, F.expr(f"exp({eta})"))

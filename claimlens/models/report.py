@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.deviance import unit_deviance
+from claimlens.functions.deviance import deviance_text
+from claimlens.functions.text import literal, quoted, rows
 from claimlens.schema import METRICS, POWER
 
 
@@ -24,24 +25,19 @@ def loss_report(
     ``avg_size`` is the mean test prediction.
     """
     kinds = [("p2", 2.0, 1), ("pp", power, 10), ("p3", 3.0, 1000)]
-    sums, rows = [], []
+    sums, table = [], []
     for m, name in enumerate(predictions):
         for split in ("learn", "test"):
             for kind, p, unit in kinds:
                 label = f"m{m}_{split}_{kind}"
-                sums.append(
-                    F.avg(F.when(F.col("split") == split, unit_deviance(claim, name, p))).alias(label)
-                )
-                rows.append((name, f"{split}_{kind}", F.round(F.col(label) * unit, 4)))
-        sums.append(F.avg(F.when(F.col("split") == "test", F.col(name))).alias(f"m{m}_avg"))
-        rows.append((name, "avg_size", F.round(F.col(f"m{m}_avg"), 0)))
-    table = F.array(
-        *[
-            F.struct(F.lit(model).alias("model"), F.lit(key).alias("key"), value.alias("value"))
-            for model, key, value in rows
-        ]
+                loss = deviance_text(claim, name, p)
+                sums.append(f"avg({loss}) FILTER (WHERE split = '{split}') AS {label}")
+                table.append((name, f"{split}_{kind}", f"round({label} * {unit}, 4)"))
+        sums.append(f"avg({quoted(name)}) FILTER (WHERE split = 'test') AS m{m}_avg")
+        table.append((name, "avg_size", f"round(m{m}_avg, 0)"))
+    return df.agg(*[F.expr(s) for s in sums]).selectExpr(
+        rows([{"model": literal(m), "key": literal(k), "value": v} for m, k, v in table])
     )
-    return df.agg(*sums).select(F.inline(table))
 
 
 def loss_curve(history: DataFrame, ids: Sequence[str] = ()) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.functions.text import linear, number, quoted
 from claimlens.models import nets
 from claimlens.models.training import NetModel
 from claimlens.schema import MODEL_FEATURES
@@ -72,32 +73,24 @@ def score_expressions(
     spec = model.spec
     parts = spec.unpack(model.theta)
 
-    def affine(inputs: Sequence[str], w: np.ndarray, b: np.ndarray) -> list[Column]:
-        out = []
-        for j in range(len(b)):
-            total = F.lit(float(b[j]))
-            for i, name in enumerate(inputs):
-                total = total + F.col(name) * F.lit(float(w[i, j]))
-            out.append(total)
-        return out
-
-    keep = list(df.columns)
-    out = df.select(*keep, *[c.alias(f"_x{i}") for i, c in enumerate(_inputs(features))])
+    keep = [quoted(c) for c in df.columns]
     x = [f"_x{i}" for i in range(len(features))]
+    out = df.selectExpr(*keep, *[f"CAST({quoted(f)} AS DOUBLE) AS {n}" for f, n in zip(features, x)])
+
+    def affine(inputs: Sequence[str], w: np.ndarray, b: np.ndarray) -> list[str]:
+        return [linear(inputs, w[:, j], b[j]) for j in range(len(b))]
+
     inputs = x
     for layer in range(len(spec.hidden)):
         nodes = affine(inputs, *parts[layer])
-        carried = keep + (x if spec.kind == "localglm" else [])
         inputs = [f"_h{layer}_{j}" for j in range(len(nodes))]
-        out = out.select(*carried, *[F.tanh(c).alias(n) for c, n in zip(nodes, inputs)])
-    if spec.kind == "ffn":
-        (eta,) = affine(inputs, *parts[-1])
-        return out.select(*keep, F.exp(eta).alias(spec.name))
-    betas = affine(inputs, *parts[-2])
-    total = betas[0] * F.col(x[0])
-    for beta, name in zip(betas[1:], x[1:]):
-        total = total + beta * F.col(name)
+        carried = keep + (x if spec.kind == "localglm" else [])
+        out = out.selectExpr(*carried, *[f"tanh({t}) AS {n}" for t, n in zip(nodes, inputs)])
     w, b = parts[-1]
-    return out.select(
-        *keep, F.exp(total * F.lit(float(w[0, 0])) + F.lit(float(b[0]))).alias(spec.name)
-    )
+    if spec.kind == "ffn":
+        (eta,) = affine(inputs, w, b)
+    else:
+        betas = affine(inputs, *parts[-2])
+        total = " + ".join(f"({beta}) * {name}" for beta, name in zip(betas, x))
+        eta = f"({total}) * {number(w[0, 0])} + {number(b[0])}"
+    return out.selectExpr(*keep, f"exp({eta}) AS {quoted(spec.name)}")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import hash32
+from claimlens.functions.text import literal, number, quoted, rows
 from claimlens.operators.ordering import value_ladder
 from claimlens.sources.storage import stage
 
@@ -20,26 +21,47 @@ SPREAD = 256
 
 
 def pearson(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
-    """All pairs in one aggregation; a column without spread gives null."""
-    numeric = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    """Correlation of every pair; a column without spread gives null.
+
+    A first aggregation takes means, spreads and null counts, a second the sums of
+    centered products of all pairs.  With nulls present each pair uses its own complete
+    rows, as ``corr`` does.
+    """
+    numeric = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in cols])
+    stats = numeric.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
+        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
+        *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)],
+    ).first()
+    n = stats["n"]
+    complete = all(stats[f"n_{i}"] == n for i in range(len(cols)))
+
+    def centered(i: int) -> str:
+        return f"({quoted(cols[i])} - {number(stats[f'm_{i}'])})"
+
+    def pair(i: int, j: int) -> str:
+        if not stats[f"s_{i}"] or not stats[f"s_{j}"]:
+            return "CAST(NULL AS DOUBLE)"
+        if i == j:
+            return "1D"
+        if not complete:
+            return f"corr({quoted(cols[i])}, {quoted(cols[j])})"
+        scale = number(n * stats[f"s_{i}"] * stats[f"s_{j}"])
+        return f"sum({centered(i)} * {centered(j)}) / {scale}"
+
+    size = range(len(cols))
+    pairs = [(i, j) for i in size for j in size if i <= j]
     one_row = numeric.agg(
-        *[
-            (F.corr(a, b) if a != b else F.when(F.var_pop(a) > 0, F.lit(1.0))).alias(f"r{k}")
-            for k, (a, b) in enumerate(pairs)
-        ]
+        F.count(F.lit(1)), *[F.expr(f"{pair(i, j)} AS r{i}_{j}") for i, j in pairs]
     )
-    index = {pair: k for k, pair in enumerate(pairs)}
-
-    def entry(a: str, b: str) -> Column:
-        r = F.col(f"r{index.get((a, b), index.get((b, a)))}")
-        return F.struct(
-            F.lit(a).alias("a"),
-            F.lit(b).alias("b"),
-            (r if digits is None else F.round(r, digits)).alias("r"),
-        )
 
-    return one_row.select(F.inline(F.array(*[entry(a, b) for a in cols for b in cols])))
+    def entry(i: int, j: int) -> dict[str, str]:
+        value = f"r{min(i, j)}_{max(i, j)}"
+        r = value if digits is None else f"round({value}, {digits})"
+        return {"a": literal(cols[i]), "b": literal(cols[j]), "r": r}
+
+    return one_row.selectExpr(rows([entry(i, j) for i in size for j in size]))
 
 
 def mid_ranks(df: DataFrame, cols: Sequence[str], name: str = "ranks") -> DataFrame:
@@ -71,14 +93,14 @@ def with_ranks(
     join key spread over many partitions, so no partition holds a hot value.
     """
     sizes = {
-        r["feature"]: (r["values"], r["rows"])
+        r["feature"]: (r["values"], r["total"])
         for r in ranks.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("values"), F.sum("cnt").alias("rows"))
+        .agg(F.count(F.lit(1)).alias("values"), F.sum("cnt").alias("total"))
         .collect()
     }
     out = df
     for c in cols:
-        values, rows = sizes.get(c, (0, 0))
+        values, total = sizes.get(c, (0, 0))
         table = ranks.filter(F.col("feature") == c).select(
             F.col("value").alias("_v"), F.col("mid_rank").alias("_r"), "cnt"
         )
@@ -86,10 +108,10 @@ def with_ranks(
         if values <= broadcast_values:
             joined = out.join(F.broadcast(table.drop("cnt")), x == F.col("_v"), "left")
         else:
-            hot = table.filter(F.col("cnt") > rows / HOT_SHARE).select(
+            hot = table.filter(F.col("cnt") > total / HOT_SHARE).select(
                 F.col("_v").alias("_hv"), F.col("_r").alias("_hr")
             )
-            cold = table.filter(F.col("cnt") <= rows / HOT_SHARE).select("_v", "_r", F.lit(0).alias("_s"))
+            cold = table.filter(F.col("cnt") <= total / HOT_SHARE).select("_v", "_r", F.lit(0).alias("_s"))
             # rows with no value join nothing either; they are spread the same way
             settled = F.col("_hr").isNotNull() | x.isNull()
             spread = F.when(settled, 1 + hash32(0, row_key) % SPREAD).otherwise(0).cast("int")

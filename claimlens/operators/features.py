@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import clamp, hash_normal, hash_uniform
+from claimlens.functions.text import quoted
 from claimlens.operators.encoding import category_levels, level_code, one_hot
 from claimlens.operators.scaling import fit_scaling, standardize
 from claimlens.schema import CATEGORICAL, CUT_OFFS, SEED
@@ -107,4 +108,5 @@ def apply_features(df: DataFrame, spec: FeatureSpec, id_col: str = "Id") -> Data
 
 def design_array(df: DataFrame, features: list[str], name: str = "design") -> DataFrame:
     """Add the model features as one array in fixed order."""
-    return df.withColumn(name, F.array(*[F.col(f).cast("double") for f in features]))
+    values = ", ".join(f"CAST({quoted(f)} AS DOUBLE)" for f in features)
+    return df.withColumn(name, F.expr(f"array({values})"))

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimlens.functions.text import number, quoted
+
 Setting = bool | Sequence[float]
 
 
@@ -21,27 +23,26 @@ def _check(what: str, setting: Setting, n: int) -> None:
 
 def _statistics(
     cols: Sequence[str], center: Setting, scale: Setting
-) -> tuple[list[Column], list[Column]]:
+) -> tuple[list[str], list[str]]:
     """Aggregate expressions for the center and the spread of every column."""
     centers, spreads = [], []
     for i, name in enumerate(cols):
-        x = F.col(name).cast("double")
-        others = F.greatest(F.count(x) - 1, F.lit(1))
+        x = f"CAST({quoted(name)} AS DOUBLE)"
         if center is True:
-            middle = F.avg(x)
-            squares = F.var_pop(x) * F.count(x)
+            middle = f"avg({x})"
+            squares = f"var_pop({x}) * count({x})"
         elif center is False:
-            middle = F.lit(0.0)
-            squares = F.sum(x * x)
+            middle = "0D"
+            squares = f"sum({x} * {x})"
         else:
-            middle = F.lit(float(center[i]))
-            squares = F.sum((x - middle) * (x - middle))
+            middle = number(center[i])
+            squares = f"sum(({x} - {middle}) * ({x} - {middle}))"
         if scale is True:
-            spread = F.sqrt(squares / others)
+            spread = f"sqrt({squares} / greatest(count({x}) - 1, 1))"
         elif scale is False:
-            spread = F.lit(1.0)
+            spread = "1D"
         else:
-            spread = F.lit(float(scale[i]))
+            spread = number(scale[i])
         centers.append(middle)
         spreads.append(spread)
     return centers, spreads
@@ -71,15 +72,18 @@ def standardize(
     if not isinstance(center, bool) and not isinstance(scale, bool):
         return df.withColumns(
             {
-                target[c]: _scaled(F.col(c), F.lit(float(m)), F.lit(float(s)))
+                target[c]: F.expr(
+                    f"(CAST({quoted(c)} AS DOUBLE) - {number(m)}) / "
+                    + (number(s) if s else "CAST(NULL AS DOUBLE)")
+                )
                 for c, m, s in zip(cols, center, scale)
             }
         )
     centers, spreads = _statistics(cols, center, scale)
     stats = df.agg(
         F.struct(
-            *[m.alias(f"m{i}") for i, m in enumerate(centers)],
-            *[s.alias(f"s{i}") for i, s in enumerate(spreads)],
+            *[F.expr(f"{m} AS m{i}") for i, m in enumerate(centers)],
+            *[F.expr(f"{s} AS s{i}") for i, s in enumerate(spreads)],
         ).alias("stats")
     ).scalar()
     return df.withColumns(
@@ -101,9 +105,10 @@ def fit_scaling(
     _check("scale", scale, len(cols))
     centers, spreads = _statistics(cols, center, scale)
     row = df.agg(
-        *[m.alias(f"m{i}") for i, m in enumerate(centers)],
-        *[s.alias(f"s{i}") for i, s in enumerate(spreads)],
-    ).first()
+        F.count(F.lit(1)),
+        *[F.expr(f"{m} AS m{i}") for i, m in enumerate(centers)],
+        *[F.expr(f"{s} AS s{i}") for i, s in enumerate(spreads)],
+    ).first()[1:]
     n = len(cols)
     return (
         [0.0 if v is None else float(v) for v in row[:n]],
