@@ -67,7 +67,7 @@ class RunLog:
 
     def runs(self) -> DataFrame:
         table = self.spark.read.schema(RUNS_SCHEMA).parquet(self.runs_path)
-        return table.filter(F.col("experiment") == self.experiment)
+        return table.filter(F.col("experiment") == self.experiment).select(*RUNS_SCHEMA.names)
 
     def weights(self, run_id: str) -> DataFrame:
         return self.spark.read.parquet(self.weights_path).filter(F.col("run_id") == run_id)
