@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,34 +22,54 @@ HOT_SHARE = 1000
 SPREAD = 256
 
 
-def pearson(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
+@dataclass(frozen=True)
+class ColumnStats:
+    """Rows, and per column: non-null rows, mean, population deviation."""
+
+    n: int
+    counts: list[int]
+    means: list[float]
+    spreads: list[float]
+
+
+def _column_stats(numeric: DataFrame, cols: Sequence[str]) -> ColumnStats:
+    k = len(cols)
+    row = numeric.agg(
+        F.count(F.lit(1)),
+        *[F.count(c) for c in cols],
+        *[F.avg(c) for c in cols],
+        *[F.stddev_pop(c) for c in cols],
+    ).first()
+    return ColumnStats(row[0], row[1 : k + 1], row[k + 1 : 2 * k + 1], row[2 * k + 1 :])
+
+
+def pearson(
+    df: DataFrame,
+    cols: Sequence[str],
+    digits: int | None = 2,
+    stats: ColumnStats | None = None,
+) -> DataFrame:
     """Correlation of every pair; a column without spread gives null.
 
-    A first aggregation takes means, spreads and null counts, a second the sums of
-    centered products of all pairs.  With nulls present each pair uses its own complete
-    rows, as ``corr`` does.
+    A first aggregation takes means, spreads and null counts (unless known), a second
+    the sums of centered products of all pairs.  With nulls present each pair uses its
+    own complete rows, as ``corr`` does.
     """
     numeric = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in cols])
-    stats = numeric.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)],
-        *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)],
-    ).first()
-    n = stats["n"]
-    complete = all(stats[f"n_{i}"] == n for i in range(len(cols)))
+    stats = stats or _column_stats(numeric, cols)
+    complete = all(count == stats.n for count in stats.counts)
 
     def centered(i: int) -> str:
-        return f"({quoted(cols[i])} - {number(stats[f'm_{i}'])})"
+        return f"({quoted(cols[i])} - {number(stats.means[i])})"
 
     def pair(i: int, j: int) -> str:
-        if not stats[f"s_{i}"] or not stats[f"s_{j}"]:
+        if not stats.spreads[i] or not stats.spreads[j]:
             return "CAST(NULL AS DOUBLE)"
         if i == j:
             return "1D"
         if not complete:
             return f"corr({quoted(cols[i])}, {quoted(cols[j])})"
-        scale = number(n * stats[f"s_{i}"] * stats[f"s_{j}"])
+        scale = number(stats.n * stats.spreads[i] * stats.spreads[j])
         return f"sum({centered(i)} * {centered(j)}) / {scale}"
 
     size = range(len(cols))
@@ -65,39 +87,51 @@ def pearson(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataF
 
 
 def mid_ranks(df: DataFrame, cols: Sequence[str], name: str = "ranks") -> DataFrame:
-    """Distinct values per column with the average rank of their rows (written once)."""
+    """Distinct values per column with the average rank of their rows and the column's
+    row count (written once)."""
     ladder = value_ladder(df, cols, name)
-    return stage(
-        ladder.select(
-            "feature",
-            "value",
-            "cnt",
-            (F.col("cum") - (F.col("cnt") - 1) / 2).alias("mid_rank"),
-        ),
-        f"{name}-mid",
+    ranked = ladder.withColumn("mid_rank", F.col("cum") - (F.col("cnt") - 1) / 2)
+    staged = stage(ranked, f"{name}-mid")
+    totals = staged.groupBy("feature").agg(F.max("cum").alias("total"))
+    # one row per column
+    return staged.join(F.broadcast(totals), "feature").select(
+        "feature", "value", "cnt", "mid_rank", "total"
     )
 
 
+def _rank_stats(ranks: DataFrame) -> dict[str, tuple[int, int, float, float]]:
+    """Per column: distinct values, rows, mean and population deviation of the ranks."""
+    mean = F.sum(F.col("cnt") * F.col("mid_rank")) / F.sum("cnt")
+    # ranks of n rows have mean (n + 1) / 2; squares are taken around it
+    away = F.col("mid_rank") - (F.col("total") + 1) / 2
+    return {
+        r["feature"]: (r["values"], r["total"], r["mean"], math.sqrt(r["variance"]))
+        for r in ranks.groupBy("feature", "total")
+        .agg(
+            F.count(F.lit(1)).alias("values"),
+            mean.alias("mean"),
+            (F.sum(F.col("cnt") * away * away) / F.sum("cnt")).alias("variance"),
+        )
+        .collect()
+    }
+
+
 def with_ranks(
     df: DataFrame,
     cols: Sequence[str],
     ranks: DataFrame,
     row_key: str,
+    sizes: dict[str, tuple[int, int]],
     broadcast_values: int = BROADCAST_VALUES,
 ) -> DataFrame:
     """Replace every column by the average rank of its value.
 
-    A column with few distinct values takes its ranks from a broadcast table (its size
-    is counted first).  One with many is joined by shuffle; its hot values are looked up
-    from a broadcast table that is small by the pigeonhole rule, and their rows get a
-    join key spread over many partitions, so no partition holds a hot value.
+    ``sizes``: distinct values and rows per column.  A column with few distinct values
+    takes its ranks from a broadcast table.  One with many is joined by shuffle; its hot
+    values are looked up from a broadcast table that is small by the pigeonhole rule, and
+    their rows get a join key spread over many partitions, so no partition holds a hot
+    value.
     """
-    sizes = {
-        r["feature"]: (r["values"], r["total"])
-        for r in ranks.groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("values"), F.sum("cnt").alias("total"))
-        .collect()
-    }
     out = df
     for c in cols:
         values, total = sizes.get(c, (0, 0))
@@ -135,4 +169,12 @@ def spearman(
     """Pearson correlation of average ranks."""
     numeric = df.select(row_key, *[F.col(c).cast("double").alias(c) for c in cols])
     ranks = mid_ranks(numeric, cols)
-    return pearson(with_ranks(numeric, cols, ranks, row_key, broadcast_values), cols, digits)
+    known = _rank_stats(ranks)
+    none = (0, 0, 0.0, 0.0)
+    per_column = [known.get(c, none) for c in cols]
+    sizes = {c: k[:2] for c, k in zip(cols, per_column)}
+    ranked = with_ranks(numeric, cols, ranks, row_key, sizes, broadcast_values)
+    stats = ColumnStats(
+        df.count(), *[[k[i] for k in per_column] for i in (1, 2, 3)]
+    )
+    return pearson(ranked, cols, digits, stats)

@@ -43,7 +43,9 @@ def kernel_density(
     if bandwidth is None:
         quartile = {
             r["prob"]: r["quantile"]
-            for r in exact_quantiles(df, value, [0.25, 0.75], small_group=small_group).collect()
+            for r in exact_quantiles(
+                df, value, [0.25, 0.75], small_group=small_group, at_most=n
+            ).collect()
         }
         bandwidth = reference_bandwidth(n, stats["sd"], quartile[0.75] - quartile[0.25], lo)
     step = (hi - lo) / (grid - 1)

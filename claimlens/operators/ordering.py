@@ -12,12 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.functions.text import quoted
 from claimlens.sources.storage import stage
 
 # monotonically_increasing_id = partition number in the bits from 33 up, position below
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
+# distinct values up to which running counts may be made in one task per column
+FEW_VALUES = 300_000
+
 
 def _sorted_stage(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -49,20 +53,29 @@ def dense_ids(
     )
 
 
-def value_ladder(df: DataFrame, cols: Sequence[str], name: str = "ladder") -> DataFrame:
+def value_ladder(
+    df: DataFrame, cols: Sequence[str], name: str = "ladder", few_values: int = FEW_VALUES
+) -> DataFrame:
     """Distinct values per column with their counts and running counts.
 
     Rows are ``feature, value, cnt, cum``: ``cum`` rows of that column are <= ``value``.
     Nulls are left out.  Equal values are merged before the first shuffle, so a value
-    held by a large share of the rows is one row per map task.
+    held by a large share of the rows is one row per map task.  With at most
+    ``few_values`` distinct values in all (counted) a window per column adds them up;
+    beyond that the sorted ranges do.
     """
-    counts = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    casts = [f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in cols]
+    counts = stage(
+        df.selectExpr(*casts)
         .unpivot([], list(cols), "feature", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("cnt"))
+        .agg(F.count(F.lit(1)).alias("cnt")),
+        f"{name}-counts",
     )
+    if counts.count() <= few_values:
+        upto = Window.partitionBy("feature").orderBy("value")
+        return counts.withColumn("cum", F.sum("cnt").over(upto))
     staged = _sorted_stage(counts, [F.col("feature"), F.col("value")], name)
     before = (
         Window.partitionBy("feature")

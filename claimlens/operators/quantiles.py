@@ -182,14 +182,17 @@ def exact_quantiles(
     small_group: int = SMALL_GROUP,
     few_rows: int = FEW_ROWS,
     bins: int = BINS,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation between order statistics.
 
     Returns ``by..., prob, quantile``.  Nulls are skipped; a group without values gives
-    null quantiles.  ``by`` must describe few groups.
+    null quantiles.  ``by`` must describe few groups.  ``at_most`` is a bound on the rows
+    of a group, where the caller has counted already.
     """
     by, probs = list(by), [float(p) for p in probs]
-    groups = _group_stats(df, value, by)
+    small = at_most is not None and at_most <= small_group
+    groups = [] if small else _group_stats(df, value, by)
     if all(g["n"] <= small_group for g in groups):
         listed = df.groupBy(*by).agg(
             F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_q")

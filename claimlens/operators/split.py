@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimlens.functions.numeric import hash32
-from claimlens.operators.quantiles import order_statistic
+from claimlens.operators.quantiles import FEW_ROWS, order_statistic
 from claimlens.schema import SEED, VALIDATION_SPLIT
 
 BLOCK = 5
+KEY_SPACE = 1 << 32
+RANGES = 4096
 
 
 def is_test(id_col: str = "Id", seed: int = SEED) -> Column:
@@ -52,28 +54,61 @@ def test_rows(df: DataFrame) -> DataFrame:
     return df.filter(F.col("split") == "test")
 
 
+def _boundary(
+    df: DataFrame, key: str, id_col: str, fraction: Fraction, few_rows: int
+) -> tuple[int, int] | None:
+    """(key, id) of the first row of the tail in (key, id) order; None for an empty tail.
+
+    Rows are counted per range of keys (at most ``RANGES`` counts come back), and the
+    range holding the boundary is narrowed until it has few rows.  The first pass also
+    gives the row count.
+    """
+    lo, hi, rank = 0, KEY_SPACE, None
+    while True:
+        width = -(-(hi - lo) // RANGES)
+        counts = sorted(
+            df.filter((F.col(key) >= lo) & (F.col(key) < hi))
+            .groupBy(F.floor((F.col(key) - lo) / width).cast("int").alias("range"))
+            .count()
+            .collect()
+        )
+        if rank is None:
+            n = sum(c for _, c in counts)
+            rank = math.floor(n * (1 - fraction))
+            if rank >= n:
+                return None
+        for index, count in counts:
+            if rank < count:
+                break
+            rank -= count
+        lo, hi = lo + index * width, min(lo + (index + 1) * width, hi)
+        if count <= few_rows or width == 1:
+            break
+    inside = df.filter((F.col(key) >= lo) & (F.col(key) < hi))
+    if count > few_rows:
+        # very many rows share one key, which a hash of unique ids does not produce
+        return lo, int(order_statistic(inside, id_col, rank)[0])
+    found = inside.agg(F.array_sort(F.collect_list(F.struct(key, id_col))).alias("rows"))
+    row = found.select(F.element_at("rows", F.lit(rank + 1))).first()[0]
+    return row[0], row[1]
+
+
 def with_validation(
     df: DataFrame,
     fraction: float = VALIDATION_SPLIT,
     key: str = "shuffle_key",
     id_col: str = "Id",
     flag: str = "is_validation",
+    few_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """Flag the last ``fraction`` of the rows in shuffle order.
 
-    Only the (key, id) at the boundary is needed, so the rows are not sorted: the
-    boundary key is located by counting, and the few ids sharing that 32-bit key
-    (a chance collision of unique ids) decide the rest.
+    Only the row at the boundary has to be found, so nothing is sorted or shuffled: the
+    flag compares each row with it.
     """
-    n = df.count()
-    first = math.floor(n * (1 - Fraction(str(fraction))))
-    if first >= n:
+    boundary = _boundary(df, key, id_col, Fraction(str(fraction)), few_rows)
+    if boundary is None:
         return df.withColumn(flag, F.lit(False))
-    boundary, below = order_statistic(df, key, first)
-    boundary = int(boundary)
-    tied = df.filter(F.col(key) == boundary).agg(
-        F.array_sort(F.collect_list(id_col)).alias("ids")
-    )
-    boundary_id = tied.select(F.element_at("ids", F.lit(first - below + 1))).first()[0]
-    k, i = F.col(key), F.col(id_col)
-    return df.withColumn(flag, (k > boundary) | ((k == boundary) & (i >= boundary_id)))
+    k, i = boundary
+    key_, id_ = F.col(key), F.col(id_col)
+    return df.withColumn(flag, (key_ > k) | ((key_ == k) & (id_ >= i)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,15 +46,15 @@ def log_survival(points: DataFrame) -> DataFrame:
 
 
 def bin_points(
-    points: DataFrame, x: str, y: str, weight: str, bins: int = 4096
+    points: DataFrame, x: str, y: str, weight: str, lo: float, hi: float, bins: int = 4096
 ) -> DataFrame:
-    """Merge points into equal-width cells of ``x``: weighted mean x, mean y, weight."""
-    ends = points.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi")).alias("ends")).scalar()
-    width = F.nullif(ends["hi"] - ends["lo"], F.lit(0.0))
-    cell = F.least(F.floor((F.col(x) - ends["lo"]) / width * bins), F.lit(bins - 1))
+    """Merge points into equal-width cells of [lo, hi]: weighted mean x, mean y, weight."""
+    cell = F.lit(0)
+    if hi > lo:
+        cell = F.least(F.floor((F.col(x) - lo) / (hi - lo) * bins), F.lit(bins - 1))
     w = F.col(weight)
     return (
-        points.groupBy(F.coalesce(cell, F.lit(0)).alias("cell"))
+        points.groupBy(cell.alias("cell"))
         .agg(
             (F.sum(w * F.col(x)) / F.sum(w)).alias("x"),
             (F.sum(w * F.col(y)) / F.sum(w)).alias("y"),
@@ -78,23 +80,24 @@ def local_quadratic(
     fit.  The points are first merged into ``bins`` cells, so the work per grid point is
     bounded; ``bins=None`` uses every point and is meant for small tables.
     """
-    ends = points.agg(
-        F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum(weight).alias("n")).alias("e")
-    ).scalar()
+    ends = points.agg(F.min(x), F.max(x), F.sum(weight)).first()
+    if ends[0] is None:
+        raise ValueError("no points to smooth")
+    lo, hi, n = float(ends[0]), float(ends[1]), int(ends[2])
     if bins is None:
         cells = points.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(weight).alias("w"))
     else:
-        cells = bin_points(points, x, y, weight, bins)
-    step = (ends["hi"] - ends["lo"]) / (grid - 1)
+        cells = bin_points(points, x, y, weight, lo, hi, bins)
+    step = (hi - lo) / (grid - 1)
     at_grid = cells.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(grid - 1)))).withColumn(
-        "x0", ends["lo"] + F.col("i") * step
+        "x0", lo + F.col("i") * step
     )
     # at most ``bins`` rows per grid point
     near = Window.partitionBy("i")
     reached = F.sum("w").over(
         near.orderBy("d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    needed = F.floor(ends["n"] * alpha + 1e-9)
+    needed = math.floor(n * alpha + 1e-9)
     weighed = (
         at_grid.withColumn("d", F.abs(F.col("x") - F.col("x0")))
         .withColumn("reached", reached)

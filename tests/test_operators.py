@@ -133,8 +133,9 @@ def test_dense_ids_do_not_depend_on_partitions(spark, hot):
     assert first == {r["k"]: i + 1 for i, r in enumerate(rows)}
 
 
-def test_value_ladder(hot):
-    rows = value_ladder(hot, ["x", "z"]).collect()
+@pytest.mark.parametrize("few_values", [0, 10**6])
+def test_value_ladder(hot, few_values):
+    rows = value_ladder(hot, ["x", "z"], few_values=few_values).collect()
     for feature in ("x", "z"):
         values = np.sort([r[feature] for r in hot.collect()])
         for r in rows:
@@ -162,18 +163,19 @@ def test_split_does_not_depend_on_partitions(lab):
     assert pick(silver) == pick(silver.repartition(5, "Id"))
 
 
-@pytest.mark.parametrize("n", [1, 4, 5, 7, 1000])
-def test_validation_tail(spark, n):
+@pytest.mark.parametrize("n, few_rows", [(1, 10), (4, 10), (5, 1), (7, 10), (1000, 1), (9000, 2)])
+def test_validation_tail(spark, n, few_rows):
     df = with_split(spark.range(1, n + 1).withColumnRenamed("id", "Id"))
-    rows = sorted(with_validation(df).collect(), key=lambda r: (r["shuffle_key"], r["Id"]))
+    rows = sorted(with_validation(df, few_rows=few_rows).collect(), key=lambda r: (r["shuffle_key"], r["Id"]))
     kept = n * 4 // 5
     assert [r["is_validation"] for r in rows] == [False] * kept + [True] * (n - kept)
 
 
 def test_validation_tail_with_equal_keys(spark):
     df = spark.range(1, 101).select(F.col("id").alias("Id"), F.lit(5).cast("bigint").alias("shuffle_key"))
-    held = {r["Id"] for r in with_validation(df).filter("is_validation").collect()}
-    assert held == set(range(81, 101))
+    for few_rows in (10, 1000):
+        flagged = with_validation(df, few_rows=few_rows).filter("is_validation")
+        assert {r["Id"] for r in flagged.collect()} == set(range(81, 101))
 
 
 # --- quantiles and summaries -------------------------------------------------------
@@ -279,7 +281,8 @@ def test_ranks_by_broadcast_and_by_shuffle(hot):
     ranks = mid_ranks(table, ["x", "z"])
 
     def collect(limit):
-        out = with_ranks(table.select("k", "x", "z"), ["x", "z"], ranks, "k", limit)
+        sizes = {c: (table.select(c).distinct().count(), 4900) for c in ("x", "z")}
+        out = with_ranks(table.select("k", "x", "z"), ["x", "z"], ranks, "k", sizes, limit)
         return {r["k"]: (r["x"], r["z"]) for r in out.collect()}
 
     near, far = collect(10**6), collect(0)
@@ -295,6 +298,10 @@ def test_ranks_by_broadcast_and_by_shuffle(hot):
 def test_spearman_ignores_monotone_transforms(hot):
     changed = hot.withColumn("w", F.log("z"))
     got = {(r["a"], r["b"]): r["r"] for r in spearman(changed, ["x", "z", "w"], "k", None).collect()}
+    data = [(r["x"], r["z"]) for r in hot.collect()]
+    ranks = np.array([[(np.searchsorted(s, v) + np.searchsorted(s, v, "right") + 1) / 2 for v in column]
+                      for column in zip(*data) for s in [np.sort(column)]])
+    assert got["x", "z"] == pytest.approx(np.corrcoef(ranks)[0, 1])
     assert got["x", "z"] == pytest.approx(got["x", "w"]) and got["z", "w"] == pytest.approx(1)
 
 
