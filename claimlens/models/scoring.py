@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.text import linear, number, quoted
 from claimlens.models import nets
 from claimlens.models.training import NetModel
+from claimlens.operators.features import FeatureSpec, apply_features
 from claimlens.schema import MODEL_FEATURES
 
 cloudpickle.register_pickle_by_value(nets)
@@ -45,6 +46,16 @@ def score(
     )
 
 
+def score_claims(df: DataFrame, spec: FeatureSpec, models: Sequence[NetModel]) -> DataFrame:
+    """Predictions for raw claims from kept models and the kept feature preparation.
+
+    The claims keep their own columns; no id is needed and nothing is shuffled.
+    """
+    carried = df.withColumn("_claim", F.struct("*"))
+    scored = score(apply_features(carried, spec, id_col=None), models)
+    return scored.select("_claim.*", *[m.spec.name for m in models])
+
+
 def with_attention(
     df: DataFrame,
     model: NetModel,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.schema import RUNS_SCHEMA
+from claimlens.operators.features import FeatureSpec
+from claimlens.schema import RUNS_SCHEMA, WEIGHTS_SCHEMA
 
 
 class RunLog:
@@ -26,6 +27,10 @@ class RunLog:
     def weights_path(self) -> str:
         return f"{self.folder}/model_weights"
 
+    @property
+    def features_path(self) -> str:
+        return f"{self.folder}/model_features"
+
     def _append(self, rows: DataFrame) -> None:
         # a run is a few rows: one file
         rows.coalesce(1).write.mode("append").partitionBy("experiment").parquet(self.runs_path)
@@ -65,9 +70,32 @@ class RunLog:
     def log_weights(self, weights: DataFrame) -> None:
         weights.coalesce(1).write.mode("append").parquet(self.weights_path)
 
+    def log_params(self, params: Mapping[str, tuple[str, Mapping[str, float]]]) -> None:
+        """Append parameters of several runs: run id -> (name, parameters)."""
+        rows = [
+            (self.experiment, run_id, run_name, "param", key, float(value))
+            for run_id, (run_name, values) in params.items()
+            for key, value in values.items()
+        ]
+        self._append(self.spark.createDataFrame(rows, RUNS_SCHEMA))
+
+    def log_features(self, run_ids: Sequence[str], spec: FeatureSpec) -> None:
+        """Keep the feature preparation the models were fitted with."""
+        text = spec.to_json()
+        rows = self.spark.createDataFrame([(r, text) for r in run_ids], "run_id string, spec string")
+        rows.coalesce(1).write.mode("append").parquet(self.features_path)
+
+    def features(self, run_id: str) -> FeatureSpec:
+        table = self.spark.read.schema("run_id string, spec string").parquet(self.features_path)
+        row = table.filter(F.col("run_id") == run_id).select("spec").first()
+        if row is None:
+            raise ValueError(f"no features kept for run {run_id}")
+        return FeatureSpec.from_json(row["spec"])
+
     def runs(self) -> DataFrame:
         table = self.spark.read.schema(RUNS_SCHEMA).parquet(self.runs_path)
         return table.filter(F.col("experiment") == self.experiment).select(*RUNS_SCHEMA.names)
 
     def weights(self, run_id: str) -> DataFrame:
-        return self.spark.read.parquet(self.weights_path).filter(F.col("run_id") == run_id)
+        table = self.spark.read.schema(WEIGHTS_SCHEMA).parquet(self.weights_path)
+        return table.filter(F.col("run_id") == run_id)

@@ -39,6 +39,8 @@ cloudpickle.register_pickle_by_value(nets)
 
 # partial results collected directly up to this many; more are summed in groups first
 DIRECT_PARTS = 256
+# rows per training partition: a few hundred MB
+ROWS_PER_PART = 2_000_000
 PART_SCHEMA = "part int, payload array<double>"
 
 
@@ -161,12 +163,15 @@ def fit_nets(
     a missing feature or claim cannot be fitted on and are left out.  Training
     ends after ``epochs``, or when no network has improved its validation loss for
     ``patience`` epochs.  The result depends on ``partitions`` (default: the cluster's
-    parallelism) but not on how the input happens to be partitioned.
+    parallelism, or more for many rows) but not on how the input happens to be partitioned.
     """
     if mode not in ("local", "full"):
         raise ValueError(f"unknown mode {mode!r}")
     specs = list(specs)
-    n_parts = partitions or learn.sparkSession.sparkContext.defaultParallelism
+    n_parts = partitions or max(
+        learn.sparkSession.sparkContext.defaultParallelism,
+        math.ceil(learn.count() / ROWS_PER_PART),
+    )
     rows = (
         with_validation(learn, validation_split, id_col=id_col)
         .select(

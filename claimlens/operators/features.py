@@ -66,16 +66,14 @@ def clamp_claims(df: DataFrame) -> DataFrame:
 
 
 def _before_scaling(
-    df: DataFrame, levels: dict[str, list[str]], seed: int, id_col: str
+    df: DataFrame, levels: dict[str, list[str]], seed: int, id_col: str | None
 ) -> DataFrame:
-    root3 = math.sqrt(3.0)
-    return clamp_claims(df).withColumns(
-        {
-            **{f"{c}Code": level_code(c, levels[c]) for c in ("Gender", "PartTimeFullTime")},
-            "RandNormal": hash_normal(seed + 20, id_col),
-            "RandUniform": hash_uniform(seed + 30, id_col, lo=-root3, hi=root3),
-        }
-    )
+    columns = {f"{c}Code": level_code(c, levels[c]) for c in ("Gender", "PartTimeFullTime")}
+    if id_col is not None:
+        root3 = math.sqrt(3.0)
+        columns["RandNormal"] = hash_normal(seed + 20, id_col)
+        columns["RandUniform"] = hash_uniform(seed + 30, id_col, lo=-root3, hi=root3)
+    return clamp_claims(df).withColumns(columns)
 
 
 def fit_features(df: DataFrame, seed: int = SEED, id_col: str = "Id") -> FeatureSpec:
@@ -91,17 +89,19 @@ def fit_features(df: DataFrame, seed: int = SEED, id_col: str = "Id") -> Feature
     )
 
 
-def apply_features(df: DataFrame, spec: FeatureSpec, id_col: str = "Id") -> DataFrame:
-    """Add the feature columns to claims numbered by ``id_col``."""
+def apply_features(df: DataFrame, spec: FeatureSpec, id_col: str | None = "Id") -> DataFrame:
+    """Add the feature columns.  The two random columns are made from ``id_col``; without
+    one (claims that are only scored) they are left out."""
     raw = _before_scaling(df, spec.levels, spec.seed, id_col)
-    scaled = standardize(
+    scaled = {n: c for n, c in SCALED.items() if c in raw.columns}
+    out = standardize(
         raw,
-        list(SCALED.values()),
-        center=[spec.centers[n] for n in SCALED],
-        scale=[spec.scales[n] for n in SCALED],
-        names={source: name for name, source in SCALED.items()},
+        list(scaled.values()),
+        center=[spec.centers[n] for n in scaled],
+        scale=[spec.scales[n] for n in scaled],
+        names={source: name for name, source in scaled.items()},
     )
-    return one_hot(scaled, "MaritalStatus", "Marital", spec.levels["MaritalStatus"]).drop(
+    return one_hot(out, "MaritalStatus", "Marital", spec.levels["MaritalStatus"]).drop(
         "RandNormal", "RandUniform"
     )
 

@@ -31,6 +31,27 @@ def is_test(id_col: str = "Id", seed: int = SEED) -> Column:
     return index % BLOCK == hash32(seed, block) % BLOCK
 
 
+def picked_ids(df: DataFrame, id_col: str = "Id", seed: int = SEED) -> DataFrame:
+    """The chosen id of every block, whether or not the last block reaches it."""
+    block = F.floor((F.col(id_col) - 1) / BLOCK).cast("bigint")
+    blocks = df.select(block.alias("block")).distinct()
+    return blocks.select(
+        (F.col("block") * BLOCK + 1 + hash32(seed, "block") % BLOCK).alias(id_col)
+    )
+
+
+def split_sets(
+    df: DataFrame, picked: DataFrame, id_col: str = "Id"
+) -> tuple[DataFrame, DataFrame]:
+    """(test ids, learn ids) as set operations for picks that come as a table: the ids
+    that were picked, and the ids that were not.  Ids are unique, so no key is hot.
+
+    ``with_split`` gives the same split without a join.
+    """
+    ids = df.select(id_col)
+    return ids.intersect(picked.select(id_col)), ids.subtract(picked.select(id_col))
+
+
 def shuffle_key(id_col: str = "Id", seed: int = SEED) -> Column:
     """Ordering by this key (then by id) is a random permutation of the rows."""
     return hash32(seed + 10, id_col)

@@ -12,6 +12,9 @@ from claimlens.operators.ordering import value_ladder
 # fixed value: keeps the log of the survival probability finite at the largest claim
 SURVIVAL_TOP = 1.00001
 
+# points up to which smoothing may use every one of them at each grid point
+DIRECT_POINTS = 200_000
+
 
 def ecdf(df: DataFrame, value: str) -> DataFrame:
     """``x, cnt, ecdf``: share of rows with value <= x at every distinct value."""
@@ -78,11 +81,13 @@ def local_quadratic(
     At each grid point the bandwidth reaches the floor(alpha * n)-th nearest row, rows
     inside get tricube weights, and the value of the weighted quadratic there is the
     fit.  The points are first merged into ``bins`` cells, so the work per grid point is
-    bounded; ``bins=None`` uses every point and is meant for small tables.
+    bounded; ``bins=None`` uses every point and is refused beyond ``DIRECT_POINTS``.
     """
-    ends = points.agg(F.min(x), F.max(x), F.sum(weight)).first()
+    ends = points.agg(F.min(x), F.max(x), F.sum(weight), F.count(x)).first()
     if ends[0] is None:
         raise ValueError("no points to smooth")
+    if bins is None and ends[3] > DIRECT_POINTS:
+        raise ValueError(f"more than {DIRECT_POINTS} points: merge them into bins")
     lo, hi, n = float(ends[0]), float(ends[1]), int(ends[2])
     if bins is None:
         cells = points.select(F.col(x).alias("x"), F.col(y).alias("y"), F.col(weight).alias("w"))

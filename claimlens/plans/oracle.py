@@ -468,6 +468,7 @@ def all_oracles() -> dict[str, str]:
         "dense_ids": _with(SILVER, f"SELECT Id, Claim, {KEY} FROM silver"),
         "small_claim_filter": _with(SILVER, "SELECT Id, Claim FROM silver WHERE Claim <= 10000"),
         "split_assignment": _with(BASE, "SELECT Id, split, shuffle_key FROM base"),
+        "split_by_sets": _with(BASE, "SELECT Id, split FROM base"),
         "split_sizes": _with(BASE, "SELECT split, count(*) AS n FROM base GROUP BY split"),
         "split_means": _with(
             BASE, "SELECT split, round(sum(Claim) / count(Claim), 0) AS mean_claim FROM base GROUP BY split"

@@ -20,7 +20,7 @@ from claimlens.models.baseline import with_mean_severity
 from claimlens.models.glm import fit_glm, predict_glm
 from claimlens.models.nets import NetSpec
 from claimlens.models.report import best_epoch, compare_runs, loss_curve, loss_report
-from claimlens.models.scoring import score, with_attention
+from claimlens.models.scoring import score, score_claims, with_attention
 from claimlens.models.tracking import RunLog
 from claimlens.models.training import (
     NetModel,
@@ -43,7 +43,14 @@ from claimlens.operators.encoding import level_codes, one_hot
 from claimlens.operators.features import SCALED, clamp_claims, design_array
 from claimlens.operators.quantiles import exact_quantiles
 from claimlens.operators.scaling import minmax, standardize
-from claimlens.operators.split import learn_rows, test_rows, with_validation
+from claimlens.operators.split import (
+    learn_rows,
+    picked_ids,
+    split_sets,
+    test_rows,
+    with_split,
+    with_validation,
+)
 from claimlens.operators.summary import (
     column_ranges,
     delay_range,
@@ -53,6 +60,7 @@ from claimlens.operators.summary import (
     split_sizes,
 )
 from claimlens.operators.survival import ecdf_by_id, local_quadratic, log_survival
+from claimlens.plans.workflow import fit_severity_models
 from claimlens.plans.workspace import Workspace, workspace
 from claimlens.sources import catalog
 from claimlens.sources.claims import VIEW_KEY
@@ -169,6 +177,15 @@ def split_assignment(w: Workspace) -> DataFrame:
     return w.features.select("Id", "split", "shuffle_key")
 
 
+@query
+def split_by_sets(w: Workspace) -> DataFrame:
+    """The same split by intersecting and subtracting a table of picked ids."""
+    test, learn = split_sets(w.silver, picked_ids(w.silver))
+    return test.withColumn("split", F.lit("test")).unionByName(
+        learn.withColumn("split", F.lit("learn"))
+    )
+
+
 @query
 def split_sizes_query(w: Workspace) -> DataFrame:
     return split_sizes(w.features)
@@ -529,12 +546,13 @@ def calibration(w: Workspace) -> DataFrame:
 
 @query
 def batch_scoring(w: Workspace) -> DataFrame:
-    """Keep a model's weights as a table, load it back, score every claim."""
+    """Keep a model and its features as tables, load them back, score every raw claim."""
     log = RunLog(w.spark, stage_path(w.spark, "kept-model"), "severity")
     log.log_weights(weights_table(w.spark, _fixed_nets(w)))
+    log.log_features(["localglm_fixed"], w.spec)
     kept = load_model(log.weights("localglm_fixed"))
-    scored = score(w.features, [kept])
-    return scored.groupBy("split").agg(
+    scored = score_claims(w.silver, log.features("localglm_fixed"), [kept])
+    return with_split(scored).groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), r(F.avg("localglm_fixed")).alias("mean_prediction")
     )
 
@@ -693,6 +711,14 @@ def localglm_fit(w: Workspace) -> DataFrame:
     return _net_report(w, "localglm")
 
 
+@query
+def seven_models(w: Workspace) -> DataFrame:
+    """The whole modelling run: seven models fitted, logged and compared."""
+    folder = stage_path(w.spark, "seven-models")
+    out = fit_severity_models(w.silver, folder, patience=PATIENCE)
+    return out.comparison
+
+
 @query
 def hash_values(w: Workspace) -> DataFrame:
     """The hash behind all random choices."""

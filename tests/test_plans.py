@@ -16,7 +16,7 @@ from claimlens.operators.correlation import mid_ranks, with_ranks
 from claimlens.plans.flagship import severity_by_year
 
 QUERIES = entry.queries()
-FITTED = {"ffn_fit", "localglm_fit", "glm_gamma", "glm_tweedie", "glm_saturated_groups", "model_comparison"}
+FITTED = {"seven_models", "ffn_fit", "localglm_fit", "glm_gamma", "glm_tweedie", "glm_saturated_groups", "model_comparison"}
 
 
 def plan(df, mode="formatted"):

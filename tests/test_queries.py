@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from claimlens import schema
 from compare import compare, connect
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -29,7 +30,13 @@ def test_same_as_sql(spark, con, small_dir, name):
     assert compare(QUERIES[name](spark, small_dir), con, ORACLES[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_seven_models(spark, small_dir):
+    rows = QUERIES["seven_models"](spark, small_dir).collect()
+    assert len(rows) == 7 and min(r["place"] for r in rows) == 1
+    assert all(r[m] > 0 for r in rows for m in schema.METRICS)
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"seven_models"}))
 def test_model_reports(spark, small_dir, name):
     rows = QUERIES[name](spark, small_dir).collect()
     assert rows and all(r["value"] is not None for r in rows)
