@@ -1,5 +1,8 @@
 """The two severity networks as plain numpy functions of one parameter vector.
 
+Layers are computed in the type of the features (single precision while fitting, double
+when scoring); means, losses and parameters are always double.
+
 ``ffn``: tanh layers and a log-link output.  ``localglm``: tanh layers give one weight
 per feature, the prediction is the exponential of the weighted feature sum.
 Vectorized over a batch; used inside Spark tasks.
@@ -71,18 +74,19 @@ def _hidden(parts: list, x: np.ndarray) -> list[np.ndarray]:
 
 def attention(spec: NetSpec, theta: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Feature weights of a ``localglm`` network, one row per claim."""
-    parts = spec.unpack(theta)
+    parts = spec.unpack(theta.astype(x.dtype))
     w, b = parts[-2]
     return _hidden(parts[:-2], x)[-1] @ w + b
 
 
 def predict(spec: NetSpec, theta: np.ndarray, x: np.ndarray) -> np.ndarray:
-    parts = spec.unpack(theta)
+    parts = spec.unpack(theta.astype(x.dtype))
     w, b = parts[-1]
     if spec.kind == "ffn":
-        return np.exp((_hidden(parts[:-1], x)[-1] @ w)[:, 0] + b[0])
-    score = (attention(spec, theta, x) * x).sum(axis=1)
-    return np.exp(score * w[0, 0] + b[0])
+        eta = (_hidden(parts[:-1], x)[-1] @ w)[:, 0] + b[0]
+    else:
+        eta = (attention(spec, theta, x) * x).sum(axis=1) * w[0, 0] + b[0]
+    return np.exp(eta.astype(float))
 
 
 def deviance(y: np.ndarray, mu: np.ndarray, power: float) -> np.ndarray:
@@ -99,8 +103,8 @@ def loss_and_gradient(
     spec: NetSpec, theta: np.ndarray, x: np.ndarray, y: np.ndarray
 ) -> tuple[float, np.ndarray]:
     """Summed deviance of a batch and its gradient."""
-    parts = spec.unpack(theta)
-    gradient = np.zeros_like(theta)
+    parts = spec.unpack(theta.astype(x.dtype))
+    gradient = np.zeros(spec.size)
     into = spec.unpack(gradient)
     n_hidden = len(spec.hidden)
     outputs = _hidden(parts[:n_hidden], x)
@@ -112,10 +116,11 @@ def loss_and_gradient(
         beta = outputs[-1] @ w_att + b_att
         score = (beta * x).sum(axis=1)
         eta = score * w_out[0, 0] + b_out[0]
-    mu = np.exp(eta)
+    mu = np.exp(eta.astype(float))
     loss = float(deviance(y, mu, spec.power).sum())
-    d_eta = 2.0 * (mu ** (2.0 - spec.power) - y * mu ** (1.0 - spec.power))
-    into[-1][1][0] = d_eta.sum()
+    slope = 2.0 * (mu ** (2.0 - spec.power) - y * mu ** (1.0 - spec.power))
+    d_eta = slope.astype(x.dtype)
+    into[-1][1][0] = slope.sum()
     if spec.kind == "ffn":
         into[-1][0][:, 0] = outputs[-1].T @ d_eta
         d_hidden = d_eta[:, None] * w_out[:, 0]

@@ -14,7 +14,7 @@ from claimlens.functions.text import linear, number, quoted
 from claimlens.models import nets
 from claimlens.models.training import NetModel
 from claimlens.operators.features import FeatureSpec, apply_features
-from claimlens.schema import MODEL_FEATURES
+from claimlens.schema import CUT_OFFS, MODEL_FEATURES
 
 cloudpickle.register_pickle_by_value(nets)
 
@@ -51,9 +51,14 @@ def score_claims(df: DataFrame, spec: FeatureSpec, models: Sequence[NetModel]) -
 
     The claims keep their own columns; no id is needed and nothing is shuffled.
     """
-    carried = df.withColumn("_claim", F.struct("*"))
+    # the cut-offs are applied in place, so the columns they change are carried along
+    kept = {c: f"_kept_{c}" for c in CUT_OFFS}
+    carried = df.withColumns({k: F.col(c) for c, k in kept.items()})
     scored = score(apply_features(carried, spec, id_col=None), models)
-    return scored.select("_claim.*", *[m.spec.name for m in models])
+    return scored.select(
+        *[F.col(kept[c]).alias(c) if c in kept else c for c in df.columns],
+        *[m.spec.name for m in models],
+    )
 
 
 def with_attention(

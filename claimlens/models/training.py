@@ -84,7 +84,7 @@ def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam], batch
         for record in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in record.columns]
             held_out, y = columns[0].astype(bool), columns[1]
-            x = np.column_stack(columns[2:]).astype(float)
+            x = np.column_stack(columns[2:])
             if held_out.any():
                 n_val += int(held_out.sum())
                 for k, spec in enumerate(specs):
@@ -177,7 +177,7 @@ def fit_nets(
         .select(
             "is_validation",
             F.col(claim).cast("double").alias("_y"),
-            *[F.col(f).cast("double").alias(f) for f in features],
+            *[F.col(f).cast("float").alias(f) for f in features],
             "shuffle_key",
             id_col,
         )

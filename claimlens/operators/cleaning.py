@@ -21,4 +21,4 @@ def small_claims(df: DataFrame, limit: float = 10_000) -> DataFrame:
 
 def number_claims(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """Add ``Id`` = 1..n by descending claim; ``key`` (unique) orders equal claims."""
-    return dense_ids(df, [F.desc("Claim"), *[F.asc(k) for k in key]], "Id", "silver")
+    return dense_ids(df, [F.desc("Claim"), *[F.asc(k) for k in key]], "Id", "sorted-claims")

@@ -48,7 +48,6 @@ from claimlens.operators.split import (
     picked_ids,
     split_sets,
     test_rows,
-    with_split,
     with_validation,
 )
 from claimlens.operators.summary import (
@@ -130,14 +129,14 @@ def bronze_scan(w: Workspace) -> DataFrame:
 @query
 def silver_by_path(w: Workspace) -> DataFrame:
     """The written silver table, scanned by its path."""
-    path = catalog.write_table(w.silver, stage_path(w.spark, "silver-table"))
+    path = catalog.write_table(silver_claims(w), stage_path(w.spark, "silver-table"))
     return catalog.scan_path(w.spark, path)
 
 
 @query
 def schema_report(w: Workspace) -> DataFrame:
     """Column names, types, non-null counts and the first row's values."""
-    return catalog.schema_report(w.silver, F.col("Id") == 1)
+    return catalog.schema_report(silver_claims(w), F.col("Id") == 1)
 
 
 @query
@@ -158,7 +157,7 @@ def preview_week_means(w: Workspace) -> DataFrame:
 @query
 def silver_claims(w: Workspace) -> DataFrame:
     """Filtered claims with their descending rank."""
-    return w.silver
+    return w.silver.drop("split", "shuffle_key")
 
 
 @query
@@ -552,7 +551,7 @@ def batch_scoring(w: Workspace) -> DataFrame:
     log.log_features(["localglm_fixed"], w.spec)
     kept = load_model(log.weights("localglm_fixed"))
     scored = score_claims(w.silver, log.features("localglm_fixed"), [kept])
-    return with_split(scored).groupBy("split").agg(
+    return scored.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), r(F.avg("localglm_fixed")).alias("mean_prediction")
     )
 
@@ -715,7 +714,7 @@ def localglm_fit(w: Workspace) -> DataFrame:
 def seven_models(w: Workspace) -> DataFrame:
     """The whole modelling run: seven models fitted, logged and compared."""
     folder = stage_path(w.spark, "seven-models")
-    out = fit_severity_models(w.silver, folder, patience=PATIENCE)
+    out = fit_severity_models(silver_claims(w), folder, patience=PATIENCE)
     return out.comparison
 
 

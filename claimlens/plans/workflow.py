@@ -26,9 +26,9 @@ NETWORKS = {
     "ffn_p2": ("Feed-forward, gamma", "ffn", 2.0),
     "ffn_pp": ("Feed-forward, power variance", "ffn", schema.POWER),
     "ffn_p3": ("Feed-forward, inverse Gaussian", "ffn", 3.0),
-    "localglm_p2": ("LocalGLMnet, gamma", "localglm", 2.0),
-    "localglm_pp": ("LocalGLMnet, power variance", "localglm", schema.POWER),
-    "localglm_p3": ("LocalGLMnet, inverse Gaussian", "localglm", 3.0),
+    "localglm_p2": ("Locally linear network, gamma", "localglm", 2.0),
+    "localglm_pp": ("Locally linear network, power variance", "localglm", schema.POWER),
+    "localglm_p3": ("Locally linear network, inverse Gaussian", "localglm", 3.0),
 }
 
 
