@@ -1,7 +1,9 @@
 """Data-parallel fitting of several networks in the same passes over the learn rows.
 
-One Spark job per epoch.  Every task streams its partition in Arrow batches, starting
-from the current parameters of all networks, and returns one row.  In ``local`` mode a
+The rows are packed once into blocks, one row per mini-batch with its features as one
+binary matrix, and persisted; passing them to Python again costs next to nothing.  Then
+one Spark job per epoch: every task walks through its blocks, starting from the current
+parameters of all networks, and returns one row.  In ``local`` mode a
 task takes optimizer steps on mini-batches of its rows, and the resulting parameters are
 averaged with the row counts as weights (one partition is plain mini-batch training).
 In ``full`` mode tasks only sum gradients and the step is taken once per epoch.
@@ -39,8 +41,9 @@ cloudpickle.register_pickle_by_value(nets)
 
 # partial results collected directly up to this many; more are summed in groups first
 DIRECT_PARTS = 256
-# rows per training partition: a few hundred MB
-ROWS_PER_PART = 2_000_000
+# rows per training partition: its blocks take less than 100 MB
+ROWS_PER_PART = 1_000_000
+BLOCK_SCHEMA = "held boolean, y binary, x binary"
 PART_SCHEMA = "part int, payload array<double>"
 
 
@@ -54,7 +57,46 @@ class NetModel:
     best_epoch: int = 0
 
 
-def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam], batch: int):
+def _pack_task(batch: int):
+    """Pack rows (held, claim, features...) into blocks of ``batch`` rows, in order;
+    held-out rows get blocks of their own.  Features become single precision."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+
+        def blocks(held: bool, last: bool) -> Iterator[pa.RecordBatch]:
+            n = sum(len(y) for y, _ in waiting[held])
+            if n < batch and not (last and n):
+                return
+            y = np.concatenate([part for part, _ in waiting[held]])
+            x = np.concatenate([part for _, part in waiting[held]])
+            whole = n if last else n // batch * batch
+            for at in range(0, whole, batch):
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([held], pa.bool_()),
+                        pa.array([y[at : at + batch].tobytes()], pa.binary()),
+                        pa.array([x[at : at + batch].tobytes()], pa.binary()),
+                    ],
+                    names=["held", "y", "x"],
+                )
+            waiting[held] = [(y[whole:], x[whole:])]
+
+        for record in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in record.columns]
+            held_out, y = columns[0].astype(bool), columns[1]
+            x = np.column_stack(columns[2:]).astype(np.float32)
+            for held in (False, True):
+                chosen = held_out == held
+                waiting[held].append((y[chosen], x[chosen]))
+                yield from blocks(held, last=False)
+        for held in (False, True):
+            yield from blocks(held, last=True)
+
+    return run
+
+
+def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam]):
     """The function run on every partition.  Its row: part number and, in this order, the
     row counts (train, validation), then per network validation and train loss sums,
     followed by parameters and moments times the train count (local) or gradient (full)."""
@@ -70,41 +112,24 @@ def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam], batch
         train_loss, val_loss = np.zeros(len(specs)), np.zeros(len(specs))
         gradients = [np.zeros(s.size) for s in specs]
         n_train = n_val = 0
-        waiting: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def learn(x: np.ndarray, y: np.ndarray) -> None:
-            for k, spec in enumerate(specs):
-                loss, gradient = step_batch(spec, local[k].theta, x, y)
-                train_loss[k] += loss
-                if mode == "local":
-                    local[k].update(gradient / len(y))
-                else:
-                    gradients[k] += gradient
-
         for record in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in record.columns]
-            held_out, y = columns[0].astype(bool), columns[1]
-            x = np.column_stack(columns[2:])
-            if held_out.any():
-                n_val += int(held_out.sum())
+            for held, y_bytes, x_bytes in zip(*record.columns):
+                y = np.frombuffer(y_bytes.as_buffer(), dtype=float)
+                x = np.frombuffer(x_bytes.as_buffer(), dtype=np.float32).reshape(len(y), -1)
+                if held.as_py():
+                    n_val += len(y)
+                    for k, spec in enumerate(specs):
+                        mu = predict(spec, states[k].theta, x)
+                        val_loss[k] += float(deviance(y, mu, spec.power).sum())
+                    continue
+                n_train += len(y)
                 for k, spec in enumerate(specs):
-                    mu = predict(spec, states[k].theta, x[held_out])
-                    val_loss[k] += float(deviance(y[held_out], mu, spec.power).sum())
-                x, y = x[~held_out], y[~held_out]
-            n_train += len(y)
-            waiting.append((x, y))
-            if sum(len(part[1]) for part in waiting) >= batch:
-                x = np.concatenate([part[0] for part in waiting])
-                y = np.concatenate([part[1] for part in waiting])
-                whole = len(y) // batch * batch
-                for at in range(0, whole, batch):
-                    learn(x[at : at + batch], y[at : at + batch])
-                waiting = [(x[whole:], y[whole:])]
-        if sum(len(part[1]) for part in waiting):
-            learn(
-                np.concatenate([part[0] for part in waiting]),
-                np.concatenate([part[1] for part in waiting]),
-            )
+                    loss, gradient = step_batch(spec, local[k].theta, x, y)
+                    train_loss[k] += loss
+                    if mode == "local":
+                        local[k].update(gradient / len(y))
+                    else:
+                        gradients[k] += gradient
         payload = [np.array([n_train, n_val], dtype=float)]
         for k in range(len(specs)):
             payload.append(np.array([val_loss[k], train_loss[k]]))
@@ -172,7 +197,7 @@ def fit_nets(
         learn.sparkSession.sparkContext.defaultParallelism,
         math.ceil(learn.count() / ROWS_PER_PART),
     )
-    rows = (
+    blocks = (
         with_validation(learn, validation_split, id_col=id_col)
         .select(
             "is_validation",
@@ -185,6 +210,7 @@ def fit_nets(
         .repartition(n_parts, id_col)
         .sortWithinPartitions("shuffle_key", id_col)
         .drop("shuffle_key", id_col)
+        .mapInArrow(_pack_task(batch_size), BLOCK_SCHEMA)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     start = warm_start or [s.start(mean_claim, seed + k) for k, s in enumerate(specs)]
@@ -201,8 +227,8 @@ def fit_nets(
         # the last pass only measures
         for epoch in range(1, epochs + 2):
             measure_only = epoch == epochs + 1
-            task = _epoch_task("full" if measure_only else mode, specs, states, batch_size)
-            total = _total(rows.mapInArrow(task, PART_SCHEMA), n_parts)
+            task = _epoch_task("full" if measure_only else mode, specs, states)
+            total = _total(blocks.mapInArrow(task, PART_SCHEMA), n_parts)
             n_train, n_val = total[0], total[1]
             if n_train == 0:
                 raise ValueError("no learn rows to fit on")
@@ -241,7 +267,7 @@ def fit_nets(
             if patience is not None and since_best >= patience:
                 break
     finally:
-        rows.unpersist()
+        blocks.unpersist()
     return models
 
 
