@@ -188,13 +188,13 @@ def fit_nets(
     a missing feature or claim cannot be fitted on and are left out.  Training
     ends after ``epochs``, or when no network has improved its validation loss for
     ``patience`` epochs.  The result depends on ``partitions`` (default: the cluster's
-    parallelism, or more for many rows) but not on how the input happens to be partitioned.
+    parallelism; raised where a partition would hold too many rows) but not on how the input happens to be partitioned.
     """
     if mode not in ("local", "full"):
         raise ValueError(f"unknown mode {mode!r}")
     specs = list(specs)
-    n_parts = partitions or max(
-        learn.sparkSession.sparkContext.defaultParallelism,
+    n_parts = max(
+        partitions or learn.sparkSession.sparkContext.defaultParallelism,
         math.ceil(learn.count() / ROWS_PER_PART),
     )
     blocks = (
