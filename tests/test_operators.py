@@ -11,7 +11,7 @@ from claimlens.operators.delay import with_weeks
 from claimlens.operators.density import kernel_density, reference_bandwidth
 from claimlens.operators.encoding import category_levels, level_code, one_hot
 from claimlens.operators.features import FeatureSpec, apply_features, fit_features
-from claimlens.operators.ordering import dense_ids, value_ladder
+from claimlens.operators.ordering import _sorted_stage, dense_ids, value_ladder
 from claimlens.operators.profile import distinct_counts, marginal_profile, uniform_reference
 from claimlens.operators.quantiles import (
     approximate_quantiles,
@@ -133,6 +133,19 @@ def test_dense_ids_do_not_depend_on_partitions(spark, hot):
     assert first == {r["k"]: i + 1 for i, r in enumerate(rows)}
 
 
+def test_equal_claims_spread_over_sort_partitions(spark):
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        df = spark.range(0, 8000, 1, 4).select(F.lit(5.0).alias("Claim"), F.col("id").alias("k"))
+        parts = _sorted_stage(df, [F.desc("Claim"), F.asc("k")], "hot-claim")
+        sizes = [r["count"] for r in parts.groupBy("_part").count().collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert len(sizes) == 8 and max(sizes) < 8000 / 4
+
+
 @pytest.mark.parametrize("few_values", [0, 10**6])
 def test_value_ladder(hot, few_values):
     rows = value_ladder(hot, ["x", "z"], few_values=few_values).collect()

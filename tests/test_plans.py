@@ -42,6 +42,40 @@ def test_source_filters_reach_the_scans(spark, small_dir):
     assert "l_tax" not in lineitem and "l_discount" not in lineitem
 
 
+def test_hot_join_key_is_split_and_the_result_is_whole(spark, small_dir, tmp_path):
+    """A third of the lines on one order, joined by sort-merge: the hot partition is split."""
+    for table in ("orders", "customer", "part"):
+        source = spark.read.parquet(f"{small_dir}/{table}.parquet")
+        source.write.parquet(str(tmp_path / f"{table}.parquet"))
+    lines = spark.read.parquet(f"{small_dir}/lineitem.parquet")
+    early = spark.read.parquet(f"{small_dir}/orders.parquet").filter("year(o_orderdate) = 1996")
+    hot = early.agg(F.min("o_orderkey")).first()[0]
+    third = F.hash("l_partkey", "l_suppkey", "l_extendedprice") % 3 == 0
+    lines.withColumn("l_orderkey", F.when(third, F.lit(hot)).otherwise(F.col("l_orderkey"))).repartition(
+        8
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    data_dir = str(tmp_path)
+    want = sorted(map(tuple, severity_by_year(spark, data_dir).collect()))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        df = severity_by_year(spark, data_dir)
+        got = sorted(map(tuple, df.collect()))
+        text = plan(df)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert got == want
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "SortMergeJoin(skew=true)" in text
+
+
 def test_silver_filter_and_columns_reach_the_written_table(lab):
     text = plan(small_claims(lab.silver).select("Claim"))
     assert "LessThanOrEqual(Claim,10000.0)" in text
