@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import table
 from claimlens.llm.decontaminate import find_contamination
+from claimlens.llm.packing import pack_pieces, tokenize_pieces
 from claimlens.llm.sharding import shard_rows
+from claimlens.llm.token_count import count_tokens
 from claimlens.llm.url_filter import judge_urls
 
 # The rules of the URL query: verdict, host, path.
@@ -21,6 +23,27 @@ URL_RULES = [
 ]
 
 SHARDS = 24
+TOKEN_LIMIT = 2048
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def packed_documents(docs: DataFrame) -> DataFrame:
+    """Every piece's place; the ids are reduced to their checksum before anything moves."""
+    pieces = tokenize_pieces(docs, tokenizer_file())
+    digests = pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"
+    )
+    return pack_pieces(digests)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into windows of 4096 tokens."""
+    return packed_documents(table(spark, sf_dir, "documents"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,13 +79,21 @@ def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page."""
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op4_histogram_sort": op4_histogram_sort,
+    "op6_token_count": op6_token_count,
     "op10_url_filter": op10_url_filter,
 }
