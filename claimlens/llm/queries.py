@@ -11,6 +11,7 @@ from claimlens.llm.common import table
 from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
 from claimlens.llm.sharding import shard_rows
+from claimlens.llm.simhash import simhash_clusters
 from claimlens.llm.token_count import count_tokens
 from claimlens.llm.url_filter import judge_urls
 
@@ -41,6 +42,11 @@ def packed_documents(docs: DataFrame) -> DataFrame:
     return pack_pieces(digests)
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash_clusters(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into windows of 4096 tokens."""
     return packed_documents(table(spark, sf_dir, "documents"))
@@ -91,6 +97,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op4_histogram_sort": op4_histogram_sort,
