@@ -12,6 +12,7 @@ from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
 from claimlens.llm.sharding import shard_rows
 from claimlens.llm.simhash import simhash_clusters
+from claimlens.llm.substring import remove_repeats
 from claimlens.llm.token_count import count_tokens
 from claimlens.llm.url_filter import judge_urls
 
@@ -91,6 +92,12 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text of every document without passages that stand earlier in the corpus."""
+    done = remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_sentences", "n_removed", "text")
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the url of every page."""
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
@@ -102,5 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_histogram_sort": op4_histogram_sort,
     "op6_token_count": op6_token_count,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
 }
