@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import table
 from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
+from claimlens.llm.quality import fit_quality, score_quality
 from claimlens.llm.sharding import shard_rows
 from claimlens.llm.simhash import simhash_clusters
 from claimlens.llm.substring import remove_repeats
@@ -92,6 +93,12 @@ def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, by a model fitted to the labels not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every document without passages that stand earlier in the corpus."""
     done = remove_repeats(table(spark, sf_dir, "documents"))
@@ -109,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_histogram_sort": op4_histogram_sort,
     "op6_token_count": op6_token_count,
+    "op8_quality": op8_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
 }
