@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,3 +19,9 @@ def type_of(df: DataFrame, column: str) -> str:
 def utf8(column: str):
     """The text's bytes; passing bytes to Python spares a decoding of the whole text."""
     return F.col(f"`{column}`").cast("string").cast("binary")
+
+
+def kept_and(df: DataFrame, added: str = "") -> T.StructType:
+    """The schema of ``df``'s column ``kept``, then the added columns, given as DDL text."""
+    more = T.StructType.fromDDL(added).fields if added else []
+    return T.StructType([df.schema["kept"], *more])

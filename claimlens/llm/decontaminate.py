@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of, utf8
+from claimlens.llm.common import kept_and, type_of, utf8
 from claimlens.sources.storage import stage
 
 WINDOW = 10
@@ -195,3 +195,37 @@ def find_contamination(
         waiting = spark.sparkContext.broadcast(block)
     out = rows.mapInArrow(pass_over(waiting, last=True), done_schema)
     return out.withColumnRenamed("id", id_column)
+
+
+def drop_contaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    block_words: int = BLOCK_WORDS,
+    text_column: str = "text",
+    item_column: str = "item_id",
+) -> DataFrame:
+    """The rows of ``docs`` in which no word is hit, all columns as they are.
+
+    Words, windows and null or empty texts are as in ``find_contamination``.
+    """
+    spark = docs.sparkSession
+    names = docs.columns
+    for block in blocks_of_items(benchmark, item_column, text_column, block_words):
+        if block:
+            docs = _without(docs, spark.sparkContext.broadcast(block), window, text_column)
+    return docs.select(*(F.col(f"`{c}`") for c in names))
+
+
+def _without(docs: DataFrame, shared, window: int, text_column: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, numbers = build_automaton(shared.value, window)
+        for batch in batches:
+            clean = [scan(words_of(t), automaton, numbers)[0] is None for t in batch.column(1).to_pylist()]
+            yield batch.select([0]).filter(pa.array(clean, pa.bool_()))
+
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), utf8(text_column).alias("text")
+    )
+    kept = packed.mapInArrow(run, kept_and(packed))
+    return kept.select("kept.*")

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of
+from claimlens.llm.common import kept_and, type_of
 from claimlens.llm.tokens import PretokenResults
 from claimlens.sources.storage import stage
 
@@ -257,7 +257,6 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, length_column: str = "l
         F.struct(*(F.col(f"`{c}`") for c in named)).alias("kept"),
         F.col(f"`{length_column}`").cast("bigint").alias("n"),
     )
-    kept = wrapped.schema["kept"].dataType.simpleString()
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -278,7 +277,7 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, length_column: str = "l
             )
 
     numbered = stage(
-        wrapped.mapInArrow(number, f"kept {kept}, n bigint, part int, nth bigint"), "pieces"
+        wrapped.mapInArrow(number, kept_and(wrapped, "n bigint, part int, nth bigint")), "pieces"
     )
     per_part = numbered.groupBy("part", "n").count()
     counts = np.zeros(window + 1, dtype=np.int64)
@@ -303,5 +302,5 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, length_column: str = "l
                 names=["kept", "sequence_id", "offset"],
             )
 
-    placed = ranked.mapInArrow(place, f"kept {kept}, sequence_id bigint, offset bigint")
+    placed = ranked.mapInArrow(place, kept_and(ranked, "sequence_id bigint, offset bigint"))
     return placed.select("kept.*", "sequence_id", "offset")

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of, utf8
+from claimlens.llm.common import kept_and, type_of, utf8
 
 PASSAGE_WORDS = 100
 
@@ -263,5 +263,5 @@ def keep_good(docs: DataFrame, model: dict[str, np.ndarray] | float, text_column
             yield batch.select([0]).filter(pa.array(scores_of(texts, model) >= 0.5))
 
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), utf8(text_column).alias("text"))
-    kept = packed.mapInArrow(run, f"kept {packed.schema['kept'].dataType.simpleString()}")
+    kept = packed.mapInArrow(run, kept_and(packed))
     return kept.select("kept.*")

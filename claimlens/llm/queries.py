@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.llm.ann import nearest
 from claimlens.llm.common import table
 from claimlens.llm.decontaminate import find_contamination
+from claimlens.llm.html_extract import extract_pages
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
 from claimlens.llm.quality import fit_quality, score_quality
 from claimlens.llm.sharding import shard_rows
@@ -87,12 +89,22 @@ def op4_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
     counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_file())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_vp_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest of every hundredth vector, by id, among all others."""
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, by a model fitted to the labels not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -115,7 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontaminate": op3_decontaminate,
     "op4_histogram_sort": op4_histogram_sort,
+    "op5_html_text": op5_html_text,
     "op6_token_count": op6_token_count,
+    "op7_vp_trees": op7_vp_trees,
     "op8_quality": op8_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,

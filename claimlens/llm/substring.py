@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of, utf8
+from claimlens.llm.common import kept_and, type_of, utf8
 from claimlens.sources.storage import stage
 
 MIN_SENTENCES = 3
@@ -152,10 +152,7 @@ def remove_repeats(
         "left",
     )
     slim = marked.select("d.kept", "d.text", "c.covered")
-    done = slim.mapInArrow(
-        cut,
-        f"kept {slim.schema['kept'].dataType.simpleString()}, text string, n_sentences bigint, n_removed bigint",
-    )
+    done = slim.mapInArrow(cut, kept_and(slim, "text string, n_sentences bigint, n_removed bigint"))
     back = [
         F.col("text").alias(c) if c == text_column else F.col(f"kept.`{c}`").alias(c)
         for c in named
