@@ -45,9 +45,12 @@ def describe(groups: list[list[bytes]]) -> np.ndarray:
     """One row per passage: shares of neighbouring byte classes, and word repetition."""
     joined = [b" ".join(g) for g in groups]
     flat = _CLASS[np.frombuffer(b"\n".join(joined) + b"\n", dtype=np.uint8)]
-    pairs = flat[:-1] * np.uint16(N_CLASSES) + flat[1:]
     sizes = np.array([len(j) + 1 for j in joined])
-    owner = np.repeat(np.arange(len(joined)), sizes)[:-1]
+    inside = np.ones(len(flat), dtype=bool)
+    inside[np.cumsum(sizes) - 1] = False  # no pair reaches into the next passage
+    at = np.flatnonzero(inside)
+    pairs = flat[at] * np.uint16(N_CLASSES) + flat[at + 1]
+    owner = np.repeat(np.arange(len(joined)), sizes - 1)
     width = N_CLASSES * N_CLASSES
     counts = np.bincount(owner * width + pairs, minlength=len(joined) * width).reshape(-1, width)
     out = np.empty((len(groups), N_FEATURES), dtype=np.float32)
