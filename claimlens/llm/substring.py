@@ -112,12 +112,13 @@ def remove_repeats(
         ),
         "spans",
     )
-    # Most spans occur once; only the others are sorted out by place.
-    repeated = spans.groupBy("hash").count().filter("count > 1").select("hash")
+    # Most spans occur once; only the others are sorted out by place.  What is joined with the
+    # spans is written first: a join of two plain exchanges can be split at a hot hash.
+    repeated = stage(spans.groupBy("hash").count().filter("count > 1").select("hash"), "repeated")
     shared = stage(spans.join(repeated, "hash"), "shared-spans")
     # Null ids sort after all others.
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("body"), F.col("place"))
-    first = shared.groupBy("hash").agg(F.min(order).alias("first"))
+    first = stage(shared.groupBy("hash").agg(F.min(order).alias("first")), "first-spans")
     later = shared.join(first, "hash").filter(order != F.col("first")).select("id", "body", "place", "size")
     covered = later.groupBy("id", "body").agg(F.collect_set(F.struct("place", "size")).alias("covered"))
 
