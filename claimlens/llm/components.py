@@ -13,8 +13,8 @@ def connected(edges: DataFrame) -> DataFrame:
 
     In turns, each node's larger neighbours, then its smaller ones, are tied to the smallest
     neighbour, until nothing changes.  Each round is written to the shared folder.  Minima
-    are pre-aggregated, and a node with very many neighbours is only ever on the long side
-    of a join, which adaptive execution splits.  Roots are not listed among the nodes.
+    are pre-aggregated and written, so that each join is one of two plain exchanges, whose
+    long side adaptive execution can split at a node with very many neighbours.  Roots are not listed among the nodes.
     """
     links = stage(
         edges.filter("a <> b")
@@ -25,10 +25,12 @@ def connected(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = links.union(links.select("v", "u"))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest = stage(
+            both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest"
+        )
         tied = both.join(lowest, "u").filter("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        tied = tied.distinct()
-        smallest = tied.groupBy("u").agg(F.min("v").alias("m"))
+        tied = stage(tied.distinct(), "tied")
+        smallest = stage(tied.groupBy("u").agg(F.min("v").alias("m")), "smallest")
         links = stage(
             tied.join(smallest, "u")
             .filter("v <> m")

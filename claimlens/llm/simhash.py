@@ -274,7 +274,8 @@ def simhash_clusters(
     tied = roots.union(roots.select("root", "root").distinct())
     several = distinct.join(tied, F.col("fingerprint") == F.col("node"), "left").filter("copies > 1 OR root IS NOT NULL")
     several = several.select("fingerprint", "first", F.coalesce("root", "fingerprint").alias("root"))
-    smallest = several.groupBy("root").agg(F.min("first").alias("component_id"))
+    several = stage(several, "several")
+    smallest = stage(several.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     found = several.join(smallest, "root").select("fingerprint", "component_id")
     return (
         prints.join(found, "fingerprint", "left")
