@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,16 +15,40 @@ from claimlens.llm.common import kept_and, type_of, utf8
 from claimlens.sources.storage import stage
 
 MIN_SENTENCES = 3
-MIN_WORDS = 20
+MIN_WORDS = 25
+
+# Sentences of more words are cut after , ; : after a repeated word, and after words whose
+# checksum is divisible by CUT_EVERY, so that equal stretches are cut alike wherever their
+# sentences begin.
+LONG_SENTENCE = 12
+CUT_EVERY = 8
 
 # A sentence with the white space after it: up to . ! or ? before white space, a line end, or
 # the end of the text.
 _SENTENCE = re.compile(rb"[^\n]*?(?:[.!?](?=[ \t\r\n])[ \t\r\n]*|\n[ \t\r\n]*|\Z)", re.S)
 
 
+_WORD = re.compile(rb"[^ \t-\r]+[ \t-\r]*")
+
+
 def sentences(text: bytes) -> list[tuple[int, int]]:
-    """Byte ranges of the sentences, each with the white space that follows it."""
-    return [m.span() for m in _SENTENCE.finditer(text) if m.end() > m.start()]
+    """Byte ranges of the sentences and parts of long ones, with the white space after each."""
+    found = []
+    for m in _SENTENCE.finditer(text):
+        start, end = m.span()
+        if end - start > 2 * LONG_SENTENCE:
+            words = [w.span() for w in _WORD.finditer(text, start, end)]
+            if len(words) > LONG_SENTENCE:
+                before = b""
+                for a, b in words[:-1]:
+                    word = text[a:b].rstrip()
+                    if word[-1] in b",;:" or word == before or zlib.crc32(word) % CUT_EVERY == 0:
+                        found.append((start, b))
+                        start = b
+                    before = word
+        if end > start:
+            found.append((start, end))
+    return found
 
 
 def run_hashes(text: bytes, min_sentences: int, min_words: int) -> tuple[list[tuple[int, int]], list[int], list[int]]:
@@ -61,7 +86,9 @@ def remove_repeats(
 ) -> DataFrame:
     """``docs`` with repeated passages cut from the text, and ``n_sentences``, ``n_removed``.
 
-    A span is a run of at least ``min_sentences`` sentences with at least ``min_words`` words.
+    A span is a run of at least ``min_sentences`` sentences with at least ``min_words`` words;
+    the parts of a long sentence count as sentences, so that a passage is found even if
+    other words join it to its neighbours.
     Of equal spans anywhere in the corpus the first, by (id, hash of the text, place), stays;
     every sentence that another of them covers is removed, with the white space after it.
     Text that is not removed is kept byte for byte, at the end less white space left over.

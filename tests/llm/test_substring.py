@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 
 from claimlens.llm.queries import op9_substring_dedup
@@ -10,19 +9,16 @@ from llm.conftest import PASSAGE
 
 def brute(docs: dict[int, str]) -> dict[int, tuple[str, int, int]]:
     """Text left, sentences and sentences removed, from a table of all runs by their words."""
-    parts = {
-        i: [s for s in re.findall(r"[^\n]*?(?:[.!?](?=[ \t\r\n])[ \t\r\n]*|\n[ \t\r\n]*|\Z)", t, re.S) if s]
-        for i, t in docs.items()
-    }
+    parts = {i: [t.encode()[a:b].decode() for a, b in sentences(t.encode())] for i, t in docs.items()}
     runs = defaultdict(list)
     for i in sorted(parts):
         own = parts[i]
         for k in range(len(own)):
             m = n = 0
-            while k + m < len(own) and (m < 3 or n < 20):
+            while k + m < len(own) and (m < 3 or n < 25):
                 n += len(own[k + m].encode().split())
                 m += 1
-            if m >= 3 and n >= 20:
+            if m >= 3 and n >= 25:
                 runs[b" ".join("".join(own[k : k + m]).encode().split())].append((i, k, k + m))
     gone = defaultdict(set)
     for places in runs.values():
@@ -43,6 +39,33 @@ def test_sentences_cover_the_text():
     assert [text[a:b].decode() for a, b in spans] == ["A b. ", "C d!\n\n ", "e.f g\n", "H? ", "“i” j\r\n"]
 
 
+def test_a_long_sentence_is_cut_at_the_same_places_wherever_it_begins():
+    words = [f"w{i}" for i in range(60)]
+    whole = " ".join(words).encode()
+    cuts = {whole[:b].split()[-1] for _, b in sentences(whole)}
+    assert len(cuts) > 3
+    for start in range(0, 40, 7):
+        text = b"Another start, " + b" ".join(whole.split()[start:])
+        spans = sentences(text)
+        assert b"".join(text[a:b] for a, b in spans) == text
+        assert {text[:b].split()[-1] for _, b in spans if text[:b].split()[-1].startswith(b"w")} == {
+            c for c in cuts if int(c[1:]) >= start
+        }
+    repeated = b"the " * 30
+    assert len(sentences(repeated)) == 29
+
+
+def test_a_short_sentence_is_not_cut():
+    assert len(sentences(b"One, two, three; four: five six seven eight nine ten eleven.")) == 1
+
+
+def test_a_passage_joined_to_other_words_is_found(spark):
+    middle = " ".join(f"word{i * 7 % 101}," if i % 5 == 0 else f"word{i * 7 % 101}" for i in range(60))
+    docs = spark.createDataFrame([(1, f"First text with {middle} and on."), (2, f"Quite another beginning {middle} then more.")], "doc_id bigint, text string")
+    left = {r["doc_id"]: r["text"].split() for r in remove_repeats(docs).collect()}
+    assert len(left[1]) > 60 and len(left[2]) < 25
+
+
 def test_documents_against_brute_force(spark, small_dir, small_docs):
     want = brute({r["doc_id"]: r["text"] for r in small_docs.collect()})
     rows = op9_substring_dedup(spark, small_dir).collect()
