@@ -67,14 +67,18 @@ def with_attention(
     features: Sequence[str] = MODEL_FEATURES,
     name: str = "attention",
 ) -> DataFrame:
-    """Add the feature weights of a ``localglm`` network as ``array<double>``."""
+    """Add the feature weights of a ``localglm`` network as ``array<double>``.
+
+    A row with a missing feature gets null, as its prediction is.
+    """
     spec, theta = model.spec, model.theta
     weights = nets.attention
 
     def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
             x = np.column_stack([np.asarray(c, dtype=float) for c in columns])
-            yield pd.Series(list(weights(spec, theta, x)))
+            whole = ~np.isnan(x).any(axis=1)
+            yield pd.Series([w if ok else None for w, ok in zip(weights(spec, theta, x), whole)])
 
     return df.withColumn(name, F.pandas_udf(run, "array<double>")(*_inputs(features)))
 

@@ -6,6 +6,7 @@ one Spark job per epoch: every task walks through its blocks, starting from the
 parameters of all networks, and returns one row.  In ``local`` mode a
 task takes optimizer steps on mini-batches of its rows, and the resulting parameters are
 averaged with the row counts as weights (one partition is plain mini-batch training).
+How many tasks there are follows from the row count alone, never from the cluster.
 In ``full`` mode tasks only sum gradients and the step is taken once per epoch.
 The validation loss of an epoch's parameters is measured while the next one reads the
 data.
@@ -21,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.models import nets
@@ -41,8 +42,12 @@ cloudpickle.register_pickle_by_value(nets)
 
 # partial results collected directly up to this many; more are summed in groups first
 DIRECT_PARTS = 256
-# rows per training partition: its blocks take less than 100 MB
-ROWS_PER_PART = 1_000_000
+# Training tasks: one per so many rows, and never more than the second number.  Both are
+# part of the method, like the batch size: they decide between which rows steps are averaged.
+ROWS_PER_PART = 25_000
+MOST_PARTS = 4096
+# weights of one model that may come to the driver
+MOST_WEIGHTS = 1_000_000
 BLOCK_SCHEMA = "held boolean, y binary, x binary"
 PART_SCHEMA = "part int, payload array<double>"
 
@@ -55,11 +60,17 @@ class NetModel:
     theta: np.ndarray
     history: list[tuple[int, float, float | None]] = field(default_factory=list)
     best_epoch: int = 0
+    left_out: int = 0  # rows that could not be fitted on
 
 
-def _pack_task(batch: int):
+def parts_for(rows: int) -> int:
+    """Number of training tasks for so many rows."""
+    return min(MOST_PARTS, max(1, math.ceil(rows / ROWS_PER_PART)))
+
+
+def _pack_task(batch: int, precision: type = np.float32):
     """Pack rows (held, claim, features...) into blocks of ``batch`` rows, in order;
-    held-out rows get blocks of their own.  Features become single precision."""
+    held-out rows get blocks of their own.  Features get the given precision."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
@@ -85,7 +96,7 @@ def _pack_task(batch: int):
         for record in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in record.columns]
             held_out, y = columns[0].astype(bool), columns[1]
-            x = np.column_stack(columns[2:]).astype(np.float32)
+            x = np.column_stack(columns[2:]).astype(precision)
             for held in (False, True):
                 chosen = held_out == held
                 waiting[held].append((y[chosen], x[chosen]))
@@ -96,7 +107,9 @@ def _pack_task(batch: int):
     return run
 
 
-def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam]):
+def _epoch_task(
+    mode: str, specs: list[NetSpec], states: list[nets.Nadam], precision: type = np.float32
+):
     """The function run on every partition.  Its row: part number and, in this order, the
     row counts (train, validation), then per network validation and train loss sums,
     followed by parameters and moments times the train count (local) or gradient (full)."""
@@ -115,7 +128,7 @@ def _epoch_task(mode: str, specs: list[NetSpec], states: list[nets.Nadam]):
         for record in batches:
             for held, y_bytes, x_bytes in zip(*record.columns):
                 y = np.frombuffer(y_bytes.as_buffer(), dtype=float)
-                x = np.frombuffer(x_bytes.as_buffer(), dtype=np.float32).reshape(len(y), -1)
+                x = np.frombuffer(x_bytes.as_buffer(), dtype=precision).reshape(len(y), -1)
                 if held.as_py():
                     n_val += len(y)
                     for k, spec in enumerate(specs):
@@ -185,28 +198,28 @@ def fit_nets(
     """Fit every network on the learn rows and keep its best epoch.
 
     ``learn`` carries the features, the claim, ``shuffle_key`` and a unique id; rows with
-    a missing feature or claim cannot be fitted on and are left out.  Training
-    ends after ``epochs``, or when no network has improved its validation loss for
-    ``patience`` epochs.  The result depends on ``partitions`` (default: the cluster's
-    parallelism; raised where a partition would hold too many rows) but not on how the input happens to be partitioned.
+    a missing feature, or without a positive finite claim, cannot be fitted on and are left
+    out; ``left_out`` of the models tells how many.  Training ends after ``epochs``, or, if
+    ``patience`` is given, when no network has improved its validation loss for so many
+    epochs; a network without any epoch of finite loss is an error.  The result
+    depends on ``partitions`` (default: ``parts_for`` the rows fitted on), neither on the
+    cluster nor on how the input happens to be partitioned.
     """
     if mode not in ("local", "full"):
         raise ValueError(f"unknown mode {mode!r}")
     specs = list(specs)
-    n_parts = max(
-        partitions or learn.sparkSession.sparkContext.defaultParallelism,
-        math.ceil(learn.count() / ROWS_PER_PART),
+    flagged = with_validation(learn, validation_split, id_col=id_col).select(
+        "is_validation",
+        F.col(claim).cast("double").alias("_y"),
+        *[F.col(f).cast("float").alias(f) for f in features],
+        "shuffle_key",
+        id_col,
     )
+    can_fit = _can_fit(features)
+    n_rows, n_fit = flagged.agg(F.count(F.lit(1)), F.count_if(can_fit)).first()
+    n_parts = partitions or parts_for(n_fit)
     blocks = (
-        with_validation(learn, validation_split, id_col=id_col)
-        .select(
-            "is_validation",
-            F.col(claim).cast("double").alias("_y"),
-            *[F.col(f).cast("float").alias(f) for f in features],
-            "shuffle_key",
-            id_col,
-        )
-        .dropna(subset=["_y", *features])
+        flagged.filter(can_fit)
         .repartition(n_parts, id_col)
         .sortWithinPartitions("shuffle_key", id_col)
         .drop("shuffle_key", id_col)
@@ -218,7 +231,7 @@ def fit_nets(
         nets.Nadam(np.asarray(t, dtype=float), np.zeros(s.size), np.zeros(s.size), rate=rate)
         for s, t in zip(specs, start)
     ]
-    models = [NetModel(s, st.theta.copy()) for s, st in zip(specs, states)]
+    models = [NetModel(s, st.theta.copy(), left_out=n_rows - n_fit) for s, st in zip(specs, states)]
     best = [math.inf] * len(specs)
     train_losses: list[list[float]] = [[] for _ in specs]
     since_best = 0
@@ -268,9 +281,58 @@ def fit_nets(
                 break
     finally:
         blocks.unpersist()
+    lost = [m.spec.name for m in models if m.history and not m.best_epoch]
+    if lost:
+        raise ValueError(f"no epoch with a finite loss: {', '.join(lost)}")
     return models
 
 
+def _can_fit(features: Sequence[str]) -> Column:
+    """Positive finite claim ``_y`` and no missing feature."""
+    fits = (F.col("_y") > 0) & (F.col("_y") < math.inf)
+    for f in features:
+        fits = fits & F.col(f).isNotNull() & ~F.isnan(f)
+    return F.coalesce(fits, F.lit(False))
+
+
+def mean_gradients(
+    df: DataFrame,
+    models: Sequence[NetModel],
+    features: Sequence[str] = MODEL_FEATURES,
+    claim: str = "Claim",
+    batch_size: int = BATCH_SIZE,
+    id_col: str = "Id",
+) -> list[tuple[float, np.ndarray]]:
+    """Mean loss and its gradient over all rows, per network, in double precision.
+
+    The tasks and sums are those of fitting in ``full`` mode; rows that cannot be fitted on are
+    left out.
+    """
+    rows = df.select(
+        F.lit(False).alias("_held"),
+        F.col(claim).cast("double").alias("_y"),
+        *[F.col(f).cast("double").alias(f) for f in features],
+        F.col(id_col).alias("_id"),
+    ).filter(_can_fit(features))
+    n_parts = parts_for(rows.count())
+    blocks = (
+        rows.repartition(n_parts, "_id")
+        .sortWithinPartitions("_id")
+        .drop("_id")
+        .mapInArrow(_pack_task(batch_size, np.float64), BLOCK_SCHEMA)
+    )
+    specs = [m.spec for m in models]
+    states = [nets.Nadam(m.theta, np.zeros(m.spec.size), np.zeros(m.spec.size)) for m in models]
+    total = _total(blocks.mapInArrow(_epoch_task("full", specs, states, np.float64), PART_SCHEMA), n_parts)
+    n, at, out = total[0], 2, []
+    if n == 0:
+        raise ValueError("no rows to fit on")
+    for spec in specs:
+        out.append((float(total[at + 1] / n), total[at + 2 : at + 2 + spec.size] / n))
+        at += 2 + spec.size
+    return out
+
+
 def history_table(spark: SparkSession, models: Sequence[NetModel]) -> DataFrame:
     """``model, epoch, train_loss, val_loss`` (epochs times models rows)."""
     return spark.createDataFrame(
@@ -293,14 +355,18 @@ def weights_table(spark: SparkSession, models: Sequence[NetModel]) -> DataFrame:
 
 def load_model(weights: DataFrame) -> NetModel:
     """Rebuild a network from the weight rows of one run (about a thousand numbers)."""
-    rows = weights.collect()
+    rows = weights.limit(MOST_WEIGHTS + 1).collect()
     if not rows:
         raise ValueError("no weights for this run")
+    if len(rows) > MOST_WEIGHTS:
+        raise ValueError(f"more than {MOST_WEIGHTS} weights")
+    if len({(r["layer"], r["i"], r["j"]) for r in rows}) < len(rows):
+        raise ValueError("more than one weight in the same place: not the rows of one run")
     shapes: dict[str, tuple[int, int]] = {}
     for r in rows:
         a, b = shapes.get(r["layer"], (0, 0))
         shapes[r["layer"]] = (max(a, r["i"] + 1), max(b, r["j"] + 1))
-    hidden = sorted(name for name in shapes if name.startswith("layer"))
+    hidden = sorted((n for n in shapes if n.startswith("layer")), key=lambda n: int(n[5:]))
     spec = NetSpec(
         rows[0]["model"],
         rows[0]["kind"],

@@ -45,9 +45,10 @@ def category_levels(
 
 
 def level_code(column: str, levels: Sequence[str]) -> Column:
-    """1-based position of the value among ``levels``; 0 for an unseen value, null for null."""
+    """1-based position of the value among ``levels``; null for null and for an unseen value,
+    which no model can be asked about."""
     known = F.array(*[F.lit(v) for v in levels]) if levels else F.array().cast("array<string>")
-    return F.array_position(known, F.col(column).cast("string")).cast("int")
+    return F.nullif(F.array_position(known, F.col(column).cast("string")).cast("int"), F.lit(0))
 
 
 def level_codes(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:

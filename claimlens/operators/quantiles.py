@@ -18,23 +18,23 @@ from pyspark.sql import types as T
 SMALL_GROUP = 300_000
 FEW_ROWS = 100_000
 BINS = 4096
-MAX_GROUPS = 10_000
 
 
-def _group_stats(df: DataFrame, value: str, by: Sequence[str]) -> list[Row]:
-    rows = (
-        df.groupBy(*by)
-        .agg(
-            F.count(value).alias("n"),
-            F.min(value).cast("double").alias("lo"),
-            F.max(value).cast("double").alias("hi"),
-        )
-        .limit(MAX_GROUPS + 1)
-        .collect()
+def _group_stats(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
+    """Per group: rows with a value, and how many of them are NaN or infinite.
+
+    NaN counts as larger than any number, as in Spark's order.
+    """
+    x = F.col(value).cast("double")
+    finite = F.when(~F.isnan(x) & (F.abs(x) < math.inf), x)
+    return df.groupBy(*by).agg(
+        F.count(x).alias("n"),
+        F.count_if(x == -math.inf).alias("lowest"),
+        F.count_if(x == math.inf).alias("highest"),
+        F.count_if(F.isnan(x)).alias("nans"),
+        F.min(finite).alias("lo"),
+        F.max(finite).alias("hi"),
     )
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups; quantiles are meant for few groups")
-    return rows
 
 
 def _in_intervals(
@@ -102,8 +102,19 @@ def _locate(
             open_.setdefault((g, lo, hi, below, n), set()).update(wanted)
 
     for g, row in enumerate(groups):
-        if row["n"]:
-            settle(g, row["lo"], row["hi"], 0, row["n"], ranks[g])
+        # infinite values and NaN have ranks of their own, below and above the others
+        below = row["lowest"]
+        upto = row["n"] - row["nans"] - row["highest"]
+        for r in ranks[g]:
+            if r < below:
+                found[g][r] = (-math.inf, 0)
+            elif r >= row["n"] - row["nans"]:
+                found[g][r] = (math.nan, row["n"] - row["nans"])
+            elif r >= upto:
+                found[g][r] = (math.inf, upto)
+        inner = {r for r in ranks[g] if below <= r < upto}
+        if inner:
+            settle(g, row["lo"], row["hi"], below, upto - below, inner)
 
     key_fields = [df.schema[c] for c in by]
     values = df.select(*by, F.col(value).cast("double").alias("_x"))
@@ -133,7 +144,8 @@ def _locate(
                 found[k[0]][row["_rank"]] = (row["x"], k[3] + row["less"])
             break
         bin_ = F.least(
-            F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins),
+            # of halves, whose difference cannot overflow
+            F.floor((F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2) * bins),
             F.lit(bins - 1),
         )
         histogram = inside.groupBy("_interval", bin_.alias("_bin")).agg(
@@ -148,12 +160,15 @@ def _locate(
             .collect()
         )
         previous = intervals
+        before = set(open_)
         open_ = {}
         for row in hits:
             g, _, _, below, _ = previous[row["_interval"]]
             settle(
                 g, row["lo"], row["hi"], below + row["_cum"] - row["n"], row["n"], {row["_rank"]}
             )
+        if before & set(open_):
+            raise ArithmeticError("an interval did not get narrower")
     return found
 
 
@@ -165,7 +180,7 @@ def order_statistic(
     bins: int = BINS,
 ) -> tuple[float, int]:
     """The value at 0-based ``rank`` and the number of rows with a smaller value."""
-    (row,) = _group_stats(df, value, [])
+    row = _group_stats(df, value, []).first()
     if not 0 <= rank < row["n"]:
         raise IndexError(f"rank {rank} outside 0..{row['n'] - 1}")
     ((x, below),) = [
@@ -187,13 +202,27 @@ def exact_quantiles(
     """Quantiles with linear interpolation between order statistics.
 
     Returns ``by..., prob, quantile``.  Nulls are skipped; a group without values gives
-    null quantiles.  ``by`` must describe few groups.  ``at_most`` is a bound on the rows
-    of a group, where the caller has counted already.
+    null quantiles; NaN counts as larger than any number.  There may be any number of
+    groups: only the large ones, at most one per ``small_group`` rows, are located one by one.
+    ``at_most`` is a bound on the rows of a group, where the caller has counted already.
     """
     by, probs = list(by), [float(p) for p in probs]
     small = at_most is not None and at_most <= small_group
-    groups = [] if small else _group_stats(df, value, by)
-    if all(g["n"] <= small_group for g in groups):
+    large = F.col("n") > small_group
+    groups = [] if small else _group_stats(df, value, by).filter(large).collect()
+    schema = T.StructType(
+        [df.schema[c] for c in by]
+        + [T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType())]
+    )
+    rest = None
+    if groups and by:
+        key_schema = T.StructType([T.StructField(f"_k{j}", df.schema[c].dataType) for j, c in enumerate(by)])
+        keys = df.sparkSession.createDataFrame([tuple(g[c] for c in by) for g in groups], key_schema)
+        same = [F.col(c).eqNullSafe(F.col(f"_k{j}")) for j, c in enumerate(by)]
+        rest = exact_quantiles(
+            df.join(keys, same, "left_anti"), value, probs, by, small_group, few_rows, bins, small_group
+        )
+    if not groups:
         listed = df.groupBy(*by).agg(
             F.percentile(F.col(value).cast("double"), F.array(*[F.lit(p) for p in probs])).alias("_q")
         )
@@ -221,13 +250,10 @@ def exact_quantiles(
             if g["n"]:
                 low, high, part = around(g["n"], p)
                 a, b = at[low][0], at[high][0]
-                q = a + part * (b - a)
+                q = a if part == 0 or a == b else (1 - part) * a + part * b
             rows.append((*[g[c] for c in by], p, q))
-    schema = T.StructType(
-        [df.schema[c] for c in by]
-        + [T.StructField("prob", T.DoubleType()), T.StructField("quantile", T.DoubleType())]
-    )
-    return df.sparkSession.createDataFrame(rows, schema)
+    located = df.sparkSession.createDataFrame(rows, schema)
+    return located if rest is None else located.union(rest)
 
 
 def approximate_quantiles(

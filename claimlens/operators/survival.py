@@ -28,11 +28,12 @@ def ecdf_by_id(df: DataFrame, value: str = "Claim", id_col: str = "Id") -> DataF
     """The same for a table numbered 1..n in descending order of ``value``.
 
     The numbers already are the ranks, so one aggregation is enough and nothing is
-    sorted again.
+    sorted again.  Rows without a value are numbered last and do not count.
     """
-    n = df.agg(F.max(id_col)).scalar()
+    n = df.agg(F.count(value)).scalar()
     return (
-        df.groupBy(F.col(value).cast("double").alias("x"))
+        df.filter(F.col(value).isNotNull())
+        .groupBy(F.col(value).cast("double").alias("x"))
         .agg(F.count(F.lit(1)).alias("cnt"), F.min(id_col).alias("first_id"))
         .select("x", "cnt", ((n - F.col("first_id") + 1) / n).alias("ecdf"))
     )

@@ -2,9 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from claimlens import schema
 from claimlens.operators.features import SCALED
-from claimlens.plans.registry import CURVE_POINTS, GLM_GROUPS, SUMMARY_COLUMNS
+from claimlens.plans.registry import (
+    CURVE_POINTS,
+    FIXED_POWERS,
+    GLM_GROUPS,
+    GLM_POWERS,
+    SUMMARY_COLUMNS,
+)
 
 CLAIMS = """
 claims AS (
@@ -374,6 +382,112 @@ scored AS (
     return ctes
 
 
+def _fixed_gradients() -> tuple[list[str], list[tuple[str, str, float, list[tuple[str, int, int, str, str]]]]]:
+    """CTEs with the derivatives by the chain rule, one per layer and model, and per model:
+    name, CTE, power, and (layer, i, j, start value, derivative of a row)."""
+    hidden = list(schema.HIDDEN_LAYERS)
+    inputs = [schema.MODEL_FEATURES] + [[f"h{k}_{j}" for j in range(n)] for k, n in enumerate(hidden)]
+    last = len(hidden) - 1
+    log_mean = f"ln({NULL_MEAN})"
+    ctes, models = [], []
+    features = schema.MODEL_FEATURES
+    ffn = "".join(f" + {x} * ({_entry(i, 0)})" for i, x in enumerate(inputs[-1]))
+    local = " + ".join(f"{f} * b{j}" for j, f in enumerate(features))
+    for kind in ("ffn", "localglm"):
+        for label, p in FIXED_POWERS.items():
+            name = f"{kind}_{label}"
+            eta = f"{log_mean}{ffn}" if kind == "ffn" else f"{log_mean} + 0.5 * ({local})"
+            ctes.append(
+                f"\n{name}_mu AS (SELECT *, {local} AS score, exp({eta}) AS mu, {NULL_MEAN} AS m FROM net_attention WHERE split = 'learn')"
+            )
+            ctes.append(f"\n{name}_s AS (SELECT *, 2 * (pow(mu, {2 - p}) - Claim * pow(mu, {1 - p})) AS s FROM {name}_mu)")
+            source = f"{name}_s"
+            slots = []
+            if kind == "ffn":
+                slots += [("output", i, 0, repr(_entry(i, 0)), f"{x} * s") for i, x in enumerate(inputs[-1])]
+                back = [f"s * ({_entry(i, 0)})" for i in range(hidden[-1])]
+            else:
+                slots.append(("output", 0, 0, "0.5", "score * s"))
+                beta = [f"s * 0.5 * {f}" for f in features]
+                slots += [
+                    ("attention", i, j, repr(_entry(i, j)), f"{x} * {beta[j]}")
+                    for i, x in enumerate(inputs[-1])
+                    for j in range(len(features))
+                ]
+                slots += [("attention", -1, j, repr(_bias(j)), beta[j]) for j in range(len(features))]
+                back = [
+                    " + ".join(f"{beta[j]} * ({_entry(i, j)})" for j in range(len(features)))
+                    for i in range(hidden[-1])
+                ]
+            slots.append(("output", -1, 0, "ln(max(m))", "s"))
+            for layer in range(last, -1, -1):
+                pre = [f"d{layer}_{j}" for j in range(hidden[layer])]
+                ctes.append(
+                    f"\n{name}_{layer} AS (SELECT *, "
+                    + ", ".join(f"({b}) * (1 - h{layer}_{j} * h{layer}_{j}) AS {pre[j]}" for j, b in enumerate(back))
+                    + f" FROM {source})"
+                )
+                source = f"{name}_{layer}"
+                slots += [
+                    (f"layer{layer + 1}", i, j, repr(_entry(i, j)), f"{x} * {d}")
+                    for i, x in enumerate(inputs[layer])
+                    for j, d in enumerate(pre)
+                ]
+                slots += [(f"layer{layer + 1}", -1, j, repr(_bias(j)), d) for j, d in enumerate(pre)]
+                if layer:
+                    back = [
+                        " + ".join(f"{d} * ({_entry(i, j)})" for j, d in enumerate(pre))
+                        for i in range(hidden[layer - 1])
+                    ]
+            models.append((name, source, p, slots))
+    return ctes, models
+
+
+def _parameters(value: Callable[[str, str, float], str]) -> str:
+    """One row per parameter of the six networks: ``value(start, mean derivative, power)``."""
+    ctes, models = _fixed_gradients()
+    parts = []
+    for name, source, p, slots in models:
+        listed = ", ".join(
+            f"{{'layer': '{layer}', 'i': {i}, 'j': {j}, 'value': {value(start, f'avg({d})', p)}}}"
+            for layer, i, j, start, d in slots
+        )
+        parts.append(
+            f"SELECT '{name}' AS model, r.layer AS layer, CAST(r.i AS INTEGER) AS i, CAST(r.j AS INTEGER) AS j, "
+            f"round(r.value, 6) + 0.0 AS value FROM (SELECT unnest([{listed}]) AS r FROM {source})"
+        )
+    return _with(FEATURES, _union(parts), *_network()[:-1], *ctes)
+
+
+def _nadam(start: str, gradient: str) -> str:
+    """The first step of the optimizer from zero moments."""
+    now, following = (0.9 * (1 - 0.5 * 0.96 ** (0.004 * t)) for t in (1, 2))
+    share = 0.1 * following / (1 - now * following) + 1
+    return f"{start} - 0.001 * {share!r} * {gradient} / (abs({gradient}) + 1e-7)"
+
+
+def _glm_scores() -> str:
+    names = ["intercept", *(f for f in schema.MODEL_FEATURES if f != "Marital1")]
+    models = ", ".join(f"('{m}')" for m in GLM_POWERS)
+    features = ", ".join(f"('{f}')" for f in names)
+    return (
+        f"SELECT model, feature, CAST(0 AS DOUBLE) AS score FROM (VALUES {models}) m(model), "
+        f"(VALUES {features}) f(feature)"
+    )
+
+
+def _repeated() -> str:
+    wide = ", ".join(f"max(CASE WHEN key = '{k}' THEN value END) AS {k}" for k in schema.METRICS)
+    return _with(
+        FEATURES,
+        "SELECT experiment, * EXCLUDE (experiment, attempt), rank() OVER (PARTITION BY experiment ORDER BY test_p2) AS place "
+        f"FROM (SELECT model AS run_name, {wide} FROM metrics GROUP BY model), "
+        "(VALUES ('first'), ('second')) e(experiment), (VALUES (1), (2)) a(attempt)",
+        *_network(),
+        f"\nmetrics AS ({_metrics(['null_model', 'ffn_fixed'], 'scored')})",
+    )
+
+
 def _design() -> str:
     return _union(
         [
@@ -483,6 +597,16 @@ def all_oracles() -> dict[str, str]:
                 ]
             ),
         ),
+        "split_quantiles_large": _with(
+            BASE,
+            _union(
+                [
+                    f"SELECT split, CAST({p} AS DOUBLE) AS prob, round(quantile_cont(Claim, {p}), 4) AS quantile "
+                    "FROM base GROUP BY split"
+                    for p in schema.SPLIT_PROBS
+                ]
+            ),
+        ),
         "shuffle_validation": _with(
             BASE, "SELECT Id, shuffle_key, is_validation FROM validated", VALIDATION
         ),
@@ -531,6 +655,11 @@ def all_oracles() -> dict[str, str]:
         "claim_ranges": _with(BASE, _ranges()),
         "delay_ranges": _with(BASE, _delay_ranges()),
         "table_summary": _with(FEATURES, _summary("features", SUMMARY_COLUMNS)),
+        "table_summary_large": _with(FEATURES, _summary("features", SUMMARY_COLUMNS)),
+        "net_gradient_fixed": _parameters(lambda _, g, p: f"{g} * pow(max(m), {p - 2})"),
+        "nadam_step_fixed": _parameters(lambda start, g, _: _nadam(start, g)),
+        "glm_score": _glm_scores(),
+        "repeated_runs": _repeated(),
         "claim_summary": _with(SILVER, _summary("silver", ["Claim"])),
         "level_counts": _with(BASE, _levels(schema.CATEGORICAL, "base", "count(*) AS n")),
         "distinct_counts": _with(

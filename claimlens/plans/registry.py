@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from claimlens import schema
 from claimlens.functions.deviance import square_loss
 from claimlens.functions.numeric import cube_root, hash32, positive_log
+from claimlens.functions.text import rows as inline_rows
 from claimlens.models.baseline import with_mean_severity
 from claimlens.models.glm import fit_glm, predict_glm
-from claimlens.models.nets import NetSpec
+from claimlens.models.nets import Nadam, NetSpec
 from claimlens.models.report import best_epoch, compare_runs, loss_curve, loss_report
 from claimlens.models.scoring import score, score_claims, with_attention
 from claimlens.models.tracking import RunLog
@@ -27,6 +28,7 @@ from claimlens.models.training import (
     fit_nets,
     history_table,
     load_model,
+    mean_gradients,
     weights_table,
 )
 from claimlens.operators import profile as prof
@@ -84,9 +86,7 @@ SUMMARY_COLUMNS = [
     "RepYear",
     "RepDelay",
     "RepDelayCap",
-    *[c for c in SCALED if c not in ("RandNN", "RandUN")],
-    "RandNN",
-    "RandUN",
+    *SCALED,
     "Marital1",
     "Marital2",
     "Marital3",
@@ -202,6 +202,15 @@ def split_quantiles(w: Workspace) -> DataFrame:
     return q.select("split", "prob", r("quantile").alias("quantile"))
 
 
+@query
+def split_quantiles_large(w: Workspace) -> DataFrame:
+    """The same by narrowing, the way groups of any size go."""
+    q = exact_quantiles(
+        w.features, "Claim", schema.SPLIT_PROBS, by=["split"], small_group=1, few_rows=50
+    )
+    return q.select("split", "prob", r("quantile").alias("quantile"))
+
+
 @query
 def shuffle_validation(w: Workspace) -> DataFrame:
     """Learn rows with their place in the fit: training or validation tail."""
@@ -319,6 +328,12 @@ def table_summary(w: Workspace) -> DataFrame:
     return _rounded_summary(numeric_summary(w.features, SUMMARY_COLUMNS))
 
 
+@query
+def table_summary_large(w: Workspace) -> DataFrame:
+    """The same with quartiles by narrowing."""
+    return _rounded_summary(numeric_summary(w.features, SUMMARY_COLUMNS, small_group=1))
+
+
 @query
 def claim_summary(w: Workspace) -> DataFrame:
     return _rounded_summary(numeric_summary(w.silver, ["Claim"]))
@@ -467,13 +482,13 @@ def local_regression(w: Workspace) -> DataFrame:
 # --- models ------------------------------------------------------------------------
 
 
-def fixed_net(kind: str, name: str, mean_claim: float) -> NetModel:
+def fixed_net(kind: str, name: str, mean_claim: float, power: float = 2.0) -> NetModel:
     """A network with weights from a formula, so that another engine can repeat it.
 
     Entry (i, j) of every hidden matrix is ((7 i + 3 j) mod 11 - 5) / 50, bias j is
     (j mod 5 - 2) / 50; the output bias is the log of the mean claim.
     """
-    spec = NetSpec(name, kind)
+    spec = NetSpec(name, kind, power)
     theta = np.zeros(spec.size)
     for (layer, a, b), (w, bias) in zip(spec.layers, spec.unpack(theta)):
         i, j = np.indices((a, b))
@@ -543,9 +558,51 @@ def calibration(w: Workspace) -> DataFrame:
     return out.select("feature", "level", "n", *[r(c).alias(c) for c in numbers])
 
 
+FIXED_POWERS = {"p2": 2.0, "pp": schema.POWER, "p3": 3.0}
+
+
+def _powered_nets(w: Workspace) -> list[NetModel]:
+    return [
+        fixed_net(kind, f"{kind}_{label}", w.mean_claim, power)
+        for kind in ("ffn", "localglm")
+        for label, power in FIXED_POWERS.items()
+    ]
+
+
+def _parameter_rows(w: Workspace, models: list[NetModel], digits: int) -> DataFrame:
+    rows = weights_table(w.spark, models).select("model", "layer", "i", "j", "value")
+    return rows.withColumn("value", r("value", digits) + 0.0)
+
+
+@query
+def net_gradient_fixed(w: Workspace) -> DataFrame:
+    """Mean gradient over the learn rows of six formula-weight networks.
+
+    Multiplied by the mean claim to the power p - 2, which makes all powers alike in size.
+    """
+    models = _powered_nets(w)
+    found = mean_gradients(learn_rows(w.features), models)
+    scaled = [
+        NetModel(m.spec, g * w.mean_claim ** (m.spec.power - 2)) for m, (_, g) in zip(models, found)
+    ]
+    return _parameter_rows(w, scaled, 6)
+
+
+@query
+def nadam_step_fixed(w: Workspace) -> DataFrame:
+    """Parameters of the same networks after one optimizer step on the whole gradient."""
+    models = _powered_nets(w)
+    stepped = []
+    for m, (_, gradient) in zip(models, mean_gradients(learn_rows(w.features), models)):
+        state = Nadam(m.theta, np.zeros(m.spec.size), np.zeros(m.spec.size))
+        state.update(gradient)
+        stepped.append(NetModel(m.spec, state.theta))
+    return _parameter_rows(w, stepped, 6)
+
+
 @query
 def batch_scoring(w: Workspace) -> DataFrame:
-    """Keep a model and its features as tables, load them back, score every raw claim."""
+    """Keep a model and its features as tables, load them back, score every numbered claim."""
     log = RunLog(w.spark, stage_path(w.spark, "kept-model"), "severity")
     log.log_weights(weights_table(w.spark, _fixed_nets(w)))
     log.log_features(["localglm_fixed"], w.spec)
@@ -614,6 +671,22 @@ def run_log(w: Workspace) -> DataFrame:
     return log.runs()
 
 
+@query
+def repeated_runs(w: Workspace) -> DataFrame:
+    """The same two models logged twice in each of two experiments, and compared there."""
+    folder = stage_path(w.spark, "repeated-runs")
+    models = ["null_model", "ffn_fixed"]
+    report = loss_report(score(with_mean_severity(w.features), _fixed_nets(w)[:1]), models)
+    compared = None
+    for experiment in ("first", "second"):
+        log = RunLog(w.spark, folder, experiment)
+        for _ in range(2):
+            log.log_report(report, ids={m: log.start_run(m) for m in models})
+        runs = compare_runs(log.runs())
+        compared = runs if compared is None else compared.union(runs)
+    return compared.drop("run_id").withColumn("place", F.col("place").cast("bigint"))
+
+
 # points of the history below: sizes from half to one and a half times the mean
 CURVE_POINTS = 100
 
@@ -682,7 +755,31 @@ def glm_tweedie(w: Workspace) -> DataFrame:
     return _glm_report(w, {"glm_pp": schema.POWER, "glm_p3": 3.0})
 
 
-PATIENCE = 10
+@query
+def glm_score(w: Workspace) -> DataFrame:
+    """First-order condition of the fitted GLMs: the mean of (y - mu) mu^(1-p) x is zero.
+
+    Per feature, as a share of the mean of its size; ``intercept`` is x = 1.
+    """
+    inputs = [f for f in schema.MODEL_FEATURES if f != "Marital1"]
+    learn = learn_rows(w.features).select("Claim", *inputs).persist()
+    try:
+        models = {n: (fit_glm(learn, inputs, p), p) for n, p in GLM_POWERS.items()}
+    finally:
+        learn.unpersist()
+    scored = learn
+    sums, table = [], []
+    for name, (model, p) in models.items():
+        scored = predict_glm(scored, model, inputs, name)
+        for k, x in enumerate(["1", *inputs]):
+            pull = f"(Claim - {name}) * pow({name}, {1 - p}) * {x}"
+            sums += [f"sum({pull}) AS s_{name}_{k}", f"sum(abs({pull})) AS a_{name}_{k}"]
+            shown = "intercept" if x == "1" else x
+            table.append({"model": f"'{name}'", "feature": f"'{shown}'", "score": f"round(try_divide(s_{name}_{k}, a_{name}_{k}), 4) + 0D"})
+    return scored.selectExpr(*sums).selectExpr(inline_rows(table))
+
+
+GLM_POWERS = {"glm_p2": 2.0, "glm_pp": schema.POWER, "glm_p3": 3.0}
 
 
 def _net_report(w: Workspace, kind: str) -> DataFrame:
@@ -690,7 +787,7 @@ def _net_report(w: Workspace, kind: str) -> DataFrame:
         NetSpec(f"{kind}_{label}", kind, power)
         for label, power in (("p2", 2.0), ("pp", schema.POWER), ("p3", 3.0))
     ]
-    models = fit_nets(learn_rows(w.features), specs, w.mean_claim, patience=PATIENCE)
+    models = fit_nets(learn_rows(w.features), specs, w.mean_claim)
     report = loss_report(score(w.features, models), [s.name for s in specs])
     epochs = best_epoch(history_table(w.spark, models), ["model"]).select(
         "model", F.lit("best_epoch").alias("key"), F.col("epoch").cast("double").alias("value")
@@ -714,8 +811,7 @@ def localglm_fit(w: Workspace) -> DataFrame:
 def seven_models(w: Workspace) -> DataFrame:
     """The whole modelling run: seven models fitted, logged and compared."""
     folder = stage_path(w.spark, "seven-models")
-    out = fit_severity_models(silver_claims(w), folder, patience=PATIENCE)
-    return out.comparison
+    return fit_severity_models(silver_claims(w), folder).comparison
 
 
 @query

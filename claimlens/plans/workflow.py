@@ -16,8 +16,10 @@ from claimlens.models.tracking import RunLog
 from claimlens.models.training import NetModel, fit_nets, history_table, weights_table
 from claimlens.operators.cleaning import filter_claims, number_claims
 from claimlens.operators.features import apply_features, fit_features
-from claimlens.operators.split import learn_rows, with_split
+from claimlens.operators.profile import calibration
+from claimlens.operators.split import learn_rows, test_rows, with_split
 from claimlens.sources import catalog
+from claimlens.sources.storage import stage
 
 NULL_MODEL = "null_model"
 
@@ -43,8 +45,10 @@ class SeverityModels:
     scored: DataFrame  # features, split and one prediction column per model
     models: list[NetModel]
     history: DataFrame
+    calibration: DataFrame  # observed and fitted means of the test rows by feature level
     comparison: DataFrame
     log: RunLog
+    runs: dict[str, str]  # model name -> run id
 
 
 def build_silver(
@@ -83,19 +87,33 @@ def fit_severity_models(
     scored = score(prepared.selectExpr("*", f"{mean_claim!r}D AS {NULL_MODEL}"), models)
     log = RunLog(spark, folder, experiment)
     names = {NULL_MODEL: "Constant", **{n: shown for n, (shown, _, _) in NETWORKS.items()}}
-    log.log_report(loss_report(scored, list(names)), names)
+    runs = {name: log.start_run(shown) for name, shown in names.items()}
+    log.log_report(loss_report(scored, list(names)), names, runs)
     settings = {
-        "epochs": fit_settings.get("epochs", schema.EPOCHS),
         "batch_size": fit_settings.get("batch_size", schema.BATCH_SIZE),
         "validation_split": fit_settings.get("validation_split", schema.VALIDATION_SPLIT),
     }
-    log.log_params({name: (names[name], settings) for name in NETWORKS})
-    log.log_weights(weights_table(spark, models))
-    log.log_features(list(NETWORKS), spec)
+    log.log_params(
+        {
+            runs[m.spec.name]: (
+                names[m.spec.name],
+                {"epochs": len(m.history), "rows_left_out": m.left_out, **settings},
+            )
+            for m in models
+        }
+    )
+    history = history_table(spark, models)
+    log.log_history(history, runs)
+    log.log_weights(weights_table(spark, models), runs)
+    log.log_features([runs[name] for name in NETWORKS], spec)
+    fitted = stage(calibration(test_rows(scored), schema.CALIBRATION_FEATURES, list(names)), "calibration")
+    log.log_calibration(fitted, runs)
     return SeverityModels(
         scored=scored,
         models=models,
-        history=history_table(spark, models),
+        history=history,
+        calibration=fitted,
         comparison=compare_runs(log.runs()),
         log=log,
+        runs=runs,
     )

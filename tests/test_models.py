@@ -123,6 +123,52 @@ def test_fit_repeats_exactly_and_ignores_input_partitions(signal, monkeypatch):
     np.testing.assert_allclose(once, fit(signal), rtol=1e-12)
 
 
+def test_tasks_follow_from_the_rows(monkeypatch):
+    assert [training.parts_for(n) for n in (0, 1, 25_000, 25_001, 10**12)] == [1, 1, 1, 2, 4096]
+
+
+@pytest.mark.parametrize("cuts", [1, 8, 64])
+def test_fitting_does_not_depend_on_input_partitions(signal, monkeypatch, cuts):
+    monkeypatch.setattr(training, "ROWS_PER_PART", 600)
+    spec = [NetSpec("f", "ffn", 2.0, 2, (4,))]
+    fits = [
+        fit_nets(df, spec, 3.0, ["a", "b"], epochs=2, batch_size=100)[0].theta
+        for df in (signal, signal.repartition(cuts))
+    ]
+    np.testing.assert_array_equal(*fits)
+
+
+def test_rows_that_cannot_be_fitted_are_left_out(signal):
+    spec = [NetSpec("f", "ffn", 2.0, 2, (4,))]
+    bad = [0.0, -1.0, None, float("nan"), float("inf")]
+    cases = F.element_at(F.array(*[F.lit(b).cast("double") for b in bad]), (F.col("Id") % 5 + 1).cast("int"))
+    spoiled = signal.withColumn("Claim", F.when(F.col("Id") <= 25, cases).otherwise(F.col("Claim")))
+    spoiled = spoiled.withColumn("a", F.when(F.col("Id") != 26, F.col("a")))
+    (m,) = fit_nets(spoiled, spec, 3.0, ["a", "b"], epochs=3, batch_size=200, partitions=1)
+    assert m.left_out == 26 and m.best_epoch > 0
+    assert all(np.isfinite([t, v]).all() for _, t, v in m.history)
+
+
+def test_no_epoch_with_a_finite_loss_is_an_error(signal):
+    spec = [NetSpec("f", "ffn", 3.0, 2, (4,))]
+    broken = [np.full(spec[0].size, np.nan)]
+    with pytest.raises(ValueError, match="finite loss"):
+        fit_nets(signal, spec, 3.0, ["a", "b"], epochs=2, partitions=1, warm_start=broken)
+
+
+def test_kept_epoch_has_the_smallest_validation_loss(signal):
+    from claimlens.operators.split import with_validation
+
+    spec = NetSpec("f", "ffn", 2.0, 2, (4,))
+    (m,) = fit_nets(signal, [spec], 3.0, ["a", "b"], epochs=12, rate=0.2, batch_size=200, partitions=2)
+    losses = [v for _, _, v in m.history]
+    assert m.best_epoch == 1 + losses.index(min(losses))
+    held = with_validation(signal).filter("is_validation")
+    kept = held.select("a", "b", "Claim").toPandas().to_numpy(float)
+    loss, _ = loss_and_gradient(spec, m.theta, kept[:, :2].astype(np.float32), kept[:, 2])
+    assert loss / len(kept) == pytest.approx(min(losses), rel=1e-4)
+
+
 def test_one_partition_is_plain_minibatch_training(signal):
     spec = NetSpec("f", "ffn", 2.0, 2, (4,))
     (m,) = fit_nets(
@@ -197,6 +243,8 @@ def test_missing_feature_gives_no_prediction(lab):
 
 def test_attention_explains_the_prediction(lab):
     model = fixed_net("localglm", "l", 5000.0)
+    holes = lab.features.filter("Id < 5").withColumn("AgeNN", F.lit(None).cast("double"))
+    assert with_attention(holes, model).filter("attention IS NOT NULL").count() == 0
     df = with_attention(score(lab.features, [model]), model).limit(20).collect()
     for r in df:
         x = np.array([float(r[f]) for f in schema.MODEL_FEATURES])
@@ -214,6 +262,25 @@ def test_weights_table_round_trip(spark, tmp_path, kind):
     np.testing.assert_array_equal(kept.theta, model.theta)
     with pytest.raises(ValueError):
         load_model(log.weights("other"))
+    # another experiment does not see the run, and two runs in one are refused
+    with pytest.raises(ValueError):
+        load_model(RunLog(spark, str(tmp_path), "f").weights("m"))
+    RunLog(spark, str(tmp_path), "f").log_weights(weights_table(spark, [model]))
+    assert load_model(log.weights("m")).spec == model.spec
+    log.log_weights(weights_table(spark, [model]))
+    with pytest.raises(ValueError, match="same place"):
+        load_model(log.weights("m"))
+
+
+def test_layers_beyond_nine_keep_their_order(spark, tmp_path):
+    spec = NetSpec("deep", "ffn", 2.0, 3, tuple(range(3, 15)))
+    log = RunLog(spark, str(tmp_path), "e")
+    run = log.start_run("Deep net")
+    assert run.startswith("deep-net-") and run != log.start_run("Deep net")
+    log.log_weights(weights_table(spark, [NetModel(spec, spec.start(2.0, 1))]), {"deep": run})
+    kept = load_model(log.weights(run))
+    assert kept.spec.hidden == spec.hidden
+    np.testing.assert_array_equal(kept.theta, spec.start(2.0, 1))
 
 
 def test_run_log_appends_and_separates_experiments(spark, tmp_path):

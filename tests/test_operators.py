@@ -402,3 +402,51 @@ def test_local_regression_binned_is_close_to_direct(lab):
     binned = {r["i"]: r["fit"] for r in local_quadratic(*args).collect()}
     assert len(binned) == 101
     assert max(abs(direct[i] - binned[i]) for i in range(98)) < 1e-3
+
+
+# --- values beyond the finite numbers -----------------------------------------------
+
+
+@pytest.mark.parametrize("small", [10**6, 1])
+@pytest.mark.parametrize(
+    "values",
+    [
+        [1.0, 2.0, float("nan"), 4.0, None, 3.0],
+        [float("-inf"), 5.0, 1.0, float("inf"), 2.0, float("nan"), float("nan")],
+        [-1.7e308, 1.7e308, 0.0, 1.0, 2.0, -3.0],
+        [float("nan")] * 3,
+        [float("inf"), float("inf"), float("-inf")],
+    ],
+    ids=["nan", "all", "wide", "only nan", "only infinite"],
+)
+def test_quantiles_of_any_double(spark, values, small):
+    n = sum(v is not None for v in values)
+    probs = [k / (n - 1) for k in range(n)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = exact_quantiles(df, "x", probs, small_group=small, few_rows=1, bins=4).orderBy("prob").collect()
+    want = sorted((v for v in values if v is not None), key=lambda v: (v != v, v if v == v else 0.0))
+    for g, w in zip(got, want, strict=True):
+        assert g["quantile"] == w or (w != w and g["quantile"] != g["quantile"]) or abs(g["quantile"] - w) < 1e-12 * abs(w)
+
+
+def test_quantiles_of_very_many_groups(spark):
+    df = spark.range(30_000).selectExpr("id AS g", "CAST(id AS DOUBLE) AS x").union(
+        spark.range(50).selectExpr("7 AS g", "CAST(id AS DOUBLE) AS x")
+    )
+    got = exact_quantiles(df, "x", [0.5], ["g"], small_group=20, few_rows=5)
+    assert got.count() == 30_000
+    assert got.filter("g = 7").first()["quantile"] == 24.0
+    assert got.filter("g = 29999").first()["quantile"] == 29999.0
+
+
+def test_ecdf_with_missing_claims(spark):
+    rows = [(1, 30.0), (2, 20.0), (3, 20.0), (4, 10.0), (5, None), (6, None)]
+    df = spark.createDataFrame(rows, "Id bigint, Claim double")
+    by_id = [tuple(r) for r in ecdf_by_id(df).orderBy("x").collect()]
+    assert by_id == [(10.0, 1, 0.25), (20.0, 2, 0.75), (30.0, 1, 1.0)]
+    assert by_id == [tuple(r) for r in ecdf(df, "Claim").orderBy("x").collect()]
+
+
+def test_an_unseen_level_has_no_code(spark):
+    df = spark.createDataFrame([("A",), ("Z",), (None,)], "c string")
+    assert [r[0] for r in df.select(level_code("c", ["A", "B"])).collect()] == [1, None, None]
