@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from claimlens.sources.storage import stage
+
 
 def with_weeks(df: DataFrame) -> DataFrame:
     """Add accident week, reporting week and their difference.
@@ -38,11 +40,13 @@ def reporting_scatter(weeks: DataFrame) -> DataFrame:
     mean delay of the accident week is taken over the counts (one row per pair of weeks),
     not over the claims.
     """
-    last = weeks.agg(F.max("acc_week")).scalar()
     delay = F.col("rep_week") - F.col("acc_week")
     same_week = Window.partitionBy("acc_week")
     mean = F.sum(delay * F.col("nr")).over(same_week) / F.sum("nr").over(same_week)
-    return week_counts(weeks).select(
+    # One row per pair of weeks: the claims are read for it once.
+    counts = stage(week_counts(weeks), "week-counts")
+    last = counts.agg(F.max("acc_week")).scalar()
+    return counts.select(
         "acc_week",
         "rep_week",
         delay.alias("x"),

@@ -19,12 +19,18 @@ from claimlens.sources.storage import stage
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
+# rows per range of a global sort
+ROWS_PER_RANGE = 2_000_000
+
 # distinct values up to which running counts may be made in one task per column
 FEW_VALUES = 300_000
 
 
 def _sorted_stage(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    """``df`` should be a written table: it is counted, sampled and sorted in passes of its own."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least, -(-df.count() // ROWS_PER_RANGE))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     return stage(ranged.withColumn("_slot", F.monotonically_increasing_id()), name).withColumn(
         "_part", F.shiftright("_slot", _POSITION_BITS)
     )

@@ -564,6 +564,9 @@ def all_oracles() -> dict[str, str]:
             "WHERE AccYear > 1995 AND HoursWorkedPerWeek > 0 GROUP BY AccYear",
         ),
         "bronze_scan": _with(CLAIMS, f"SELECT {KEY}, {RAW} FROM claims"),
+        "ingest_scan": _with(CLAIMS, f"SELECT {RAW} FROM claims"),
+        "silver_from_bronze": _with(SILVER, f"SELECT {KEY}, {RAW}, Id FROM silver"),
+        "database_cycle": _with(CLAIMS, "SELECT Gender, count(*) AS n FROM claims GROUP BY Gender"),
         "silver_by_path": _with(SILVER, f"SELECT {KEY}, {RAW}, Id FROM silver"),
         "schema_report": _schema_report(),
         "preview_week_counts": _with(

@@ -7,6 +7,7 @@ distributed sum changes the last bits.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -32,7 +33,7 @@ from claimlens.models.training import (
     weights_table,
 )
 from claimlens.operators import profile as prof
-from claimlens.operators.cleaning import small_claims
+from claimlens.operators.cleaning import filter_claims, number_claims, small_claims
 from claimlens.operators.correlation import pearson, spearman
 from claimlens.operators.delay import (
     reporting_scatter,
@@ -62,10 +63,10 @@ from claimlens.operators.summary import (
 )
 from claimlens.operators.survival import ecdf_by_id, local_quadratic, log_survival
 from claimlens.plans.workflow import fit_severity_models
-from claimlens.plans.workspace import Workspace, workspace
+from claimlens.plans.workspace import AFTER_YEAR, Workspace, workspace
 from claimlens.sources import catalog
-from claimlens.sources.claims import VIEW_KEY
-from claimlens.sources.storage import stage_path
+from claimlens.sources.claims import VIEW_KEY, ingest
+from claimlens.sources.storage import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,6 +127,37 @@ def bronze_scan(w: Workspace) -> DataFrame:
     return catalog.scan_table(w.spark, w.bronze_table)
 
 
+@query
+def ingest_scan(w: Workspace) -> DataFrame:
+    """Claims files read with the declared schema, which drops what it does not name."""
+    path = catalog.write_table(w.bronze, stage_path(w.spark, "claims-files"))
+    return ingest(w.spark, path)
+
+
+@query
+def silver_from_bronze(w: Workspace) -> DataFrame:
+    """Silver made from the bronze table by name: filtered, numbered, as published."""
+    bronze = catalog.scan_table(w.spark, w.bronze_table)
+    numbered = number_claims(filter_claims(bronze, AFTER_YEAR), VIEW_KEY)
+    return numbered.select(*VIEW_KEY, *[f.name for f in schema.CLAIMS_SCHEMA.fields], "Id")
+
+
+@query
+def database_cycle(w: Workspace) -> DataFrame:
+    """A database created, used for a table, read by its plain name, and dropped."""
+    name = f"cycle_{uuid.uuid4().hex[:8]}"
+    before = w.spark.catalog.currentDatabase()
+    catalog.create_database(w.spark, name, stage_path(w.spark, "cycle"))
+    try:
+        catalog.use_database(w.spark, name)
+        counted = w.bronze.groupBy("Gender").agg(F.count(F.lit(1)).alias("n"))
+        catalog.publish(counted, "claims_by_gender", stage_path(w.spark, "by-gender"))
+        return stage(catalog.scan_table(w.spark, "claims_by_gender"), "by-gender-read")
+    finally:
+        catalog.use_database(w.spark, before)
+        catalog.drop_database(w.spark, name, confirm=True)
+
+
 @query
 def silver_by_path(w: Workspace) -> DataFrame:
     """The written silver table, scanned by its path."""

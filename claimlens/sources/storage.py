@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_SETTING} to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_folders:
@@ -45,3 +46,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the staged tables that ``df`` reads, once nothing needs them any more."""
+    spark = df.sparkSession
+    own = f"/claimlens/{spark.sparkContext.applicationId}/"
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        if own in folder:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
