@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import kept_and, type_of, utf8
+from claimlens.llm.common import few_rows, kept_and, texts_in, type_of, utf8
 from claimlens.sources.storage import stage
 
 WINDOW = 10
@@ -141,7 +141,7 @@ def find_contamination(
     def pass_over(shared, last: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton, numbers = build_automaton(shared.value, window)
-            for batch in batches:
+            for batch in few_rows(batches):
                 yield (finish if last else carry)(batch, automaton, numbers)
 
         return run
@@ -220,12 +220,11 @@ def drop_contaminated(
 def _without(docs: DataFrame, shared, window: int, text_column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton, numbers = build_automaton(shared.value, window)
-        for batch in batches:
-            clean = [scan(words_of(t), automaton, numbers)[0] is None for t in batch.column(1).to_pylist()]
-            yield batch.select([0]).filter(pa.array(clean, pa.bool_()))
+        for batch in few_rows(batches):
+            texts = texts_in(batch.column(0), text_column)
+            clean = [scan(words_of(t), automaton, numbers)[0] is None for t in texts]
+            yield batch.filter(pa.array(clean, pa.bool_()))
 
-    packed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), utf8(text_column).alias("text")
-    )
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"))
     kept = packed.mapInArrow(run, kept_and(packed))
     return kept.select("kept.*")

@@ -12,11 +12,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import kept_and, type_of
+from claimlens.llm.common import few_rows, kept_and, type_of
 from claimlens.llm.tokens import PretokenResults
 from claimlens.sources.storage import stage
 
@@ -26,9 +25,6 @@ END_ID = 2
 # Lengths are rounded up to this many steps per window for the combinations.
 STEPS = 256
 
-# Documents whose ids are held at a time before they go back to Spark.
-DOCS_AT_A_TIME = 1000
-
 
 def tokenize_pieces(
     docs: DataFrame,
@@ -60,29 +56,27 @@ def tokenize_pieces(
 
         tokens = PretokenResults(tokenizer_path, of_pretoken, code, b"".join)
         model = tokens.tokenizer.model
-        for whole in batches:
-            for first in range(0, whole.num_rows, DOCS_AT_A_TIME):
-                batch = whole.slice(first, DOCS_AT_A_TIME)
-                row, start, length, ids, total = [], [], [], [], []
-                for i, text in enumerate(batch.column(1).to_pylist()):
-                    code_bytes = tokens.of_text(text) + end
-                    for at in range(0, len(code_bytes), size):
-                        piece = code_bytes[at : at + size]
-                        row.append(i)
-                        start.append(at // 4)
-                        length.append(len(piece) // 4)
-                        ids.append(piece)
-                        total.append(len(code_bytes) // 4)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(row, pa.int64())),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                        pa.array(total, pa.int64()),
-                    ],
-                    names=["id", "start", "length", "ids", "doc_tokens"],
-                )
+        for batch in few_rows(batches):
+            row, start, length, ids, total = [], [], [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                code_bytes = tokens.of_text(text) + end
+                for at in range(0, len(code_bytes), size):
+                    piece = code_bytes[at : at + size]
+                    row.append(i)
+                    start.append(at // 4)
+                    length.append(len(piece) // 4)
+                    ids.append(piece)
+                    total.append(len(code_bytes) // 4)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row, pa.int64())),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                    pa.array(total, pa.int64()),
+                ],
+                names=["id", "start", "length", "ids", "doc_tokens"],
+            )
 
     narrow = docs.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text")
@@ -253,32 +247,17 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, length_column: str = "l
     """
     spark = pieces.sparkSession
     named = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
-    wrapped = pieces.select(
-        F.struct(*(F.col(f"`{c}`") for c in named)).alias("kept"),
-        F.col(f"`{length_column}`").cast("bigint").alias("n"),
-    )
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        seen = np.zeros(window + 1, dtype=np.int64)
-        for batch in batches:
-            n = np.array(batch.column(1).to_pylist(), dtype=float)
-            if not np.all((n >= 1) & (n <= window)):
-                raise ValueError(f"lengths must be 1 to {window}")
-            n = n.astype(np.int64)
-            order = np.argsort(n, kind="stable")
-            lengths, first, counts = np.unique(n[order], return_index=True, return_counts=True)
-            nth = np.empty(len(n), dtype=np.int64)
-            nth[order] = np.arange(len(n)) - np.repeat(first - seen[lengths], counts)
-            seen[lengths] += counts
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(np.full(len(n), part, np.int32)), pa.array(nth)],
-                names=["kept", "n", "part", "nth"],
-            )
-
+    length = F.col(f"`{length_column}`").cast("bigint")
     numbered = stage(
-        wrapped.mapInArrow(number, kept_and(wrapped, "n bigint, part int, nth bigint")), "pieces"
-    )
+        pieces.select(
+            F.struct(*(F.col(f"`{c}`") for c in named)).alias("kept"),
+            F.when(length.between(1, window), length)
+            .otherwise(F.raise_error(F.lit(f"lengths must be 1 to {window}")).cast("bigint"))
+            .alias("n"),
+            F.monotonically_increasing_id().alias("row"),
+        ),
+        "pieces",
+    ).withColumn("part", F.shiftright("row", 33))
     per_part = numbered.groupBy("part", "n").count()
     counts = np.zeros(window + 1, dtype=np.int64)
     for n, c in per_part.groupBy("n").agg(F.sum("count")).collect():  # at most one per length
@@ -286,8 +265,12 @@ def pack_pieces(pieces: DataFrame, window: int = WINDOW, length_column: str = "l
     # plain values: the executors need not have this package
     plan = spark.sparkContext.broadcast(vars(plan_windows(counts, window)))
     below = F.sum("count").over(Window.partitionBy("n").orderBy("part")) - F.col("count")
-    ranked = numbered.join(per_part.select("part", "n", below.alias("below")), ["part", "n"]).select(
-        "kept", "n", (F.col("below") + F.col("nth")).alias("rank")
+    # Inside a written partition, which is bounded, a length's pieces are numbered by row.
+    nth = F.row_number().over(Window.partitionBy("part", "n").orderBy("row")) - 1
+    ranked = (
+        numbered.withColumn("nth", nth)
+        .join(per_part.select("part", "n", below.alias("below")), ["part", "n"])
+        .select("kept", "n", (F.col("below") + F.col("nth")).alias("rank"))
     )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import kept_and, type_of, utf8
+from claimlens.llm.common import few_rows, kept_and, texts_in, type_of, utf8
 
 PASSAGE_WORDS = 100
 
@@ -198,7 +198,7 @@ def fit_quality(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             rows = [describe(passages(t)).astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "x"])
 
@@ -243,7 +243,7 @@ def score_quality(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             scores = scores_of(batch.column(2).to_pylist(), model)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
@@ -261,10 +261,10 @@ def keep_good(docs: DataFrame, model: dict[str, np.ndarray] | float, text_column
     """The rows of ``docs`` whose text scores at least 0.5, all columns as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            yield batch.select([0]).filter(pa.array(scores_of(texts, model) >= 0.5))
+        for batch in few_rows(batches):
+            texts = texts_in(batch.column(0), text_column)
+            yield batch.filter(pa.array(scores_of(texts, model) >= 0.5))
 
-    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"), utf8(text_column).alias("text"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("kept"))
     kept = packed.mapInArrow(run, kept_and(packed))
     return kept.select("kept.*")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of, utf8
+from claimlens.llm.common import few_rows, type_of, utf8
 from claimlens.llm.components import connected
 from claimlens.sources.storage import stage
 
@@ -30,7 +30,7 @@ STEP = 8
 
 # Shingle hashes held at a time, node pairs walked at a time, rows gathered before a walk.
 HASHES_AT_A_TIME = 500_000
-PAIRS_AT_A_TIME = 200_000
+PAIRS_AT_A_TIME = 32_000
 ROWS_AT_A_TIME = 200_000
 
 
@@ -73,7 +73,7 @@ def fingerprints(
     """Id and ``fingerprint`` (the 64 bits as a signed number) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             values = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
             signed = np.array(values, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -108,7 +108,7 @@ def walk(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]],
     places that share its first ``depth`` bits, and a pair of a node with itself stands for the
     pairs within it.
     """
-    parent = np.arange(len(values))
+    parent = np.arange(len(values), dtype=np.int32)
     ones: dict[int, np.ndarray] = {}
 
     def ones_before(depth: int) -> np.ndarray:
@@ -122,7 +122,7 @@ def walk(values: np.ndarray, starts: list[tuple[int, int, int, int, int, int]],
     for depth, *pair in starts:
         by_depth.setdefault(depth, []).append(pair)
     for depth, pairs in by_depth.items():
-        stack.append((depth, np.array(pairs, dtype=np.int64)))
+        stack.append((depth, np.array(pairs, dtype=np.int32)))
     while stack:
         depth, pairs = stack.pop()
         if len(pairs) > PAIRS_AT_A_TIME:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of
+from claimlens.llm.common import few_rows, type_of
 from claimlens.llm.tokens import PretokenResults
 
 
@@ -81,7 +81,7 @@ def count_tokens(
         counter = PretokenResults(
             tokenizer_path, lambda word: count_merged(word, ranks, end_mark), lambda _: 1, sum
         )
-        for batch in batches:
+        for batch in few_rows(batches):
             counts = [counter.of_text(t) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64())],

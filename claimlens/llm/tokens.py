@@ -22,8 +22,8 @@ _LETTERS, _DIGITS, _SPACES = "a-zA-ZªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "
 _SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+"
 _LIBRARY_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-# Entries kept per cache before it is emptied: some 80 MB in a Python worker.
-CACHE_ENTRIES = 400_000
+# Entries kept per cache before it is emptied: some 50 MB in a Python worker.
+CACHE_ENTRIES = 250_000
 
 
 class _Cache(dict):
