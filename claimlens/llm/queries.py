@@ -114,7 +114,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text of every document without passages that stand earlier in the corpus."""
     done = remove_repeats(table(spark, sf_dir, "documents"))
-    return done.select("doc_id", "n_sentences", "n_removed", "text")
+    return done.select("doc_id", "n_removed", "text")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

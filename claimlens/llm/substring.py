@@ -11,46 +11,54 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import kept_and, type_of, utf8
-from claimlens.sources.storage import stage
+from claimlens.llm.common import few_rows, kept_and, type_of, utf8
+from claimlens.sources.storage import stage, unstage
 
 MIN_SENTENCES = 3
 MIN_WORDS = 25
 
-# Sentences of more words are cut after , ; : after a repeated word, and after words whose
-# checksum is divisible by CUT_EVERY, so that equal stretches are cut alike wherever their
-# sentences begin.
-LONG_SENTENCE = 12
+# Sentences with so many spaces are cut after , ; : and what is still as long after a repeated
+# word and after words whose checksum is divisible by CUT_EVERY, so that equal stretches
+# are cut alike wherever their sentences begin.
+LONG_SENTENCE = 16
 CUT_EVERY = 8
 
-# A sentence with the white space after it: up to . ! or ? before white space, a line end, or
-# the end of the text.
-_SENTENCE = re.compile(rb"[^\n]*?(?:[.!?](?=[ \t\r\n])[ \t\r\n]*|\n[ \t\r\n]*|\Z)", re.S)
-
-
+# Where a sentence ends: after . ! or ? before white space, or at a line end; and where a
+# clause does.  White space goes with what it follows.
+_END = re.compile(rb"[.!?](?=[ \t\r\n])[ \t\r\n]*|\n[ \t\r\n]*")
+_CLAUSE = re.compile(rb"[,;:][ \t\r]+")
 _WORD = re.compile(rb"[^ \t-\r]+[ \t-\r]*")
 
 
 def sentences(text: bytes) -> list[tuple[int, int]]:
     """Byte ranges of the sentences and parts of long ones, with the white space after each."""
-    found = []
-    for m in _SENTENCE.finditer(text):
-        start, end = m.span()
-        if end - start > 2 * LONG_SENTENCE:
-            words = [w.span() for w in _WORD.finditer(text, start, end)]
-            if len(words) > LONG_SENTENCE:
-                before = b""
-                for a, b in words[:-1]:
-                    word = text[a:b].rstrip()
-                    if word[-1] in b",;:" or word == before or zlib.crc32(word) % CUT_EVERY == 0:
-                        found.append((start, b))
-                        start = b
-                    before = word
-        if end > start:
+    found: list[tuple[int, int]] = []
+    start = 0
+    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
+        if text.count(b" ", start, end) >= LONG_SENTENCE:
+            for clause in _CLAUSE.finditer(text, start, end):
+                if clause.end() < end:
+                    _cut(text, start, clause.end(), found)
+                    start = clause.end()
+            _cut(text, start, end, found)
+        elif end > start:
             found.append((start, end))
+        start = end
     return found
 
 
+def _cut(text: bytes, start: int, end: int, found: list[tuple[int, int]]) -> None:
+    if text.count(b" ", start, end) >= LONG_SENTENCE:
+        before = b""
+        for m in _WORD.finditer(text, start, end):
+            word = m.group().rstrip()
+            if (word == before or zlib.crc32(word) % CUT_EVERY == 0) and m.end() < end:
+                found.append((start, m.end()))
+                start = m.end()
+            before = word
+    found.append((start, end))
+
+
 def run_hashes(text: bytes, min_sentences: int, min_words: int) -> tuple[list[tuple[int, int]], list[int], list[int]]:
     """Sentence ranges; per run its 64-bit hash, and how many sentences it has.
 
@@ -84,7 +92,7 @@ def remove_repeats(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """``docs`` with repeated passages cut from the text, and ``n_sentences``, ``n_removed``.
+    """``docs`` with repeated passages cut from the text, and ``n_removed``, the sentences cut.
 
     A span is a run of at least ``min_sentences`` sentences with at least ``min_words`` words;
     the parts of a long sentence count as sentences, so that a passage is found even if
@@ -94,48 +102,46 @@ def remove_repeats(
     Text that is not removed is kept byte for byte, at the end less white space left over.
 
     Null and empty texts, and those of fewer sentences or words, are left alone; other
-    columns pass through (but for ``n_sentences`` and ``n_removed``).  Null ids come last in
+    columns pass through (but for ``n_removed``).  Null ids come last in
     the order.  Rows that repeat both id and text are one document and get one
     result each.  An empty table gives an empty table.
     """
-    named = [c for c in docs.columns if c.lower() not in ("n_sentences", "n_removed")]
+    named = [c for c in docs.columns if c.lower() != "n_removed"]
     text = F.col(f"`{text_column}`").cast("string")
     others = [c for c in named if c != text_column]
     keyed = docs.select(
         F.struct(F.lit(0), *(F.col(f"`{c}`") for c in others)).alias("kept"),
         F.col(f"`{id_column}`").alias("id"),
-        F.xxhash64(text).alias("body"),
+        F.hash(text).alias("body"),  # tells rows apart that share an id
         utf8(text_column).alias("text"),
     )
     id_type = type_of(keyed, "id")
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                row, place, hashes, sizes = [], [], [], []
-                for i, t in enumerate(batch.column(2).to_pylist()):
-                    if t:
-                        _, found, size = run_hashes(t, min_sentences, min_words)
-                        row += [i] * len(found)
-                        place += range(len(found))
-                        hashes += found
-                        sizes += size
-                row = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(row),
-                        batch.column(1).take(row),
-                        pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)),
-                        pa.array(place, pa.int32()),
-                        pa.array(sizes, pa.int32()),
-                    ],
-                    names=["id", "body", "hash", "place", "size"],
-                )
+        for batch in few_rows(batches):
+            row, place, hashes, sizes = [], [], [], []
+            for i, t in enumerate(batch.column(2).to_pylist()):
+                if t:
+                    _, found, size = run_hashes(t, min_sentences, min_words)
+                    row += [i] * len(found)
+                    place += range(len(found))
+                    hashes += found
+                    sizes += size
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)),
+                    pa.array(place, pa.int32()),
+                    pa.array(sizes, pa.int32()),
+                ],
+                names=["id", "body", "hash", "place", "size"],
+            )
 
     spans = stage(
         keyed.select("id", "body", "text").mapInArrow(
-            runs, f"id {id_type}, body bigint, hash bigint, place int, size int"
+            runs, f"id {id_type}, body int, hash bigint, place int, size int"
         ),
         "spans",
     )
@@ -143,6 +149,8 @@ def remove_repeats(
     # spans is written first: a join of two plain exchanges can be split at a hot hash.
     repeated = stage(spans.groupBy("hash").count().filter("count > 1").select("hash"), "repeated")
     shared = stage(spans.join(repeated, "hash"), "shared-spans")
+    unstage(spans)
+    unstage(repeated)
     # Null ids sort after all others.
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("body"), F.col("place"))
     first = stage(shared.groupBy("hash").agg(F.min(order).alias("first")), "first-spans")
@@ -150,28 +158,27 @@ def remove_repeats(
     covered = later.groupBy("id", "body").agg(F.collect_set(F.struct("place", "size")).alias("covered"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, counts, removed = [], [], []
+        for batch in few_rows(batches):
+            texts, removed = [], []
             for t, marks in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                ranges = sentences(t) if t else []
+                if not marks:
+                    texts.append(t)
+                    removed.append(0)
+                    continue
+                ranges = sentences(t)
                 gone = np.zeros(len(ranges), dtype=bool)
-                for m in marks or ():
+                for m in marks:
                     gone[m["place"] : m["place"] + m["size"]] = True
-                counts.append(len(ranges))
                 removed.append(int(gone.sum()))
-                if not gone.any():
-                    texts.append(t)
-                    continue
                 left = b"".join([t[a:b] for (a, b), g in zip(ranges, gone, strict=True) if not g])
                 texts.append(left.rstrip(b" \t\r\n") if gone[-1] else left)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([None if t is None else t.decode() for t in texts], pa.string()),
-                    pa.array(counts, pa.int64()),
                     pa.array(removed, pa.int64()),
                 ],
-                names=["kept", "text", "n_sentences", "n_removed"],
+                names=["kept", "text", "n_removed"],
             )
 
     marked = keyed.alias("d").join(
@@ -180,9 +187,9 @@ def remove_repeats(
         "left",
     )
     slim = marked.select("d.kept", "d.text", "c.covered")
-    done = slim.mapInArrow(cut, kept_and(slim, "text string, n_sentences bigint, n_removed bigint"))
+    done = slim.mapInArrow(cut, kept_and(slim, "text string, n_removed bigint"))
     back = [
         F.col("text").alias(c) if c == text_column else F.col(f"kept.`{c}`").alias(c)
         for c in named
     ]
-    return done.select(*back, "n_sentences", "n_removed")
+    return done.select(*back, "n_removed")

@@ -43,7 +43,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     ``n_chars`` stays as it was where nothing was removed.
     """
     names = docs.columns
-    apart = {c: f"input {c}" for c in names if c.lower() in ("n_sentences", "n_removed")}
+    apart = {c: f"input {c}" for c in names if c.lower() == "n_removed"}
     done = remove_repeats(docs.withColumnsRenamed(apart))
     if "n_chars" in names:
         chars = F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -7,8 +7,8 @@ from claimlens.llm.substring import remove_repeats, sentences
 from llm.conftest import PASSAGE
 
 
-def brute(docs: dict[int, str]) -> dict[int, tuple[str, int, int]]:
-    """Text left, sentences and sentences removed, from a table of all runs by their words."""
+def brute(docs: dict[int, str]) -> dict[int, tuple[str, int]]:
+    """Text left and sentences removed, from a table of all runs by their words."""
     parts = {i: [t.encode()[a:b].decode() for a, b in sentences(t.encode())] for i, t in docs.items()}
     runs = defaultdict(list)
     for i in sorted(parts):
@@ -29,7 +29,7 @@ def brute(docs: dict[int, str]) -> dict[int, tuple[str, int, int]]:
         left = "".join(s for k, s in enumerate(own) if k not in gone[i])
         if gone[i] and len(own) - 1 in gone[i]:
             left = left.rstrip(" \t\r\n")
-        out[i] = (left, len(own), len(gone[i]))
+        out[i] = (left, len(gone[i]))
     return out
 
 
@@ -69,13 +69,13 @@ def test_a_passage_joined_to_other_words_is_found(spark):
 def test_documents_against_brute_force(spark, small_dir, small_docs):
     want = brute({r["doc_id"]: r["text"] for r in small_docs.collect()})
     rows = op9_substring_dedup(spark, small_dir).collect()
-    assert {r["doc_id"]: (r["text"], r["n_sentences"], r["n_removed"]) for r in rows} == want
-    assert any(n for _, _, n in want.values())
+    assert {r["doc_id"]: (r["text"], r["n_removed"]) for r in rows} == want
+    assert any(n for _, n in want.values())
 
 
 def test_a_passage_stays_in_its_first_document_only(edge_docs, no_docs):
     done = remove_repeats(edge_docs)
-    assert [c for c in done.columns if c not in ("n_sentences", "n_removed")] == [
+    assert [c for c in done.columns if c != "n_removed"] == [
         c for c in edge_docs.columns if c != "n_removed"
     ]
     rows = done.collect()
