@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import type_of
+from claimlens.llm.common import few_rows, type_of
 
 # Comments, elements whose content is no text, tags (also cut off by the page's end), declarations.
 _MARKUP = re.compile(
@@ -40,6 +40,9 @@ LEFT_OUT_NAMES = frozenset(
     "signup social sponsor sponsored subscribe toolbar widget".split()
 )
 _NAME_PARTS = re.compile(r"[^a-z]+")
+# Before such a name these words speak of the page's layout, as in "no-sidebar".
+LAYOUT_NAMES = frozenset("no has with without".split())
+_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 ARTICLE_BONUS = 25.0
 
@@ -54,9 +57,13 @@ class Node:
 
 
 def named_out(rest: str) -> bool:
+    """Whether an element's attributes mark it as hidden or as no part of the article."""
+    if _HIDDEN.search(rest):
+        return True
     for found in _NAMED.finditer(rest):
         value = next(g for g in found.groups() if g is not None)
-        if any(part in LEFT_OUT_NAMES for part in _NAME_PARTS.split(value.lower())):
+        parts = _NAME_PARTS.split(value.lower())
+        if any(p in LEFT_OUT_NAMES and b not in LAYOUT_NAMES for b, p in zip(["", *parts], parts)):
             return True
     return False
 
@@ -183,19 +190,17 @@ def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                texts = [main_text(h) for h in batch.column(2).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        batch.column(1),
-                        pa.array(texts, pa.string()),
-                        pa.array([len(t) for t in texts], pa.int64()),
-                    ],
-                    names=["id", "url", "text", "n_chars"],
-                )
+        for batch in few_rows(batches):
+            texts = [main_text(h) for h in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(texts, pa.string()),
+                    pa.array([len(t) for t in texts], pa.int64()),
+                ],
+                names=["id", "url", "text", "n_chars"],
+            )
 
     narrow = pages.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{url_column}`").alias("url"), F.col(f"`{html_column}`").cast("string").alias("html")

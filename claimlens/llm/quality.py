@@ -171,8 +171,8 @@ def fit_quality(
     """Weights fitted to at most ``sample_docs`` labelled documents of up to ``sample_bytes``.
 
     The documents with the smallest hashes of their ids are taken, of those not held out.
-    Tasks turn their texts into passage features, which then come to the driver: at most
-    about ``sample_docs * sample_bytes`` bytes.  Null labels and ids are passed over; an id with
+    Tasks turn their texts into passage features, which then come to the driver: a kilobyte
+    per hundred words, so at worst about five times ``sample_docs * sample_bytes`` bytes.  Null labels and ids are passed over; an id with
     several labels counts with their mean.  Without both labels in the sample the
     result is one score for all, (ones + 1) / (labels + 2).
     """

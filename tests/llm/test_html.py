@@ -32,6 +32,8 @@ text<p>second &lt;i&gt;<br>line<ul><li>one<li>two</ul><!-- no --><div class="sha
         ("<!-- x", ""),
         ("<script>x", ""),
         ("<article><h1>H</h1></article><div>other words, many, of, them</div>", "H"),
+        ('<div class="page no-sidebar"><p>x</p><p hidden>y</p><div style="display: none">z</div></div>', "x"),
+        ('<p data-hidden="1">x</p><div class="hidden-gem with-comments"><p>y</p></div>', "x"),
         ("<P>A&nbsp;b\n\n c</P><DIV>d</DIV>", "A b c\nd"),
     ],
 )
