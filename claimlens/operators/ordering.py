@@ -28,9 +28,12 @@ FEW_VALUES = 300_000
 
 def _sorted_stage(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``df`` should be a written table: it is counted, sampled and sorted in passes of its own."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least, -(-df.count() // ROWS_PER_RANGE))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    parts = -(-df.count() // ROWS_PER_RANGE)
+    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranged = df.repartitionByRange(parts, *order)
+    else:  # adaptive execution merges small ranges
+        ranged = df.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     return stage(ranged.withColumn("_slot", F.monotonically_increasing_id()), name).withColumn(
         "_part", F.shiftright("_slot", _POSITION_BITS)
     )
