@@ -17,46 +17,72 @@ from claimlens.sources.storage import stage, unstage
 MIN_SENTENCES = 3
 MIN_WORDS = 25
 
-# Sentences with so many spaces are cut after , ; : and what is still as long after a repeated
-# word and after words whose checksum is divisible by CUT_EVERY, so that equal stretches
-# are cut alike wherever their sentences begin.
-LONG_SENTENCE = 16
-CUT_EVERY = 8
-
-# Where a sentence ends: after . ! or ? before white space, or at a line end; and where a
-# clause does.  White space goes with what it follows.
+# Sentences of so many words are cut after , ; : after a repeated word and after words whose
+# checksum is divisible by CUT_EVERY.  Each GAP words on end without such a cut are cut after
+# the one with the least checksum.  So equal stretches are cut alike wherever their sentences
+# begin, and any LONG_SENTENCE - 1 + MIN_WORDS - 2 + 2 * GAP words (50) that two texts share
+# hold a run that both have, if their sentences end alike within.
+LONG_SENTENCE = 12
+CUT_EVERY = 4
+GAP = 8
+
+# Where a sentence ends: after . ! or ? before white space, or at a line end.  White space goes
+# with what it follows.
 _END = re.compile(rb"[.!?](?=[ \t\r\n])[ \t\r\n]*|\n[ \t\r\n]*")
-_CLAUSE = re.compile(rb"[,;:][ \t\r]+")
 _WORD = re.compile(rb"[^ \t-\r]+[ \t-\r]*")
+# White space beyond ASCII, as UTF-8.
+_WIDE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+
+
+def plain(text: bytes) -> bytes:
+    """The text with as many spaces as bytes for white space beyond ASCII."""
+    return text if text.isascii() else _WIDE.sub(lambda m: b" " * len(m[0]), text)
 
 
 def sentences(text: bytes) -> list[tuple[int, int]]:
     """Byte ranges of the sentences and parts of long ones, with the white space after each."""
+    text = plain(text)
     found: list[tuple[int, int]] = []
     start = 0
     for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if text.count(b" ", start, end) >= LONG_SENTENCE:
-            for clause in _CLAUSE.finditer(text, start, end):
-                if clause.end() < end:
-                    _cut(text, start, clause.end(), found)
-                    start = clause.end()
-            _cut(text, start, end, found)
-        elif end > start:
+        if end - start >= 2 * LONG_SENTENCE - 1:
+            words = text[start:end].split()
+            if len(words) >= LONG_SENTENCE:
+                ends = [m.end() for m in _WORD.finditer(text, start, end)]
+                for k in _cuts(words):
+                    found.append((start, ends[k]))
+                    start = ends[k]
+        if end > start:
             found.append((start, end))
         start = end
     return found
 
 
-def _cut(text: bytes, start: int, end: int, found: list[tuple[int, int]]) -> None:
-    if text.count(b" ", start, end) >= LONG_SENTENCE:
-        before = b""
-        for m in _WORD.finditer(text, start, end):
-            word = m.group().rstrip()
-            if (word == before or zlib.crc32(word) % CUT_EVERY == 0) and m.end() < end:
-                found.append((start, m.end()))
-                start = m.end()
-            before = word
-    found.append((start, end))
+def _cuts(words: list[bytes]) -> list[int]:
+    """The words of a long sentence, by number, after which it is cut."""
+    checks = list(map(zlib.crc32, words))
+    last = len(words) - 1
+    cuts: list[int] = []
+    start, before = 0, b""
+    for k, (word, check) in enumerate(zip(words, checks, strict=True)):
+        if check % CUT_EVERY == 0 or word == before or word[-1] in b",;:":
+            if k - start >= GAP:
+                cuts += _least(checks, start, k)
+            cuts.append(k)
+            start = k + 1
+        before = word
+    if last + 1 - start >= GAP:
+        cuts += _least(checks, start, last + 1)
+    return cuts[:-1] if cuts and cuts[-1] == last else cuts
+
+
+def _least(checks: list[int], start: int, end: int) -> list[int]:
+    """Of each GAP numbers on end, the place of the least."""
+    found = set()
+    for k in range(start, end - GAP + 1):
+        window = checks[k : k + GAP]
+        found.add(k + window.index(min(window)))
+    return sorted(found)
 
 
 def run_hashes(text: bytes, min_sentences: int, min_words: int) -> tuple[list[tuple[int, int]], list[int], list[int]]:
@@ -68,6 +94,7 @@ def run_hashes(text: bytes, min_sentences: int, min_words: int) -> tuple[list[tu
     """
     from xxhash import xxh64_intdigest
 
+    text = plain(text)
     spans = sentences(text)
     words = [text[a:b].split() for a, b in spans]
     ends = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
 from collections import defaultdict
+import random
+
+import pytest
 
 from claimlens.llm.queries import op9_substring_dedup
 from claimlens.llm.substring import remove_repeats, sentences
@@ -66,6 +69,28 @@ def test_a_passage_joined_to_other_words_is_found(spark):
     assert len(left[1]) > 60 and len(left[2]) < 25
 
 
+@pytest.mark.parametrize("space", [" ", "\t", "\x0b", "\u00a0"])
+@pytest.mark.parametrize("marks", ["", ",", ".,;"])
+def test_no_planted_passage_of_fifty_words_is_left(spark, space, marks):
+    rng = random.Random(7)
+
+    def some(n):
+        return ["".join(rng.choices("abcdefgh", k=4)) + (rng.choice(marks) if marks and rng.random() < 0.15 else "") for _ in range(n)]
+
+    def shingles(text):
+        words = text.split()
+        return {tuple(words[k : k + 50]) for k in range(len(words) - 49)}
+
+    rows = []
+    for k in range(150):
+        passage = some(51 + k % 10)
+        rows += [(2 * k + j, space.join(some(40) + passage + some(40))) for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    left = {r["doc_id"]: r["text"] for r in remove_repeats(docs).collect()}
+    assert [k for k in range(150) if shingles(left[2 * k]) & shingles(left[2 * k + 1])] == []
+    assert all(left[2 * k] == rows[2 * k][1] for k in range(150))
+
+
 def test_documents_against_brute_force(spark, small_dir, small_docs):
     want = brute({r["doc_id"]: r["text"] for r in small_docs.collect()})
     rows = op9_substring_dedup(spark, small_dir).collect()
