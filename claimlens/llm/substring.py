@@ -139,7 +139,7 @@ def remove_repeats(
     keyed = docs.select(
         F.struct(F.lit(0), *(F.col(f"`{c}`") for c in others)).alias("kept"),
         F.col(f"`{id_column}`").alias("id"),
-        F.hash(text).alias("body"),  # tells rows apart that share an id
+        F.xxhash64(text).alias("body"),  # tells rows apart that share an id; 32 bits would collide
         utf8(text_column).alias("text"),
     )
     id_type = type_of(keyed, "id")
@@ -168,7 +168,7 @@ def remove_repeats(
 
     spans = stage(
         keyed.select("id", "body", "text").mapInArrow(
-            runs, f"id {id_type}, body int, hash bigint, place int, size int"
+            runs, f"id {id_type}, body bigint, hash bigint, place int, size int"
         ),
         "spans",
     )

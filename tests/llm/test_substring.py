@@ -4,6 +4,7 @@ from collections import defaultdict
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimlens.llm.queries import op9_substring_dedup
 from claimlens.llm.substring import remove_repeats, sentences
@@ -120,3 +121,13 @@ def test_a_passage_stays_in_its_first_document_only(edge_docs, no_docs):
 def test_repeats_within_one_document(spark):
     docs = spark.createDataFrame([(1, f"{PASSAGE}\n{PASSAGE}\nThe end.")], "doc_id bigint, text string")
     assert remove_repeats(docs).first()["text"] == f"{PASSAGE}\nThe end."
+
+
+def test_rows_of_one_id_with_equal_short_hashes_are_apart(spark):
+    own = "Nothing here stands anywhere else. These words are this text's own and stay where they are. So do the last ones, which end it without any haste."
+    repeats, clean = f"Note 4951 opens. {PASSAGE}", f"Note 266380 opens. {own}"
+    rows = [(1, f"First. {PASSAGE}"), (None, repeats), (None, clean)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert docs.select(F.hash("text")).distinct().count() == 2
+    left = {(r["doc_id"], r["text"], r["n_removed"]) for r in remove_repeats(docs).collect()}
+    assert left == {(1, f"First. {PASSAGE}", 0), (None, "Note 4951 opens.", 3), (None, clean, 0)}
