@@ -48,10 +48,14 @@ ARTICLE_BONUS = 25.0
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "out", "article", "score", "chars", "link_chars")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
+        # The outermost article or main element that it is or lies in.
+        self.article: Node | None = parent.article if parent is not None else None
+        if self.article is None and tag in ("article", "main"):
+            self.article = self
         self.score = 0.0
         self.chars = self.link_chars = 0
 
@@ -129,9 +133,10 @@ def main_text(html: str | None) -> str:
 
     Every block has a point, one per comma and up to three for length, less its share of
     link text.  Its container gets them whole, the next ancestor half, those above a third,
-    a quarter and so on.  The container with most points, less its own share of link
-    text, is the article; siblings with a fifth of its points, and long sibling paragraphs
-    with few links, go with it.
+    a quarter and so on.  An article or main element is one container with all that lies in
+    it, however deep, so nothing in it is weighed against the rest.  The container with
+    most points, less its own share of link text, is the article; siblings with a fifth
+    of its points, and long sibling paragraphs with few links, go with it.
     """
     if not html:
         return ""
@@ -139,7 +144,7 @@ def main_text(html: str | None) -> str:
     scored: dict[int, Node] = {}
     for node, text, linked in blocks:
         points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
-        up = node.parent if node.tag in PARAGRAPHS and node.parent is not None else node
+        up = node.article or (node.parent if node.tag in PARAGRAPHS and node.parent is not None else node)
         steps = 1
         inner: Node | None = node
         while inner is not None:
@@ -154,7 +159,7 @@ def main_text(html: str | None) -> str:
         return ""
 
     def worth(n: Node) -> float:
-        bonus = ARTICLE_BONUS if n.tag in ("article", "main") else 0.0
+        bonus = ARTICLE_BONUS if n.article is n else 0.0
         return (n.score + bonus) * (1 - n.link_chars / n.chars)
 
     best = max(scored.values(), key=worth)

@@ -53,6 +53,17 @@ def test_sibling_paragraphs_are_kept():
     assert main_text(f"<body><p>{long}</p><section>{inner}</section><p>short</p></body>").startswith(long)
 
 
+@pytest.mark.parametrize("tag", ["article", "main", "main><article"])
+@pytest.mark.parametrize("paragraphs", [2, 20, 200])
+def test_all_of_an_article_is_kept_whatever_its_size(tag, paragraphs):
+    long = "A long paragraph, with commas, and more of them, that goes on for quite a while. " * 4
+    big = f"<section><h2>One</h2>{f'<p>{long}</p>' * paragraphs}</section>"
+    small = "<section><h2>Two</h2><p>Short one.</p><div><div><ul><li>a<li>b</ul></div></div><blockquote>said</blockquote></section>"
+    page = f"<body><nav>n</nav><{tag}><h1>H</h1><p>Lead.</p>{big}{small}<aside>x</aside><p>End.</p></article></main><div>d</div></body>"
+    want = ["H", "Lead.", "One", *[long.strip()] * paragraphs, "Two", "Short one.", "a", "b", "said", "End."]
+    assert main_text(page).split("\n") == want
+
+
 def test_a_very_long_page_is_read_whole():
     text = main_text("<article>" + "<p>Some words, again.</p>" * 100_000 + "</article>")
     assert text.count("\n") == 99_999
