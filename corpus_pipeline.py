@@ -29,11 +29,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked SimHash fingerprints: the one with the smallest id.
 
     Rows that repeat a doc_id are one document and stay or go together.  Rows without a
-    doc_id stay only in groups where no document has one.
+    doc_id stay only in groups where no document has one, and one of them a group.
     """
-    kept = simhash_clusters(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    nameless = docs.filter("doc_id IS NULL")
+    if nameless.isEmpty():
+        kept = simhash_clusters(docs).filter(F.col("doc_id") == F.col("component_id"))
+        kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
+        return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
+    # Rows without an id are told apart by written numbers, and sort after all others.
+    key = "document key"
+    named = docs.filter("doc_id IS NOT NULL").withColumn(key, F.expr("struct(false AS none, doc_id AS id, 0L AS row)"))
+    nameless = nameless.withColumn(key, F.expr("struct(true AS none, doc_id AS id, monotonically_increasing_id() AS row)"))
+    keyed = named.union(stage(nameless, "nameless"))
+    kept = simhash_clusters(keyed, id_column=key).filter(F.col(f"`{key}`") == F.col("component_id"))
+    return keyed.join(kept.select(key).distinct(), key, "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.quality import fit_quality, score_quality
 from claimlens.llm.simhash import simhash_clusters
 from claimlens.sources.storage import stage
+from llm.conftest import PASSAGE
 from llm.test_packing import check_windows
 from llm.test_substring import brute
 
@@ -52,6 +53,15 @@ def test_every_stage_on_what_came_before(spark, small_dir, small_docs):
     assert {r["doc_id"] for r in rows} == set(clean)
 
 
+def test_one_row_without_id_stays_in_a_group_without_ids(spark, small_dir):
+    alone = "Quite other words that stand in no text with an id, not even in a similar one."
+    rows = [(None, alone), (None, alone), (None, PASSAGE), (7, PASSAGE), (7, PASSAGE), (8, PASSAGE), (None, "A third text that nothing else here is like.")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    left = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert left.columns == docs.columns
+    assert Counter(map(tuple, left.collect())) == Counter([(None, alone), (7, PASSAGE), (7, PASSAGE), rows[-1]])
+
+
 def test_edges(spark, small_dir, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
         for name, step in corpus_pipeline.STAGES:
