@@ -31,23 +31,29 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_NORMAL).split() if text else []
 
 
-def blocks_of_items(benchmark: DataFrame, item_column: str, text_column: str, block_words: int):
-    """Lists of ``(item id, words)``, each of at most ``block_words`` words or one item.
+def blocks_of_items(benchmark: DataFrame, item_column: str, text_column: str, block_words: int, window: int = WINDOW):
+    """Lists of ``(item id, words)``, each of at most ``block_words`` words (or ``window``, if more).
+
+    A longer item comes in stretches that share ``window`` - 1 words, so that each of its
+    windows is in one.
 
     The benchmark comes to the driver row by row, block by block; a benchmark is a test
     set and does not grow with the corpus.
     """
     block, size = [], 0
+    bound = max(block_words, window)
     rows = benchmark.select(F.col(f"`{item_column}`").alias("i"), utf8(text_column).alias("t"))
     for row in rows.toLocalIterator():
         words = words_of(bytes(row["t"]) if row["t"] is not None else None)
         if not words:
             continue
-        if block and size + len(words) > block_words:
-            yield block
-            block, size = [], 0
-        block.append((row["i"], words))
-        size += len(words)
+        for at in range(0, max(1, len(words) - window + 1), bound - window + 1):
+            stretch = words[at : at + bound]
+            if block and size + len(stretch) > block_words:
+                yield block
+                block, size = [], 0
+            block.append((row["i"], stretch))
+            size += len(stretch)
     yield block
 
 
@@ -189,7 +195,7 @@ def find_contamination(
         )
 
     waiting = None
-    for block in blocks_of_items(benchmark, item_column, text_column, block_words):
+    for block in blocks_of_items(benchmark, item_column, text_column, block_words, window):
         if waiting is not None:
             rows = stage(rows.mapInArrow(pass_over(waiting, last=False), open_schema), "scanned")
         waiting = spark.sparkContext.broadcast(block)
@@ -211,7 +217,7 @@ def drop_contaminated(
     """
     spark = docs.sparkSession
     names = docs.columns
-    for block in blocks_of_items(benchmark, item_column, text_column, block_words):
+    for block in blocks_of_items(benchmark, item_column, text_column, block_words, window):
         if block:
             docs = _without(docs, spark.sparkContext.broadcast(block), window, text_column)
     return docs.select(*(F.col(f"`{c}`") for c in names))

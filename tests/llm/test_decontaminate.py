@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from claimlens.llm.decontaminate import drop_contaminated, find_contamination
+from claimlens.llm.decontaminate import blocks_of_items, drop_contaminated, find_contamination
 
 ITEMS = [
     (1, "Alpha beta gamma, delta epsilon zeta eta theta iota kappa lambda mu"),
@@ -55,6 +55,17 @@ def test_hits_items_and_spans(docs, items, block_words):
     assert sorted(r["doc_id"] for r in kept) == [2, 4, 6]
 
 
+def test_a_long_item_is_split_and_all_its_windows_stay(spark):
+    words = [f"w{i}" for i in range(100)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "a b")], "item_id bigint, text string")
+    blocks = list(blocks_of_items(items, "item_id", "text", 40))
+    assert all(sum(len(w) for _, w in b) <= 40 for b in blocks)
+    docs = spark.createDataFrame([(k, " ".join(words[k : k + 10])) for k in range(91)], "doc_id bigint, text string")
+    rows = find_contamination(docs, items, block_words=40).collect()
+    assert len(rows) == 91 and all(r["n_hit"] == 10 and r["item_ids"] == [1] for r in rows)
+    assert drop_contaminated(docs, items, block_words=40).count() == 0
+
+
 def test_items_sort_as_strings(spark):
     items = spark.createDataFrame([(10, "x"), (9, "x"), (100, "y")], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, "y x")], "doc_id bigint, text string")
