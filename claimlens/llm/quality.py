@@ -170,7 +170,8 @@ def fit_quality(
 ) -> dict[str, np.ndarray] | float:
     """Weights fitted to at most ``sample_docs`` labelled documents of up to ``sample_bytes``.
 
-    The documents with the smallest hashes of their ids are taken, of those not held out.
+    The documents with the smallest hashes of their ids are taken, of those not held out; of rows
+    that share an id, the one whose text has the smallest hash.
     Tasks turn their texts into passage features, which then come to the driver: a kilobyte
     per hundred words, so at worst about five times ``sample_docs * sample_bytes`` bytes.  Null labels and ids are passed over; an id with
     several labels counts with their mean.  Without both labels in the sample the
@@ -195,6 +196,9 @@ def fit_quality(
         docs.select(F.col(f"`{id_column}`").alias("id"), utf8(text_column).alias("text"))
         .filter(F.coalesce(F.length("text"), F.lit(0)) <= sample_bytes)
         .join(F.broadcast(ids), "id", "left_semi")
+        .groupBy("id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+        .select("id", "least.text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -76,3 +76,16 @@ def test_edges(spark, edge_docs, no_docs):
     assert kept.count() == sum(r["predicted"] for r in rows)
     assert score_quality(no_docs, model).collect() == [] and keep_good(no_docs, 0.4).collect() == []
     assert fit_quality(no_docs, labels) == 0.5
+
+
+def test_a_repeated_id_is_fitted_once(spark, monkeypatch):
+    from claimlens.llm import quality
+
+    seen = []
+    whole = quality.train
+    monkeypatch.setattr(quality, "train", lambda x, starts, y: seen.append(len(y)) or whole(x, starts, y, epochs=1))
+    docs = spark.createDataFrame([(1 + k % 30, f"text {k}") for k in range(60)] + [(1, f"other text {k}") for k in range(500)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 31)], "doc_id bigint, quality int")
+    quality.fit_quality(docs, labels)
+    ids = labels.filter(~quality.held_out("doc_id")).count()
+    assert seen == [ids]
