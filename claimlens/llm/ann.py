@@ -30,6 +30,9 @@ QUERY_BLOCK = 20_000
 # At one nothing is lost.  On the test tables larger factors save no time (see README).
 FACTOR = 1.0
 
+# The id of a missing neighbour, which also has an infinite distance.
+NONE = np.iinfo(np.int64).max
+
 
 @dataclass
 class Tree:
@@ -46,12 +49,27 @@ class Tree:
 
 
 def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
-    """Euclidean distances of all queries to all points, from the differences, in blocks."""
+    """Euclidean distances of all queries to all points, from the differences, in blocks.
+
+    Where squares overflow or vanish, the differences are scaled by the largest first; only a
+    distance beyond the largest double is infinite.
+    """
     out = np.empty((len(queries), len(points)))
     rows = max(1, 2_000_000 // max(1, points.size))
     for i in range(0, len(queries), rows):
-        gap = queries[i : i + rows, None, :] - points[None, :, :]
-        out[i : i + rows] = np.sqrt(np.einsum("qpd,qpd->qp", gap, gap))
+        with np.errstate(over="ignore", under="ignore"):
+            gap = queries[i : i + rows, None, :] - points[None, :, :]
+            squares = np.einsum("qpd,qpd->qp", gap, gap)
+            d = np.sqrt(squares)
+            odd = ~((squares > 1e-280) & np.isfinite(squares))
+            if odd.any():
+                gap = np.abs(gap[odd])
+                top = gap.max(axis=1)
+                exact = top.copy()
+                fine = (top > 0) & np.isfinite(top)
+                exact[fine] *= np.sqrt(((gap[fine] / top[fine, None]) ** 2).sum(axis=1))
+                d[odd] = exact
+        out[i : i + rows] = d
     return out
 
 
@@ -99,31 +117,38 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf: int = LEAF) -> Tree:
 
 
 def search_tree(tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and distances (infinite: none) of each query's k nearest, ties to the smaller id.
+    """Ids and distances of each query's k nearest, ties to the smaller id.
+
+    Where there are fewer, the id is ``NONE`` and the distance infinite.
 
     Points with the query's own id are passed over.  All queries walk the tree together,
     each first to its own leaf, for a first bound, then through what cannot be ruled out.
     """
     best_d = np.full((len(queries), k), np.inf)
-    best_i = np.full((len(queries), k), np.iinfo(np.int64).max)
+    best_i = np.full((len(queries), k), NONE)
 
     def look(node: int, active: np.ndarray) -> None:
         a, b = tree.start[node], tree.end[node]
         d = distances(queries[active], tree.points[a:b])
-        d[query_ids[active, None] == tree.ids[None, a:b]] = np.inf
+        own_id = query_ids[active, None] == tree.ids[None, a:b]
+        d[own_id] = np.inf
         all_d = np.concatenate([best_d[active], d], axis=1)
-        all_i = np.concatenate([best_i[active], np.broadcast_to(tree.ids[a:b], d.shape)], axis=1)
-        all_i = np.where(np.isinf(all_d), np.iinfo(np.int64).max, all_i)
+        all_i = np.concatenate([best_i[active], np.where(own_id, NONE, tree.ids[None, a:b])], axis=1)
         first = np.lexsort((all_i, all_d), axis=-1)[:, :k]
         best_d[active] = np.take_along_axis(all_d, first, axis=1)
         best_i[active] = np.take_along_axis(all_i, first, axis=1)
 
     def gaps(node: int, active: np.ndarray) -> np.ndarray:
         d = distances(queries[active], tree.points[tree.vantage[node]][None])[:, 0]
-        low = np.stack([tree.near[node, 0] - d, tree.far[node, 0] - d])
-        high = np.stack([d - tree.near[node, 1], d - tree.far[node, 1]])
+        # An infinite distance is at least the largest double, and rules nothing out from above.
+        most = np.finfo(np.float64).max
+        known = np.minimum(d, most)
+        starts = np.minimum([tree.near[node, 0], tree.far[node, 0]], most)
+        low = np.where(np.isinf(d), 0, starts[:, None] - known)
+        high = np.stack([known - tree.near[node, 1], known - tree.far[node, 1]])
         # Less what rounding can add.
-        return np.maximum(np.maximum(low, high) - 1e-9 * (1 + d), 0)
+        gap = np.maximum(np.maximum(low, high), 0)
+        return np.maximum(gap - 1e-9 * gap - 1e-9 * (1 + known), 0)
 
     own = np.zeros(len(queries), dtype=np.int64)
     inner = tree.halves[own, 0] >= 0
@@ -223,7 +248,7 @@ def nearest(
                 for batch in batches:
                     for packed in batch.column(0).to_pylist():
                         near, d = search_tree(Tree(**pickle.loads(packed)), ids, queries, k, factor)
-                        q, place = np.nonzero(np.isfinite(d))
+                        q, place = np.nonzero(np.isfinite(d) | (near != NONE))
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(q), pa.array(ids[q]), pa.array(near[q, place]), pa.array(d[q, place])],
                             names=["q", "query_id", "id", "score"],

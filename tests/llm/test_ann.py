@@ -62,6 +62,24 @@ def test_a_larger_factor_searches_less_and_finds_most():
     assert np.mean([len({*a} & {*b}) / 10 for a, b in zip(want.tolist(), got.tolist())]) > 0.9
 
 
+def test_very_large_and_small_vectors_keep_all_candidates(spark):
+    rows = [(0, [3e200, 0.0]), (1, [0.0, 4e200]), (2, [3e-200, 1e-200]), (3, [1e-200, 1e-200]), (4, [-1.5e308, 1.0]), (5, [1.5e308, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for size in (100, 2):
+        got = {(r["query_id"], r["vec_id"]): r["score"] for r in nearest(frame, F.lit(True), shard_rows=size).collect()}
+        assert len(got) == 30
+        assert got[0, 1] == pytest.approx(5e200) and got[2, 3] == pytest.approx(2e-200) and got[4, 5] == float("inf")
+
+
+def test_trees_of_large_vectors_lose_nothing():
+    points = np.random.default_rng(3).normal(size=(600, 3)) * 1e200
+    points[::50] *= 3e107
+    ids = np.arange(600)
+    got, _ = search_tree(build_tree(ids, points, leaf=8), ids, points, 10, 1.0)
+    want, _ = search_tree(build_tree(ids, points, leaf=600), ids, points, 10, 1.0)
+    assert (got == want).all()
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
