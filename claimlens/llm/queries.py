@@ -13,6 +13,7 @@ from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.html_extract import extract_pages
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
 from claimlens.llm.quality import fit_quality, score_quality
+from claimlens.llm.runs import find_runs
 from claimlens.llm.sharding import shard_rows
 from claimlens.llm.simhash import simhash_clusters
 from claimlens.llm.substring import remove_repeats
@@ -122,6 +123,52 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` where a tenth of the texts repeat a stretch of their words up to the end.
+
+    h is the checksum of the written doc_id, g = floor(h / 10).  If h % 10 = 0, each of the n words from
+    a = g % n on becomes word a + (i - a) % p, with p = 1 + floor((n - a) / (3 + g % 8)).  Rows without a
+    doc_id stay as they are.
+    """
+    named = docs.select("*", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h of row"))
+    chosen = F.col("h of row") % 10 == 0
+    words = F.when(chosen, F.expr(r"filter(split(text, '[ \t-\r]+'), w -> w <> '')"))
+    split = named.withColumn("words of row", words)
+    n = F.size("words of row")
+    a = F.expr("CAST((`h of row` div 10) % size(`words of row`) AS int)")
+    placed = split.withColumn("a of row", F.when(n > 0, a))
+    period = F.expr("CAST(1 + (size(`words of row`) - `a of row`) div (3 + (`h of row` div 10) % 8) AS int)")
+    placed = placed.withColumn("p of row", F.when(n > 0, period))
+    text = F.expr(
+        "array_join(concat(slice(`words of row`, 1, `a of row`), slice(flatten(array_repeat("
+        "slice(`words of row`, `a of row` + 1, `p of row`), "
+        "CAST(ceil((size(`words of row`) - `a of row`) / `p of row`) AS int))), 1, size(`words of row`) - `a of row`)), ' ')"
+    )
+    return placed.withColumn("text", F.when(n > 0, text).otherwise(F.col("text"))).select(*docs.columns)
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of runs, strongest run, and digests of all runs and of the collapsed text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_runs(with_planted_runs(docs))
+    best = F.expr(
+        "aggregate(runs, runs[0], (b, r) -> CASE WHEN r.length * b.period > b.length * r.period OR "
+        "(r.length * b.period = b.length * r.period AND (r.start < b.start OR "
+        "(r.start = b.start AND r.period < b.period))) THEN r ELSE b END)"
+    )
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select("doc_id", "runs", "collapsed", F.when(F.size("runs") > 0, best).alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -133,4 +180,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
+    "op13_runs": op13_runs,
 }
