@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm.ann import nearest
-from claimlens.llm.common import table
+from claimlens.llm.common import table, type_of
+from claimlens.llm.conversations import repair_conversations
 from claimlens.llm.decontaminate import find_contamination
 from claimlens.llm.html_extract import extract_pages
 from claimlens.llm.packing import pack_pieces, tokenize_pieces
@@ -123,6 +126,71 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text`` with a fifth of the rows damaged, by the checksum of ``conv_id:turn``.
+
+    Of 20 remainders 0 drops the row, 1 empties its text, 2 removes its sentence ends, 3 repeats it, 4 sets
+    the role user.  Nulls count as one space; a null turn stays null.
+    """
+    part = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    key = F.concat(part["conv_id"], F.lit(":"), part["turn"]).cast("binary")
+    act = F.crc32(key) % 20
+    text = F.when(act == 1, "").when(act == 2, F.regexp_replace(part["text"], "[.!?]", "")).otherwise(part["text"])
+    rows = conversations.filter(act != 0).select(
+        "conv_id",
+        "turn",
+        F.when(act == 4, "user").otherwise(part["role"]).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), F.when(act == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def turn_digests(turns: DataFrame) -> DataFrame:
+    """Per conversation the hash of its ``role:text`` lines, read row by row and never held whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = digest = id_type = None
+        for batch in batches:
+            id_type = batch.column(0).type
+            ids, digests = [], []
+            for i, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if digest is None or i != of:
+                    if digest is not None:
+                        ids.append(of)
+                        digests.append(digest.hexdigest())
+                    of, digest = i, hashlib.sha256()
+                else:
+                    digest.update(b"\n")
+                digest.update(f"{role}:{text}".encode())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array(digests, pa.string())], names=["id", "digest"])
+        if digest is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([of], id_type), pa.array([digest.hexdigest()], pa.string())], names=["id", "digest"]
+            )
+
+    ordered = turns.repartition("conv_id").sortWithinPartitions("conv_id", "place").select("conv_id", "role", "text")
+    return ordered.mapInArrow(run, f"id {type_of(turns, 'conv_id')}, digest string")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of the repaired turns of every conversation, after damage."""
+    rows = table(spark, sf_dir, "conversations")
+    report, turns = repair_conversations(damaged(rows))
+    digests = turn_digests(turns)
+    every = rows.select(F.col("conv_id").alias("every")).distinct()
+    joined = every.join(report, F.col("every").eqNullSafe(F.col("conv_id")), "left").join(
+        digests, F.col("every").eqNullSafe(F.col("id")), "left"
+    )
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return joined.select(
+        F.col("every").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"),
+    )
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """``docs`` where a tenth of the texts repeat a stretch of their words up to the end.
 
@@ -180,5 +248,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_runs": op13_runs,
 }
