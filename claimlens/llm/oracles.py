@@ -51,4 +51,21 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits USING (page_id)
 """
 
-ORACLES = {"op3_decontaminate": DECONTAMINATE, "op10_url_filter": URL_FILTER}
+TOP_PRODUCTS = """
+WITH w AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM w q JOIN w c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLES = {
+    "op3_decontaminate": DECONTAMINATE,
+    "op10_url_filter": URL_FILTER,
+    "op12_pivot_topk": TOP_PRODUCTS,
+}

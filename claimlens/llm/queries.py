@@ -21,6 +21,7 @@ from claimlens.llm.sharding import shard_rows
 from claimlens.llm.simhash import simhash_clusters
 from claimlens.llm.substring import remove_repeats
 from claimlens.llm.token_count import count_tokens
+from claimlens.llm.topk import top_products
 from claimlens.llm.url_filter import judge_urls
 
 # The rules of the URL query: verdict, host, path.
@@ -191,6 +192,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest integer products of every fiftieth vector, by id, with all others."""
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """``docs`` where a tenth of the texts repeat a stretch of their words up to the end.
 
@@ -249,5 +255,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_pivot_topk": op12_pivot_topk,
     "op13_runs": op13_runs,
 }
