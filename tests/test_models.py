@@ -8,6 +8,7 @@ from claimlens import schema
 from claimlens.models import training
 from claimlens.models.baseline import mean_severity, with_mean_severity
 from claimlens.models.glm import fit_glm, predict_glm
+from claimlens.models.minibatch import best_so_far, fit_minibatch
 from claimlens.models.nets import (
     Nadam,
     NetSpec,
@@ -26,8 +27,9 @@ from claimlens.models.training import (
     load_model,
     weights_table,
 )
-from claimlens.operators.split import learn_rows
+from claimlens.operators.split import learn_rows, shuffle_key
 from claimlens.plans.registry import fixed_net
+from claimlens.sources.checkpoints import Checkpoints
 
 SPECS = [NetSpec(f"{k}_{p}", k, p) for k in ("ffn", "localglm") for p in (2.0, 2.5, 3.0)]
 
@@ -295,3 +297,84 @@ def test_run_log_appends_and_separates_experiments(spark, tmp_path):
 def test_history_table(spark):
     model = NetModel(NetSpec("m", "ffn"), np.zeros(826), [(1, 0.5, 0.6), (2, 0.4, None)])
     assert [tuple(r) for r in history_table(spark, [model]).collect()] == [("m", 1, 0.5, 0.6), ("m", 2, 0.4, None)]
+
+
+MINI = [NetSpec("plain", "ffn", 2.0, 2, (4,)), NetSpec("local", "localglm", 3.0, 2, (4,))]
+
+
+@pytest.fixture(scope="module")
+def shuffled(signal):
+    return signal.withColumn("shuffle_key", shuffle_key("Id"))
+
+
+def test_minibatch_is_the_same_for_any_tasks_and_jobs(shuffled):
+    def fit(**how):
+        models = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], epochs=2, batch_size=800, **how)
+        return [(m.history, m.best_epoch, m.theta.tolist()) for m in models]
+
+    one = fit()
+    assert fit(tasks=3, epochs_per_job=1) == one
+    assert fit(tasks=8, held_rows=1) == one
+
+
+def test_minibatch_is_plain_training(shuffled):
+    """The same steps in one process over the rows in shuffle order."""
+    rows = shuffled.orderBy("shuffle_key", "Id").toPandas()
+    x, y = rows[["a", "b"]].to_numpy(np.float64), rows["Claim"].to_numpy()
+    n = int(len(y) * 0.8)
+    models = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], epochs=3, batch_size=300, precision=np.float64)
+    for k, (spec, got) in enumerate(zip(MINI, models)):
+        start = spec.start(3.0, schema.SEED + k)
+        state = Nadam(start, np.zeros(spec.size), np.zeros(spec.size))
+        for epoch, train, val in got.history:
+            total = 0.0
+            for at in range(0, n, 300):
+                part = slice(at, min(at + 300, n))
+                loss, gradient = loss_and_gradient(spec, state.theta, x[part], y[part])
+                total += loss
+                state.update(gradient / (part.stop - part.start))
+            assert train == pytest.approx(total / n, rel=1e-9)
+            assert val == pytest.approx(deviance(y[n:], predict(spec, state.theta, x[n:]), spec.power).mean(), rel=1e-9)
+        assert got.best_epoch == 3 and np.allclose(got.theta, state.theta, rtol=1e-9, atol=1e-12)
+
+
+def test_a_fit_goes_on_from_its_last_whole_checkpoint(spark, shuffled, tmp_path):
+    def fit(epochs, folder=None, **how):
+        return fit_minibatch(
+            shuffled, MINI, 3.0, ["a", "b"], epochs=epochs, batch_size=400, checkpoint=folder and f"{tmp_path}/{folder}", **how
+        )
+
+    def numbers(models):
+        return [(m.history, m.best_epoch, m.theta.tolist()) for m in models]
+
+    whole = numbers(fit(5))
+    for stop in (1, 3):
+        fit(stop, f"stop{stop}")
+        so_far = best_so_far(spark, f"{tmp_path}/stop{stop}", MINI)
+        assert [len(m.history) for m in so_far] == [stop, stop]
+        # A job that was lost while writing leaves files without a marker.
+        (tmp_path / f"stop{stop}" / "at-000000004").mkdir()
+        (tmp_path / f"stop{stop}" / "at-000000004" / "part-0.parquet").write_bytes(b"half")
+        assert numbers(fit(5, f"stop{stop}", epochs_per_job=1)) == whole
+        assert Checkpoints(spark, f"{tmp_path}/stop{stop}").last() == 5
+    assert numbers(fit(5, "stop1")) == whole
+    with pytest.raises(ValueError, match="rate"):
+        fit(6, "stop1", rate=0.1)
+    with pytest.raises(ValueError, match="networks"):
+        fit_minibatch(shuffled, MINI[:1], 3.0, ["a", "b"], checkpoint=f"{tmp_path}/stop1")
+    with pytest.raises(ValueError, match="no whole"):
+        best_so_far(spark, f"{tmp_path}/nothing", MINI)
+
+
+def test_minibatch_patience_ends_each_network_for_itself(shuffled):
+    wild = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], epochs=9, batch_size=100, patience=1, rate=0.5)
+    for m in wild:
+        scores = [v for _, _, v in m.history]
+        assert len(scores) <= m.best_epoch + 1 and m.best_epoch == int(np.argmin(scores)) + 1
+
+
+def test_minibatch_refuses_what_it_cannot_fit(shuffled):
+    with pytest.raises(ValueError, match="no learn rows"):
+        fit_minibatch(shuffled.withColumn("Claim", F.lit(-1.0)), MINI, 3.0, ["a", "b"])
+    with pytest.raises(ValueError, match="names"):
+        fit_minibatch(shuffled, [MINI[0], MINI[0]], 3.0, ["a", "b"])
