@@ -11,6 +11,8 @@ from claimlens.plans.registry import (
     FIXED_POWERS,
     GLM_GROUPS,
     GLM_POWERS,
+    SMALL_INPUTS,
+    SMALL_POWERS,
     SUMMARY_COLUMNS,
 )
 
@@ -466,6 +468,110 @@ def _nadam(start: str, gradient: str) -> str:
     return f"{start} - 0.001 * {share!r} * {gradient} / (abs({gradient}) + 1e-7)"
 
 
+SMALL_SLOTS = [
+    *(("layer1", i, j, f"w{i}{j}", repr(_entry(i, j))) for i in range(3) for j in range(2)),
+    *(("layer1", -1, j, f"b{j}", repr(_bias(j))) for j in range(2)),
+    *(("output", i, 0, f"v{i}", repr(_entry(i, 0))) for i in range(2)),
+    ("output", -1, 0, "c", f"ln({NULL_MEAN})"),
+]
+
+
+def _small_steps(batch: str) -> list[str]:
+    """CTEs of two training steps: per model ``<model>_0`` to ``_2`` hold the parameters and moments, ``_at0`` to
+    ``_at2`` the rows with the deviances at them.  ``batch`` numbers the steps a row takes part in."""
+    x = ", ".join(f"{f} AS x{i}" for i, f in enumerate(SMALL_INPUTS))
+    ctes = [
+        f"\nplaced AS (SELECT Claim AS y, {x}, {NULL_MEAN} AS mean, count(*) OVER () AS n, "
+        "row_number() OVER (ORDER BY shuffle_key, Id) AS place FROM features WHERE split = 'learn')",
+        f"\nlearn_rows AS (SELECT *, place > (n * 4) // 5 AS held, {batch} AS batch FROM placed)",
+    ]
+    product = 1.0
+    momentum = [0.9 * (1 - 0.5 * 0.96 ** (0.004 * t)) for t in range(4)]
+    names = [slot[3] for slot in SMALL_SLOTS]
+    for model, p in SMALL_POWERS.items():
+        start = ", ".join(f"{value} AS {name}, 0.0 AS m_{name}, 0.0 AS q_{name}" for *_, name, value in SMALL_SLOTS)
+        ctes.append(f"\n{model}_0 AS (SELECT {start})")
+        product = 1.0
+        deviance = "2 * ((y - mu) / mu + ln(mu / y))" if p == 2 else "(y - mu) * (y - mu) / (mu * mu * y)"
+        for t in range(3):
+            h = ", ".join(f"tanh(b{j} + " + " + ".join(f"x{i} * w{i}{j}" for i in range(3)) + f") AS h{j}" for j in range(2))
+            ctes.append(f"\n{model}_h{t} AS (SELECT *, {h} FROM learn_rows CROSS JOIN {model}_{t})")
+            ctes.append(f"\n{model}_mu{t} AS (SELECT *, exp(c + h0 * v0 + h1 * v1) AS mu FROM {model}_h{t})")
+            ctes.append(
+                f"\n{model}_at{t} AS (SELECT *, 2 * (pow(mu, {2 - p}) - y * pow(mu, {1 - p})) AS s, {deviance} AS dev FROM {model}_mu{t})"
+            )
+            if t == 2:
+                break
+            back = [f"s * v{j} * (1 - h{j} * h{j})" for j in range(2)]
+            slopes = {"c": "s", "v0": "h0 * s", "v1": "h1 * s", "b0": back[0], "b1": back[1]}
+            slopes |= {f"w{i}{j}": f"x{i} * {back[j]}" for i in range(3) for j in range(2)}
+            means = ", ".join(f"avg({d}) AS g_{name}" for name, d in slopes.items())
+            ctes.append(f"\n{model}_g{t} AS (SELECT {means} FROM {model}_at{t} WHERE NOT held AND batch IN (0, {t + 1}))")
+            now, following = momentum[t + 1], 0.9 * (1 - 0.5 * 0.96 ** (0.004 * (t + 2)))
+            product *= now
+            moments = ", ".join(
+                f"{n}, g_{n}, 0.9 * m_{n} + 0.1 * g_{n} AS m_{n}, 0.999 * q_{n} + 0.001 * g_{n} * g_{n} AS q_{n}" for n in names
+            )
+            ctes.append(f"\n{model}_m{t} AS (SELECT {moments} FROM {model}_{t} CROSS JOIN {model}_g{t})")
+            stepped = ", ".join(
+                f"{n} - 0.001 * (m_{n} * {following / (1 - product * following)!r} + g_{n} * {(1 - now) / (1 - product)!r}) "
+                f"/ (sqrt(q_{n} / {1 - 0.999 ** (t + 1)!r}) + 1e-7) AS {n}, m_{n}, q_{n}"
+                for n in names
+            )
+            ctes.append(f"\n{model}_{t + 1} AS (SELECT {stepped} FROM {model}_m{t})")
+    return ctes
+
+
+def _fit_two_steps() -> str:
+    halves = "CASE WHEN place <= ((n * 4) // 5 + 1) // 2 THEN 1 ELSE 2 END"
+    parts = [
+        f"SELECT '{model}' AS model, '{layer}' AS layer, CAST({i} AS INTEGER) AS i, CAST({j} AS INTEGER) AS j, "
+        f"round({name}, 6) + 0.0 AS value FROM {model}_2"
+        for model in SMALL_POWERS
+        for layer, i, j, name, _ in SMALL_SLOTS
+    ]
+    return _with(FEATURES, _union(parts), *_small_steps(halves))
+
+
+def _fit_resumed() -> str:
+    parts = []
+    for model, p in SMALL_POWERS.items():
+        for epoch in (1, 2):
+            scale = f"pow(max(mean), {p - 2})"
+            train = f"(SELECT round(avg(dev) * {scale}, 6) FROM {model}_at{epoch - 1} WHERE NOT held)"
+            val = [f"(SELECT avg(dev) * {scale} FROM {model}_at{e} WHERE held)" for e in (1, 2)]
+            parts.append(
+                f"SELECT '{model}' AS model, CAST({epoch} AS INTEGER) AS epoch, {train} AS train_loss, "
+                f"round({val[epoch - 1]}, 6) AS val_loss, ({val[1]} < {val[0]}) = {epoch == 2} AS kept"
+            )
+    return _with(FEATURES, _union(parts), *_small_steps("0"))
+
+
+def _ingest_rejects() -> str:
+    return _with(
+        CLAIMS,
+        "SELECT reason, count(*) AS n, round(sum(CASE WHEN reason = 'accepted' THEN Claim END), 2) AS total FROM "
+        "(SELECT Claim, CASE l_orderkey % 10 WHEN 3 THEN 'malformed' WHEN 7 THEN 'malformed' WHEN 5 THEN 'missing Claim' "
+        "ELSE 'accepted' END AS reason FROM claims) GROUP BY reason",
+    )
+
+
+def _publish_twice() -> str:
+    return _with(
+        SILVER,
+        "SELECT reader, AccYear, count(*) AS n, round(sum(Claim), 2) AS total FROM silver "
+        "JOIN (VALUES ('before', 1996), ('after', 9999)) r(reader, year) ON AccYear <= year GROUP BY reader, AccYear",
+    )
+
+
+def _large_codes() -> str:
+    return _with(
+        SILVER,
+        "SELECT Id, dense_rank() OVER (ORDER BY concat(l_partkey, '-', l_orderkey)) AS PolicyCode, "
+        "dense_rank() OVER (ORDER BY MaritalStatus) AS MaritalStatusCode FROM silver",
+    )
+
+
 def _glm_scores() -> str:
     names = ["intercept", *(f for f in schema.MODEL_FEATURES if f != "Marital1")]
     models = ", ".join(f"('{m}')" for m in GLM_POWERS)
@@ -662,6 +768,11 @@ def all_oracles() -> dict[str, str]:
         "net_gradient_fixed": _parameters(lambda _, g, p: f"{g} * pow(max(m), {p - 2})"),
         "nadam_step_fixed": _parameters(lambda start, g, _: _nadam(start, g)),
         "glm_score": _glm_scores(),
+        "fit_two_steps": _fit_two_steps(),
+        "fit_resumed": _fit_resumed(),
+        "publish_twice": _publish_twice(),
+        "ingest_rejects": _ingest_rejects(),
+        "large_category_codes": _large_codes(),
         "repeated_runs": _repeated(),
         "claim_summary": _with(SILVER, _summary("silver", ["Claim"])),
         "level_counts": _with(BASE, _levels(schema.CATEGORICAL, "base", "count(*) AS n")),

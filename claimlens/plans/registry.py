@@ -20,6 +20,7 @@ from claimlens.functions.numeric import cube_root, hash32, positive_log
 from claimlens.functions.text import rows as inline_rows
 from claimlens.models.baseline import with_mean_severity
 from claimlens.models.glm import fit_glm, predict_glm
+from claimlens.models.minibatch import fit_minibatch
 from claimlens.models.nets import Nadam, NetSpec
 from claimlens.models.report import best_epoch, compare_runs, loss_curve, loss_report
 from claimlens.models.scoring import score, score_claims, with_attention
@@ -42,7 +43,12 @@ from claimlens.operators.delay import (
     with_weeks,
 )
 from claimlens.operators.density import kernel_density
-from claimlens.operators.encoding import level_codes, one_hot
+from claimlens.operators.encoding import (
+    code_by_table,
+    level_codes,
+    level_table,
+    one_hot,
+)
 from claimlens.operators.features import SCALED, clamp_claims, design_array
 from claimlens.operators.quantiles import exact_quantiles
 from claimlens.operators.scaling import minmax, standardize
@@ -63,9 +69,9 @@ from claimlens.operators.summary import (
 )
 from claimlens.operators.survival import ecdf_by_id, local_quadratic, log_survival
 from claimlens.plans.workflow import fit_severity_models
-from claimlens.plans.workspace import AFTER_YEAR, Workspace, workspace
+from claimlens.plans.workspace import AFTER_YEAR, DATABASE, Workspace, workspace
 from claimlens.sources import catalog
-from claimlens.sources.claims import VIEW_KEY, ingest
+from claimlens.sources.claims import VIEW_KEY, ingest, ingest_checked
 from claimlens.sources.storage import stage, stage_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +171,46 @@ def silver_by_path(w: Workspace) -> DataFrame:
     return catalog.scan_path(w.spark, path)
 
 
+@query
+def publish_twice(w: Workspace) -> DataFrame:
+    """A table replaced while a reader holds it: what that reader, and one that comes later, see."""
+    catalog.create_database(w.spark, DATABASE, stage_path(w.spark, "database"))
+    name, folder = f"{DATABASE}.replaced_{uuid.uuid4().hex[:8]}", stage_path(w.spark, "versions")
+    columns = ["Id", "Claim", "AccYear"]
+    before = catalog.publish_version(w.silver.filter("AccYear <= 1996").select(*columns), name, folder, "First")
+    after = catalog.publish_version(w.silver.select(*columns), name, folder, "Second")
+    seen = before.select(F.lit("before").alias("reader"), "*").unionByName(after.select(F.lit("after").alias("reader"), "*"))
+    found = stage(seen.groupBy("reader", "AccYear").agg(F.count(F.lit(1)).alias("n"), r(F.sum("Claim"), 2).alias("total")), "seen")
+    catalog.drop_table(w.spark, name)
+    return found
+
+
+@query
+def ingest_rejects(w: Workspace) -> DataFrame:
+    """Claims written as text with damaged records, read back: accepted and rejected records by reason."""
+    names = [f.name for f in schema.CLAIMS_SCHEMA.fields]
+    kind = F.col("l_orderkey") % 10
+    fields = {c: F.col(c).cast("string") for c in names}
+    fields["Claim"] = F.when(kind == 3, "n/a").when(kind == 5, "").otherwise(fields["Claim"])
+    line = F.concat_ws(",", *fields.values())
+    line = F.when(kind == 7, F.concat_ws(",", *list(fields.values())[:4])).otherwise(line)
+    path = stage_path(w.spark, "claims-text")
+    w.bronze.select(line.alias("value")).write.text(path)
+    accepted, rejected = ingest_checked(w.spark, path)
+    kept = accepted.select(F.lit("accepted").alias("reason"), F.col("Claim"))
+    seen = kept.unionByName(rejected.select("reason", F.lit(None).cast("double").alias("Claim")))
+    return seen.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), r(F.sum("Claim"), 2).alias("total"))
+
+
+@query
+def large_category_codes(w: Workspace) -> DataFrame:
+    """Codes of a category with a level for almost every claim, and of one with three, by shuffled level tables."""
+    claims = w.silver.select("Id", "MaritalStatus", F.concat_ws("-", "l_partkey", "l_orderkey").alias("Policy"))
+    levels = level_table(claims, ["Policy", "MaritalStatus"])
+    coded = code_by_table(claims, levels, ["Policy", "MaritalStatus"], broadcast_levels=0)
+    return coded.select("Id", "PolicyCode", "MaritalStatusCode")
+
+
 @query
 def schema_report(w: Workspace) -> DataFrame:
     """Column names, types, non-null counts and the first row's values."""
@@ -514,13 +560,20 @@ def local_regression(w: Workspace) -> DataFrame:
 # --- models ------------------------------------------------------------------------
 
 
-def fixed_net(kind: str, name: str, mean_claim: float, power: float = 2.0) -> NetModel:
+def fixed_net(
+    kind: str,
+    name: str,
+    mean_claim: float,
+    power: float = 2.0,
+    inputs: int = 16,
+    hidden: tuple[int, ...] = (20, 15, 10),
+) -> NetModel:
     """A network with weights from a formula, so that another engine can repeat it.
 
     Entry (i, j) of every hidden matrix is ((7 i + 3 j) mod 11 - 5) / 50, bias j is
     (j mod 5 - 2) / 50; the output bias is the log of the mean claim.
     """
-    spec = NetSpec(name, kind, power)
+    spec = NetSpec(name, kind, power, inputs, hidden)
     theta = np.zeros(spec.size)
     for (layer, a, b), (w, bias) in zip(spec.layers, spec.unpack(theta)):
         i, j = np.indices((a, b))
@@ -632,6 +685,52 @@ def nadam_step_fixed(w: Workspace) -> DataFrame:
     return _parameter_rows(w, stepped, 6)
 
 
+# Networks small enough for two steps of their training to be written as SQL.
+SMALL_INPUTS = ["AgeNN", "WeeklyPayNN", "RepDelayNN"]
+SMALL_POWERS = {"small_p2": 2.0, "small_p3": 3.0}
+
+
+def _fit_small(w: Workspace, epochs: int, batch_size: int, checkpoint: str | None = None) -> list[NetModel]:
+    nets = [fixed_net("ffn", name, w.mean_claim, p, len(SMALL_INPUTS), (2,)) for name, p in SMALL_POWERS.items()]
+    return fit_minibatch(
+        learn_rows(w.features),
+        [n.spec for n in nets],
+        w.mean_claim,
+        SMALL_INPUTS,
+        epochs=epochs,
+        batch_size=batch_size,
+        warm_start=[n.theta for n in nets],
+        precision=np.float64,
+        checkpoint=checkpoint,
+    )
+
+
+@query
+def fit_two_steps(w: Workspace) -> DataFrame:
+    """Parameters of two small networks after one epoch of two mini-batches, from formula weights."""
+    n_train = learn_rows(w.silver).count() * 4 // 5
+    return _parameter_rows(w, _fit_small(w, 1, -(-n_train // 2)), 6)
+
+
+@query
+def fit_resumed(w: Workspace) -> DataFrame:
+    """Losses of the same networks over two epochs of one step each, the second from the first one's checkpoint.
+
+    Multiplied by the mean claim to the power p - 2, as all powers are then alike in size.
+    """
+    folder = stage_path(w.spark, "fit")
+    n = learn_rows(w.silver).count()
+    _fit_small(w, 1, n, folder)
+    models = _fit_small(w, 2, n, folder)
+    rows = [
+        (m.spec.name, epoch, *(x * w.mean_claim ** (m.spec.power - 2) for x in losses), epoch == m.best_epoch)
+        for m in models
+        for epoch, *losses in m.history
+    ]
+    made = w.spark.createDataFrame(rows, "model string, epoch int, train_loss double, val_loss double, kept boolean")
+    return made.withColumns({c: r(c, 6) for c in ("train_loss", "val_loss")})
+
+
 @query
 def batch_scoring(w: Workspace) -> DataFrame:
     """Keep a model and its features as tables, load them back, score every numbered claim."""

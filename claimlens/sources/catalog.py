@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +84,69 @@ def publish(
     return scan_table(spark, name)
 
 
+def publish_version(
+    df: DataFrame,
+    name: str,
+    folder: str,
+    comment: str = "",
+    fmt: str = "parquet",
+    new_schema: bool = False,
+) -> DataFrame:
+    """Replace what table ``name`` holds in one step, and scan it.
+
+    The rows go to a folder of their own below ``folder``; when all are there, the table's location is
+    switched to it.  A reader sees the rows before or after, never some of both, and one that started
+    before goes on with the old files.  A publish that fails leaves the table as it was.  Old versions stay
+    until ``remove_old_versions``.  ``df`` may read the table itself.
+
+    Other columns or types than the table has are refused; with ``new_schema`` the table is made
+    anew, which readers can notice for a moment.
+    """
+    spark = df.sparkSession
+    path = f"{folder.rstrip('/')}/version-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    there = spark.catalog.tableExists(name)
+    same = there and [(f.name, f.dataType) for f in spark.table(name).schema] == [(f.name, f.dataType) for f in df.schema]
+    if there and not same and not new_schema:
+        raise ValueError(f"{name} has other columns: pass new_schema=True to replace them")
+    write_table(df, path, mode="errorifexists", fmt=fmt)
+    if same:
+        spark.sql(f"ALTER TABLE {_quoted(name)} SET LOCATION '{_text(path)}'")
+        if comment:
+            spark.sql(f"COMMENT ON TABLE {_quoted(name)} IS '{_text(comment)}'")
+        spark.catalog.refreshTable(name)
+    else:
+        register_table(spark, name, path, comment=comment, fmt=fmt)
+    return scan_table(spark, name)
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """Folder that table ``name`` reads from."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}").filter("col_name = 'Location'").collect()
+    if not rows:
+        raise ValueError(f"{name} has no location")
+    return rows[0]["data_type"]
+
+
+def remove_old_versions(spark: SparkSession, name: str, folder: str, older_than: float = 86_400.0) -> list[str]:
+    """Delete versions in ``folder`` that the table no longer reads and that are older than so many seconds.
+
+    What is left of failed publishes goes as well.  The age gives running readers time to end.
+    Returns the names of the deleted versions.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(folder)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = hadoop.Path(location(spark, name)).getName()
+    gone = []
+    for status in files.listStatus(root):
+        version = status.getPath().getName()
+        if version.startswith("version-") and version != current:
+            if time.time_ns() - int(version.split("-")[1]) >= older_than * 1e9:
+                files.delete(status.getPath(), True)
+                gone.append(version)
+    return sorted(gone)
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

@@ -3,11 +3,14 @@ star-schema test tables."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.schema import CLAIMS_SCHEMA
+from claimlens.sources.storage import stage
 
 # unique row key of the view; used to break ties wherever rows are ordered
 VIEW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -25,6 +28,43 @@ def ingest(
     return spark.read.schema(schema).format(fmt).options(**options).load(path)
 
 
+REJECTS_SCHEMA = "reason string, record string, file string"
+
+
+def ingest_checked(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = CLAIMS_SCHEMA,
+    fmt: str = "csv",
+    required: Sequence[str] = ("Claim",),
+    **options: str,
+) -> tuple[DataFrame, DataFrame]:
+    """Accepted rows with the declared schema, and rejected ones as ``reason, record, file``.
+
+    A record is ``malformed`` if it has another number of fields or a value of another type, or cannot be
+    parsed at all; one without a value in a ``required`` column is ``missing <column>`` (the first of
+    them).  Every record is in exactly one of the two tables.  The source is read once: both come from
+    one written table.  CSV and JSON keep a malformed record's text; other formats have types of
+    their own and are only checked for missing values.
+    """
+    raw, origin = "input record", "input file"
+    names = [f.name for f in schema.fields]
+    if fmt in ("csv", "json"):
+        wide = T.StructType([*schema.fields, T.StructField(raw, T.StringType())])
+        reader = spark.read.schema(wide).format(fmt)
+        read = reader.options(mode="PERMISSIVE", columnNameOfCorruptRecord=raw, **options).load(path)
+    else:
+        read = ingest(spark, path, schema, fmt, **options).withColumn(raw, F.lit(None).cast("string"))
+    reason = F.when(F.col(raw).isNotNull(), "malformed")
+    for c in required:
+        reason = reason.when(F.col(c).isNull(), f"missing {c}")
+    kept = stage(read.withColumns({origin: F.input_file_name(), "input fault": reason}), "checked-claims")
+    bad = kept.filter(F.col("input fault").isNotNull())
+    record = F.coalesce(F.col(raw), F.to_json(F.struct(*[F.col(f"`{c}`") for c in names])))
+    rejected = bad.select(F.col("input fault").alias("reason"), record.alias("record"), F.col(origin).alias("file"))
+    return kept.filter(F.col("input fault").isNull()).select(*[F.col(f"`{c}`") for c in names]), rejected
+
+
 def claims_view(
     spark: SparkSession, data_dir: str, first_year: int | None = None
 ) -> DataFrame:

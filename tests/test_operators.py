@@ -450,3 +450,39 @@ def test_ecdf_with_missing_claims(spark):
 def test_an_unseen_level_has_no_code(spark):
     df = spark.createDataFrame([("A",), ("Z",), (None,)], "c string")
     assert [r[0] for r in df.select(level_code("c", ["A", "B"])).collect()] == [1, None, None]
+
+
+def test_level_tables_of_any_size(spark):
+    from claimlens.operators.encoding import code_by_table, level_table
+
+    rows = spark.range(200_000).select(
+        "id",
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("big"),
+        (F.col("id") % 5).cast("int").alias("small"),
+    )
+    table = level_table(rows, ["big", "small"])
+    want = {v: i + 1 for i, v in enumerate(sorted({r["big"] for r in rows.select("big").distinct().collect()} - {None}))}
+    for how in ({}, {"broadcast_levels": 0}):
+        coded = code_by_table(rows, table, ["big", "small"], **how)
+        assert coded.columns == ["id", "big", "small", "bigCode", "smallCode"]
+        got = coded.collect()
+        assert len(got) == 200_000
+        assert all(r["bigCode"] == want.get(r["big"]) and r["smallCode"] == r["small"] + 1 for r in got)
+    unseen = spark.createDataFrame([("zz", 9), ("hot", 1)], "big string, small int")
+    assert sorted(tuple(r) for r in code_by_table(unseen, table, ["big", "small"], broadcast_levels=0).collect()) == [
+        ("hot", 1, want["hot"], 2),
+        ("zz", 9, None, None),
+    ]
+    empty = level_table(rows.limit(0), ["big"])
+    assert empty.count() == 0 and code_by_table(unseen, empty, ["big"]).filter("bigCode IS NOT NULL").count() == 0
+
+
+def test_large_level_tables_are_not_broadcast_and_hot_levels_spread(spark):
+    from claimlens.operators.encoding import code_by_table, level_table
+
+    rows = spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("c"), "id")
+    coded = code_by_table(rows, level_table(rows, ["c"]), ["c"], broadcast_levels=0)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") + plan.count("BroadcastExchange") <= 4
+    parts = coded.filter("c = 'hot'").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert max(r["count"] for r in parts) < 20_000
