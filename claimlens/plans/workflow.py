@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 
 from claimlens import schema
 from claimlens.models.baseline import mean_severity
+from claimlens.models.minibatch import fit_minibatch
 from claimlens.models.nets import NetSpec
 from claimlens.models.report import compare_runs, loss_report
 from claimlens.models.scoring import score
@@ -70,12 +71,16 @@ def fit_severity_models(
     folder: str,
     experiment: str = "severity",
     features_from: str = "all",
+    method: str = "minibatch",
     **fit_settings: object,
 ) -> SeverityModels:
     """Fit the constant model and six networks, log all seven runs, compare them.
 
     The networks are fitted in the same passes over the learn rows and scored in one.
     ``features_from='learn'`` takes scaling and levels from the learn rows only.
+    ``method='minibatch'`` takes every step on one copy of the weights (see ``fit_minibatch``; with very many rows
+    give it larger mini-batches), ``'averaged'`` fits copies on parts of the rows and averages
+    them (see ``fit_nets``).  ``fit_settings`` go to the chosen one, ``checkpoint`` among them.
     """
     spark = silver.sparkSession
     fitted_on = silver if features_from == "all" else learn_rows(with_split(silver))
@@ -83,7 +88,8 @@ def fit_severity_models(
     prepared = with_split(apply_features(silver, spec))
     learn = learn_rows(prepared)
     mean_claim = mean_severity(learn)
-    models = fit_nets(learn, network_specs(), mean_claim, **fit_settings)
+    fit = {"minibatch": fit_minibatch, "averaged": fit_nets}[method]
+    models = fit(learn, network_specs(), mean_claim, **fit_settings)
     scored = score(prepared.selectExpr("*", f"{mean_claim!r}D AS {NULL_MODEL}"), models)
     log = RunLog(spark, folder, experiment)
     names = {NULL_MODEL: "Constant", **{n: shown for n, (shown, _, _) in NETWORKS.items()}}
