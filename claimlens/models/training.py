@@ -42,10 +42,9 @@ cloudpickle.register_pickle_by_value(nets)
 
 # partial results collected directly up to this many; more are summed in groups first
 DIRECT_PARTS = 256
-# Training tasks: one per so many rows, and never more than the second number.  Both are
-# part of the method, like the batch size: they decide between which rows steps are averaged.
+# Training tasks: one per so many rows.  Part of the method, like the batch size: it decides
+# between which rows steps are averaged.
 ROWS_PER_PART = 25_000
-MOST_PARTS = 4096
 # weights of one model that may come to the driver
 MOST_WEIGHTS = 1_000_000
 BLOCK_SCHEMA = "held boolean, y binary, x binary"
@@ -65,7 +64,7 @@ class NetModel:
 
 def parts_for(rows: int) -> int:
     """Number of training tasks for so many rows."""
-    return min(MOST_PARTS, max(1, math.ceil(rows / ROWS_PER_PART)))
+    return max(1, math.ceil(rows / ROWS_PER_PART))
 
 
 def _pack_task(batch: int, precision: type = np.float32):

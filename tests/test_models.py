@@ -126,7 +126,7 @@ def test_fit_repeats_exactly_and_ignores_input_partitions(signal, monkeypatch):
 
 
 def test_tasks_follow_from_the_rows(monkeypatch):
-    assert [training.parts_for(n) for n in (0, 1, 25_000, 25_001, 10**12)] == [1, 1, 1, 2, 4096]
+    assert [training.parts_for(n) for n in (0, 1, 25_000, 25_001, 10**12)] == [1, 1, 1, 2, 40_000_000]
 
 
 @pytest.mark.parametrize("cuts", [1, 8, 64])
