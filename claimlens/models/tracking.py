@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,8 +36,21 @@ def _mapped(column: str, to: Mapping[str, str] | None) -> Column:
     return out
 
 
+# Parts of an experiment's tables; a run is in one of them.
+BUCKETS = 64
+_BUCKET = T.StructField("bucket", T.IntegerType())
+
+
+def _bucket() -> Column:
+    return (F.crc32(F.col("run_id").cast("binary")) % BUCKETS).cast("int")
+
+
 class RunLog:
-    """Runs of one experiment, kept as Parquet partitioned by experiment under a folder."""
+    """Runs of one experiment, kept as Parquet under a folder.
+
+    Every table is partitioned by experiment and by a bucket of the run id, so that what is read for one run
+    is one of ``BUCKETS`` parts of its experiment.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, experiment: str) -> None:
         self.spark = spark
@@ -69,16 +83,20 @@ class RunLog:
         return f"{plain}-{uuid.uuid4().hex[:12]}"
 
     def _keep(self, rows: DataFrame, path: str) -> None:
-        own = rows.withColumn("experiment", F.lit(self.experiment))
-        own.coalesce(1).write.mode("append").parquet(path)
+        own = rows.withColumns({"experiment": F.lit(self.experiment), "bucket": _bucket()})
+        # a run is a few rows: one file a bucket
+        own.coalesce(1).write.mode("append").partitionBy("experiment", "bucket").parquet(path)
 
     def _kept(self, schema: T.StructType | str, path: str, run_id: str) -> DataFrame:
-        table = self.spark.read.schema(schema).parquet(path)
-        return table.filter((F.col("experiment") == self.experiment) & (F.col("run_id") == run_id))
+        """One run's rows; experiment and bucket are known before, so other folders are not read."""
+        stored = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        table = self.spark.read.schema(T.StructType([*stored.fields, _BUCKET])).parquet(path)
+        bucket = zlib.crc32(run_id.encode()) % BUCKETS
+        own = (F.col("experiment") == self.experiment) & (F.col("bucket") == bucket) & (F.col("run_id") == run_id)
+        return table.filter(own).drop("bucket")
 
     def _append(self, rows: DataFrame) -> None:
-        # a run is a few rows: one file
-        rows.coalesce(1).write.mode("append").partitionBy("experiment").parquet(self.runs_path)
+        self._keep(rows, self.runs_path)
 
     def log(
         self,

@@ -59,11 +59,12 @@ def build_silver(
     table: str | None = None,
     path: str | None = None,
 ) -> DataFrame:
-    """Filtered, numbered claims; published as an external table when named."""
+    """Filtered, numbered claims; when named, published below ``path`` as the table's new version, which
+    readers see in one step."""
     silver = number_claims(filter_claims(claims, after_year), key)
     if table is None or path is None:
         return silver
-    return catalog.publish(silver, table, path, "Filtered claims by descending size")
+    return catalog.publish_version(silver, table, path, "Filtered claims by descending size")
 
 
 def fit_severity_models(

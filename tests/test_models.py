@@ -378,3 +378,21 @@ def test_minibatch_refuses_what_it_cannot_fit(shuffled):
         fit_minibatch(shuffled.withColumn("Claim", F.lit(-1.0)), MINI, 3.0, ["a", "b"])
     with pytest.raises(ValueError, match="names"):
         fit_minibatch(shuffled, [MINI[0], MINI[0]], 3.0, ["a", "b"])
+
+
+def test_one_run_is_read_from_one_partition(spark, tmp_path):
+    log = RunLog(spark, str(tmp_path), "many runs")
+    models = [NetModel(s, s.start(2.0, 1)) for s in MINI]
+    ids = [log.start_run("A run") for _ in range(6)]
+    for run in ids:
+        log.log_weights(weights_table(spark, models[:1]), {"plain": run})
+        log.log(run, "A run", {"epochs": 3}, {"loss": 0.5})
+    RunLog(spark, str(tmp_path), "others").log_weights(weights_table(spark, models[:1]), {"plain": ids[0]})
+    kept = log.weights(ids[0])
+    assert kept.count() == MINI[0].size
+    files = {f.partition("/model_weights/")[2].rpartition("/")[0] for f in kept.inputFiles()}
+    scan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(experiment" in scan and "bucket" in scan.partition("PartitionFilters")[2][:200]
+    assert len(files) > 1  # what is there; the filters leave one of them
+    assert kept.select(F.input_file_name().alias("f")).distinct().count() == 1
+    assert log.runs().count() == 12 and {r["run_id"] for r in log.runs().collect()} == set(ids)
