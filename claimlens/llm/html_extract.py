@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,7 +22,7 @@ _MARKUP = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 CONTAINERS = frozenset(
     "html body main article section div center td th table tbody tr ul ol dl blockquote figure "
@@ -30,6 +31,7 @@ CONTAINERS = frozenset(
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre address figcaption summary caption".split())
 LEFT_OUT = frozenset("head title nav header footer aside form menu dialog button select".split())
 BLOCKS = CONTAINERS | PARAGRAPHS | LEFT_OUT | {"hr"}
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 EMPTY = frozenset(("hr", "br", "img", "input", "meta", "link", "wbr"))
 
 # Words in a class, id or role that mark what is not the article.
@@ -39,46 +41,79 @@ LEFT_OUT_NAMES = frozenset(
     "notice overlay pagination pager popup promo related reply replies search share sharing sidebar "
     "signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# With one of those names, these speak of the element's form and not of what it is about.
+FORM_NAMES = frozenset(
+    "area bar block box button buttons container content count form group icon icons inner item items link links "
+    "list panel row section slot unit wrap wrapper".split()
+)
 _NAME_PARTS = re.compile(r"[^a-z]+")
 # Before such a name these words speak of the page's layout, as in "no-sidebar".
 LAYOUT_NAMES = frozenset("no has with without".split())
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 
 ARTICLE_BONUS = 25.0
+# A part of the page is a list of links if they hold more than this share of its text.
+LINK_SHARE = 1 / 3
 
 
 class Node:
-    __slots__ = ("tag", "parent", "out", "article", "score", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "out", "head", "article", "score", "chars", "link_chars", "kept")
 
-    def __init__(self, tag: str, parent: Node | None, out: bool):
-        self.tag, self.parent, self.out = tag, parent, out
+    def __init__(self, tag: str, parent: Node | None, out: bool = False, head: bool = False):
+        # ``head``: lies in the header of an article, of which only headings are text.
+        self.tag, self.parent, self.out, self.head = tag, parent, out, head
         # The outermost article or main element that it is or lies in.
         self.article: Node | None = parent.article if parent is not None else None
         if self.article is None and tag in ("article", "main"):
             self.article = self
         self.score = 0.0
         self.chars = self.link_chars = 0
+        self.kept = False
+
+
+def attributes_of(rest: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated attribute the first counts."""
+    values: dict[str, str] = {}
+    for found in _ATTRIBUTE.finditer(rest):
+        values.setdefault(found[1].lower(), found[2] or found[3] or found[4] or "")
+    return values
+
 
+def named_out(values: dict[str, str], in_article: bool) -> bool:
+    """Whether an element's attributes mark it as hidden or as no part of the article.
 
-def named_out(rest: str) -> bool:
-    """Whether an element's attributes mark it as hidden or as no part of the article."""
-    if _HIDDEN.search(rest):
+    Outside an article the first or last part of a class, id or role decides ("share-box",
+    "left-sidebar").  Inside, where such words may be the subject ("share-price",
+    "related-work"), all of its parts have to be such names or speak of form.
+    """
+    if "hidden" in values or values.get("aria-hidden", "").lower() == "true":
+        return True
+    if _NO_DISPLAY.search(values.get("style", "")):
         return True
-    for found in _NAMED.finditer(rest):
-        value = next(g for g in found.groups() if g is not None)
-        parts = _NAME_PARTS.split(value.lower())
-        if any(p in LEFT_OUT_NAMES and b not in LAYOUT_NAMES for b, p in zip(["", *parts], parts)):
-            return True
+    for name in ("class", "id", "role"):
+        for token in values.get(name, "").lower().split():
+            parts = [p for p in _NAME_PARTS.split(token) if p]
+            if not parts or not any(p in LEFT_OUT_NAMES for p in parts):
+                continue
+            if in_article:
+                if all(p in LEFT_OUT_NAMES or p in FORM_NAMES for p in parts):
+                    return True
+            elif parts[0] in LEFT_OUT_NAMES or (parts[-1] in LEFT_OUT_NAMES and parts[-2] not in LAYOUT_NAMES):
+                return True
     return False
 
 
-def blocks_of(html: str) -> list[tuple[Node, str, int]]:
-    """Text blocks in page order: the element, the text, and how much of it is in links."""
+def blocks_of(html: str) -> tuple[list[Node], list[tuple[Node, str, int]]]:
+    """The page's elements, parents first, and its text blocks in page order: the element,
+    the text, and how much of it is in links."""
+    node = Node("html", None)
+    nodes = [node]
     blocks: list[tuple[Node, str, int]] = []
-    node = Node("html", None, False)
     pieces: list[str] = []
     links: list[str] = []
     in_link = False
+    # Open elements by tag, so that an end tag without a start does not search all of them.
+    still_open: Counter[str] = Counter()
 
     def flush() -> None:
         if pieces:
@@ -89,6 +124,10 @@ def blocks_of(html: str) -> list[tuple[Node, str, int]]:
             pieces.clear()
             links.clear()
 
+    def leave(inner: Node) -> Node:
+        still_open[inner.tag] -= 1
+        return inner.parent
+
     at = 0
     for found in _MARKUP.finditer(html):
         if found.start() > at:
@@ -106,78 +145,97 @@ def blocks_of(html: str) -> list[tuple[Node, str, int]]:
         flush()
         in_link = False
         if found["close"]:
-            up: Node | None = node
-            while up is not None and up.tag != tag:
-                up = up.parent
-            if up is not None and up.parent is not None:
-                node = up.parent
+            if still_open[tag]:
+                while node.tag != tag:
+                    node = leave(node)
+                node = leave(node)
             continue
         if tag == "body":  # ends a head left open
             while node.parent is not None:
-                node = node.parent
+                node = leave(node)
         while node.tag in PARAGRAPHS and not (node.tag in ("li", "dd") and tag != node.tag):
-            node = node.parent
+            node = leave(node)
         if tag in EMPTY or tag == "html":
             continue
-        rest = found["rest"] or ""
-        out = node.out or tag in LEFT_OUT or (tag not in ("body", "main", "article") and bool(rest) and named_out(rest))
-        node = Node(tag, node, out)
+        rest = found["rest"]
+        out, head = node.out and not node.head, node.head
+        if not out and not head and tag == "header" and node.article is not None:
+            head = True
+        elif tag in LEFT_OUT:
+            out = True
+        if not out and rest and tag not in ("body", "main", "article"):
+            out = named_out(attributes_of(rest), node.article is not None)
+        if out:
+            head = False
+        elif head:
+            out = tag not in HEADINGS
+        node = Node(tag, node, out, head)
+        nodes.append(node)
+        still_open[tag] += 1
     if at < len(html):
         pieces.append(html[at:])
     flush()
-    return blocks
+    return nodes, blocks
 
 
 def main_text(html: str | None) -> str:
     """The article's blocks, one per line.
 
     Every block has a point, one per comma and up to three for length, less its share of
-    link text.  Its container gets them whole, the next ancestor half, those above a third,
-    a quarter and so on.  An article or main element is one container with all that lies in
-    it, however deep, so nothing in it is weighed against the rest.  The container with
-    most points, less its own share of link text, is the article; siblings with a fifth
-    of its points, and long sibling paragraphs with few links, go with it.
+    link text.  Its container gets them whole, the next ancestor half, the one above a
+    quarter and so on.  The container with most points, less its own share of link text, is
+    the best.  All blocks of it are kept, and those of the siblings of it and of its
+    ancestors, up to the outermost article or main element around it, unless links fill
+    them.  Other articles beside that one are kept too.  The work is in proportion to
+    the page, however deep its elements are nested.
     """
     if not html:
         return ""
-    blocks = blocks_of(html)
-    scored: dict[int, Node] = {}
-    for node, text, linked in blocks:
-        points = (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
-        up = node.article or (node.parent if node.tag in PARAGRAPHS and node.parent is not None else node)
-        steps = 1
-        inner: Node | None = node
-        while inner is not None:
-            inner.chars += len(text)
-            inner.link_chars += linked
-            inner = inner.parent
-        while up is not None:
-            up.score += points / steps
-            scored[id(up)] = up
-            up, steps = up.parent, steps + 1
+    nodes, blocks = blocks_of(html)
     if not blocks:
         return ""
+    for node, text, linked in blocks:
+        node.chars += len(text)
+        node.link_chars += linked
+        container = node.parent if node.tag in PARAGRAPHS and node.parent is not None else node
+        container.score += (1 + text.count(",") + min(len(text) // 100, 3)) * (1 - linked / len(text))
+    for node in reversed(nodes):  # children before parents
+        if node.parent is not None:
+            node.parent.score += node.score / 2
+            node.parent.chars += node.chars
+            node.parent.link_chars += node.link_chars
 
     def worth(n: Node) -> float:
-        bonus = ARTICLE_BONUS if n.article is n else 0.0
+        bonus = ARTICLE_BONUS if n.tag in ("article", "main") else 0.0
         return (n.score + bonus) * (1 - n.link_chars / n.chars)
 
-    best = max(scored.values(), key=worth)
-    enough = max(10.0, 0.2 * worth(best))
+    def few_links(chars: int, linked: int) -> bool:
+        return linked <= LINK_SHARE * chars
 
-    def kept(node: Node | None, text: str, linked: int) -> bool:
-        inner = node
-        while node is not None:
-            if node is best:
-                return True
-            if best.parent is not None and node.parent is best.parent:
-                if node.tag in PARAGRAPHS:
-                    return node is inner and len(text) > 80 and linked < 0.25 * len(text)
-                return worth(node) >= enough
-            node = node.parent
-        return False
-
-    return "\n".join(text for node, text, linked in blocks if kept(node, text, linked))
+    best = max((n for n in nodes if n.chars and n.tag not in PARAGRAPHS), key=worth)
+    around: set[Node] = set()  # the ancestors whose other parts are siblings
+    up = best
+    while up is not best.article and up.parent is not None:
+        up = up.parent
+        around.add(up)
+    beside = up.parent  # of an article or main element; None without one
+    for node in nodes:
+        parent = node.parent
+        if node is best:
+            node.kept = True
+        elif node in around or parent is None:
+            continue
+        elif parent.kept:
+            node.kept = True
+        elif parent in around:
+            node.kept = few_links(node.chars, node.link_chars) or (
+                node.tag in PARAGRAPHS and node.article is not None
+            )
+        elif parent is beside:
+            node.kept = node.tag in ("article", "main") and few_links(node.chars, node.link_chars)
+    return "\n".join(
+        text for node, text, linked in blocks if node.kept or (node in around and few_links(len(text), linked))
+    )
 
 
 def extract_pages(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html") -> DataFrame:

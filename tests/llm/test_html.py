@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html as library
 import re
+import time
 
 import pytest
 
@@ -86,3 +87,45 @@ def test_edges(spark):
     got = extract_pages(spark.createDataFrame(rows, schema)).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, None, "", 0), (None, "u", "", 0), (2, "u", "é", 1), (2, "u", "é", 1)], key=str)
     assert extract_pages(spark.createDataFrame([], schema)).collect() == []
+
+
+WORDS = "A paragraph of the article, with commas, and with enough words to be taken for one."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p title="the hidden valley">x</p></article>', "x"),
+        ('<article><p class="share-price">x</p><div class="related-work ad-hoc"><p>y</p></div></article>', "x\ny"),
+        ('<article><div class="share-box">s</div><ul class="related-links"><li>r</ul><p class="ad">a</p><p>x</p></article>', "x"),
+        ("<article><header><h1>H</h1><p>by line</p><nav><h2>n</h2></nav></header><p>x</p></article>", "H\nx"),
+        (f"<body><div><h1>H</h1><div>{f'<p>{WORDS}</p>' * 9}</div><section><p>short</p></section></div></body>", "\n".join(["H", *[WORDS] * 9, "short"])),
+        (
+            f'<main><article>{f"<p>{WORDS}</p>" * 3}</article><div class="recommended"><p><a href=x>Other, one</a></p><p><a>Other two</a></p></div></main>',
+            "\n".join([WORDS] * 3),
+        ),
+        ('<body><div class="left-sidebar"><p>s, s, s</p></div><div class="text"><p>x</p></div></body>', "x"),
+        ("<article><p>one</p></article><article><p>two</p></article><article><a>link</a></article>", "one\ntwo"),
+        ("<body><section><p>a</p></section></section></article><p>b</p></body>", "a\nb"),
+    ],
+)
+def test_what_belongs_to_the_article(page, text):
+    assert main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div>some words" * 100_000, "<div>a, b" * 50_000 + "</p></section>" * 50_000, "<div hidden>x" * 100_000 + "</div>" * 100_000],
+    ids=["open", "wrong ends", "hidden"],
+)
+def test_deep_nesting_takes_time_in_proportion(page):
+    start = time.perf_counter()
+    text = main_text(page)
+    assert time.perf_counter() - start < 5
+    assert text == "\n".join(b for b in re.split("<[^>]*>", page) if b and "hidden" not in page)
+
+
+def test_scoring_alone_finds_the_given_articles(spark, small_dir):
+    for r in spark.read.parquet(f"{small_dir}/pages.parquet").select("html").collect():
+        page = r["html"]
+        assert main_text(re.sub(r"(</?)article\b", r"\1div", page)) == main_text(page)
