@@ -279,6 +279,8 @@ points AS (
       SELECT Claim AS x, count(*) AS cnt FROM silver GROUP BY Claim))
 )"""
 
+EVERY_POINT = "\ncells AS (SELECT log_x AS x, log_survival AS y, cnt AS w FROM points)"
+
 LOCAL = [
     "\nends AS (SELECT min(log_x) AS lo, max(log_x) AS hi, sum(cnt) AS n FROM points)",
     """
@@ -859,6 +861,16 @@ def all_oracles() -> dict[str, str]:
             ECDF,
             *LOCAL,
         ),
+        "local_regression_exact": _with(
+            SILVER,
+            "SELECT i, round(x0, 6) AS x, round("
+            "(t0*(s2*s4 - s3*s3) - s1*(t1*s4 - s3*t2) + s2*(t1*s3 - s2*t2)) / "
+            "(s0*(s2*s4 - s3*s3) - s1*(s1*s4 - s2*s3) + s2*(s1*s3 - s2*s2)), 6) AS fit FROM moments",
+            ECDF,
+            LOCAL[0],
+            EVERY_POINT,
+            *LOCAL[2:],
+        ),
         "null_model_losses": _with(FEATURES, _metrics(["null_model"], "scored"), null_scored),
         "square_loss_null": _with(
             FEATURES,

@@ -557,6 +557,14 @@ def local_regression(w: Workspace) -> DataFrame:
     return fit.select("i", r("x", 6).alias("x"), r("fit", 6).alias("fit"))
 
 
+@query
+def local_regression_exact(w: Workspace) -> DataFrame:
+    """The same smooth from every point, without merging points into cells."""
+    points = log_survival(ecdf_by_id(w.silver))
+    fit = local_quadratic(points, "log_x", "log_survival", "cnt", bins=None)
+    return fit.select("i", r("x", 6).alias("x"), r("fit", 6).alias("fit"))
+
+
 # --- models ------------------------------------------------------------------------
 
 

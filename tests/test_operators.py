@@ -22,7 +22,7 @@ from claimlens.operators.scaling import fit_scaling, minmax, standardize
 from claimlens.operators.split import learn_rows, with_split, with_validation
 from claimlens.operators.summary import numeric_summary
 from claimlens.plans.workspace import workspace
-from claimlens.operators.survival import ecdf, ecdf_by_id, local_quadratic, log_survival
+from claimlens.operators.survival import bandwidths, ecdf, ecdf_by_id, local_quadratic, log_survival
 
 
 @pytest.fixture(scope="module")
@@ -395,6 +395,34 @@ def test_local_regression_direct_against_numpy(spark):
         assert r["fit"] == pytest.approx(want, rel=1e-6, abs=1e-9)
 
 
+@pytest.mark.parametrize("cells", [1, 7, 8192])
+def test_bandwidths_are_exact(spark, cells):
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.uniform(0, 10, 400), np.full(200, 3.0), rng.normal(3, 1e-9, 200), [1e6]])
+    w = rng.integers(1, 5, len(x))
+    frame = spark.createDataFrame([(float(a), 0.0, int(b)) for a, b in zip(x, w)], "x double, y double, w bigint")
+    at = [0.0, 2.9, 3.0, 7.5, 12.0, 1e6]
+    for needed in (1, 333, int(w.sum())):
+        got = bandwidths(frame, at, needed, cells)
+        for x0, h in zip(at, got, strict=True):
+            d = np.abs(x - x0)
+            order = np.argsort(d)
+            assert h == d[order][np.searchsorted(np.cumsum(w[order]), needed)]
+    assert bandwidths(frame, at, int(w.sum()) + 1, cells) == [None] * len(at)
+
+
+def test_exact_smoothing_has_no_limit_and_joins_nothing(spark):
+    df = spark.range(300_000).selectExpr("id / 300000 AS x", "id * id / 9e10 AS y", "1L AS n")
+    fit = local_quadratic(df, "x", "y", "n", grid=11, bins=None)
+    plan = fit._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan
+    assert all(r["fit"] == pytest.approx(r["x"] ** 2, abs=1e-9) for r in fit.collect())
+
+
+def test_exact_smoothing_of_one_place_has_no_fit(spark):
+    assert local_quadratic(spark.createDataFrame([(1.0, 2.0, 3)], "x double, y double, n int"), "x", "y", "n", bins=None).collect() == []
+
+
 def test_local_regression_binned_is_close_to_direct(lab):
     points = log_survival(ecdf_by_id(lab.silver))
     args = (points, "log_x", "log_survival", "cnt")
