@@ -1,5 +1,9 @@
 """Nearest neighbours with one vantage-point tree per shard of the vectors.
 
+Shards are ranges of the vectors sorted by nearest pivot and distance to it.  A query is searched
+in the shard it may be nearest to, then, by shuffle, in those shards that its distances to
+the pivots do not rule out.
+
 A node keeps, for both halves of its points, the range of their distances to its vantage
 point.  By the triangle inequality no point of a half is nearer to a query than the gap
 between the query's own distance and that range.  A half is passed over when the gap times
@@ -19,14 +23,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimlens.llm.common import type_of
+from claimlens.llm.topk import centres
 from claimlens.sources.storage import stage
 
-# Vectors per tree, points per leaf, and queries sent to the trees at a time (a block of
-# 20,000 queries of 100 numbers is 16 MB).
+# Vectors per tree (fewer where they are long, more beyond MOST_SHARDS trees), points per leaf,
+# and queries that a task searches a tree for.
 SHARD_ROWS = 16_384
+TREE_NUMBERS = 4_000_000
+MOST_SHARDS = 50_000
 LEAF = 128
 QUERY_BLOCK = 20_000
 
+# Pivots are the centres of a sample of at most so many numbers, 16 vectors a pivot.
+MOST_PIVOTS = 256
+SAMPLE_NUMBERS = 2_000_000
+SAMPLE_A_PIVOT = 16
+
 # At one nothing is lost.  On the test tables larger factors save no time (see README).
 FACTOR = 1.0
 
@@ -116,10 +128,13 @@ def build_tree(ids: np.ndarray, points: np.ndarray, leaf: int = LEAF) -> Tree:
     )
 
 
-def search_tree(tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
+def search_tree(
+    tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float, bound: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids and distances of each query's k nearest, ties to the smaller id.
 
-    Where there are fewer, the id is ``NONE`` and the distance infinite.
+    Where there are fewer, the id is ``NONE`` and the distance infinite.  Points beyond a
+    query's ``bound`` may be missing.
 
     Points with the query's own id are passed over.  All queries walk the tree together,
     each first to its own leaf, for a first bound, then through what cannot be ruled out.
@@ -170,7 +185,8 @@ def search_tree(tree: Tree, query_ids: np.ndarray, queries: np.ndarray, k: int,
             continue
         g = gaps(node, active)
         for half in range(2):
-            into = active[g[half] * factor <= best_d[active, -1]]
+            most = best_d[active, -1] if bound is None else np.minimum(best_d[active, -1], bound[active])
+            into = active[g[half] * factor <= most]
             if len(into):
                 waiting.append((int(tree.halves[node, half]), into))
     return best_i, best_d
@@ -184,6 +200,24 @@ def usable(column: str) -> Column:
     )
 
 
+def shard_gaps(away: np.ndarray, pivot: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """No vector of a piece of a shard is nearer to a query, rounding included.
+
+    ``away`` holds the queries' distances to all pivots; a piece is what a shard holds of one
+    pivot's vectors, which lie ``low`` to ``high`` from it.
+    """
+    most = np.finfo(np.float64).max
+    to = away[:, pivot]
+    known = np.minimum(to, most)
+    below = np.where(np.isinf(to), 0, np.minimum(low, most) - known)
+    gap = np.maximum(np.maximum(below, known - high), 0)
+    return np.maximum(gap - 1e-9 * gap - 1e-9 * (1 + known), 0)
+
+
+def matrix(column: pa.Array, rows: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
+
+
 def nearest(
     vectors: DataFrame,
     is_query: Column,
@@ -196,15 +230,15 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, <id>, score``: the k nearest rows of each query row, nearest first.
 
-    Every usable row is in one shard's tree; each block of queries is searched in all trees, and
-    the shards' best are merged.  Ties go to the smaller id.  Vectors that are null, zero or
+    Every usable row is in one shard's tree.  A query's k-th distance in its first shard decides which
+    others it is sent to; with factor 1 nothing is lost by that.  Ties go to the smaller id.
+    Vectors that are null, zero or
     hold null or non-finite components take no part, nor do rows without an id; a query
     is compared with the vectors of its own dimension.  Rows with the query's id are no
     candidates; other repeated rows each count, and a repeated query is answered as often.
     A query with fewer candidates gets all of them, one without any no row.  An empty table
     gives an empty table.
     """
-    spark = vectors.sparkSession
     rows = stage(
         vectors.filter(usable(vector_column) & F.col(f"`{id_column}`").isNotNull()).select(
             F.col(f"`{id_column}`").cast("bigint").alias("id"),
@@ -217,66 +251,127 @@ def nearest(
     sizes = rows.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).collect()
     found = None
     for dim, n, asking in sizes:  # as many as there are dimensions
-        if not asking:
-            continue
-        of_dim = rows.filter(F.size("v") == dim)
-        shards = -(-n // shard_rows)
-
-        def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, points = [], []
-            for batch in batches:
-                ids.append(batch.column(0).to_numpy(zero_copy_only=False))
-                flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-                points.append(flat.reshape(batch.num_rows, -1))
-            if ids and sum(map(len, ids)):
-                tree = build_tree(np.concatenate(ids), np.concatenate(points))
-                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(vars(tree))], pa.binary())], names=["tree"])
-
-        trees = stage(
-            of_dim.select("id", "v", "row").repartition(shards, "row").select("id", "v").mapInArrow(grow, "tree binary"), "trees"
-        )
-        asks = of_dim.filter("asks").select("id", "v")
-        block: list = []
-
-        def searched(block: list) -> DataFrame:
-            shared = spark.sparkContext.broadcast(
-                (np.array([r["id"] for r in block]), np.array([r["v"] for r in block], dtype=np.float64))
-            )
-
-            def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                ids, queries = shared.value
-                for batch in batches:
-                    for packed in batch.column(0).to_pylist():
-                        near, d = search_tree(Tree(**pickle.loads(packed)), ids, queries, k, factor)
-                        q, place = np.nonzero(np.isfinite(d) | (near != NONE))
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(q), pa.array(ids[q]), pa.array(near[q, place]), pa.array(d[q, place])],
-                            names=["q", "query_id", "id", "score"],
-                        )
-
-            best = trees.mapInArrow(search, "q bigint, query_id bigint, id bigint, score double")
-            by_query = Window.partitionBy("q").orderBy("score", "id")
-            return (
-                best.withColumn("rank", F.row_number().over(by_query))
-                .filter(F.col("rank") <= k)
-                .select("query_id", "rank", "id", "score")
-            )
-
-        answers = []
-        for row in asks.toLocalIterator():
-            block.append(row)
-            if len(block) == query_block:
-                answers.append(stage(searched(block), "answers"))
-                block = []
-        if block:
-            answers.append(searched(block))
-        for answer in answers:
+        if asking:
+            answer = _of_one_dimension(rows.filter(F.size("v") == dim), dim, n, k, factor, shard_rows, query_block)
             found = answer if found is None else found.union(answer)
     if found is None:
-        found = spark.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
-    return found.select(
+        found = vectors.sparkSession.createDataFrame([], "row bigint, query_id bigint, id bigint, score double")
+    best = Window.partitionBy("row").orderBy("score", "id")
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select(
         F.col("query_id").cast(type_of(vectors, id_column)),
         F.col("rank").cast("int"),
         F.col("id").cast(type_of(vectors, id_column)).alias(id_column),
         "score",
     )
+
+
+def _of_one_dimension(rows: DataFrame, dim: int, n: int, k: int, factor: float, shard_rows: int, query_block: int) -> DataFrame:
+    """``row, query_id, id, score`` of what may be among each query's k nearest."""
+    context = rows.sparkSession.sparkContext
+    pivots = int(max(1, min(MOST_PIVOTS, n**0.5 / 4, SAMPLE_NUMBERS // (SAMPLE_A_PIVOT * dim))))
+    sample = rows.orderBy(F.xxhash64("id", "row"), "row").limit(SAMPLE_A_PIVOT * pivots).select("v").toArrow()
+    points = matrix(sample.column("v").combine_chunks(), sample.num_rows)
+    # Squares of very large numbers overflow; any vectors will do as pivots.
+    shared = context.broadcast(centres(points, pivots) if np.abs(points).max() < 1e100 else points[:pivots])
+
+    def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                away = distances(matrix(batch.column(1), batch.num_rows), shared.value)
+                by = away.argmin(axis=1)
+                keys = [pa.array(by, pa.int32()), pa.array(away[np.arange(len(by)), by])]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *keys], names=["id", "v", "row", "pivot", "away"])
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [
+            (*(b.column(c).to_numpy(zero_copy_only=False) for c in (0, 2, 3)), matrix(b.column(1), b.num_rows))
+            for b in batches
+            if b.num_rows
+        ]
+        if not held:
+            return
+        ids, pivot, away, points = (np.concatenate(c) for c in zip(*held, strict=True))
+        held.clear()
+        own = np.unique(pivot)
+        ends = [[f(away[pivot == p]) for p in own] for f in (np.min, np.max)]
+        columns = [pa.array([pickle.dumps(vars(build_tree(ids, points)))], pa.binary()), pa.array([own.tolist()], pa.list_(pa.int32()))]
+        columns += [pa.array([e], pa.list_(pa.float64())) for e in ends]
+        yield pa.RecordBatch.from_arrays(columns, names=["tree", "pivot", "low", "high"])
+
+    size = max(1, min(shard_rows, TREE_NUMBERS // dim), n // MOST_SHARDS)
+    keyed = stage(
+        rows.select("id", "v", "row").mapInArrow(key, "id bigint, v array<double>, row bigint, pivot int, away double"), "keyed-vectors"
+    )
+    trees = stage(
+        keyed.repartitionByRange(-(-n // size), "pivot", "away", "id", "row")
+        .select("id", "v", "pivot", "away")
+        .mapInArrow(grow, "tree binary, pivot array<int>, low array<double>, high array<double>")
+        .withColumn("shard", F.spark_partition_id()),
+        "trees",
+    )
+    # A row a shard and pivot of it: at most as many as shards and pivots together.
+    pieces = trees.select("shard", F.explode(F.arrays_zip("pivot", "low", "high")).alias("p")).select("shard", "p.*")
+    directory = context.broadcast(tuple(c.to_numpy() for c in pieces.orderBy("shard", "pivot").toArrow().columns))
+    slice_rows = max(1, 4_000_000 // (-(-n // size) + pivots))
+
+    def gaps_of(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """All shards, and the least distance each query can have to a vector in them."""
+        shard, *piece = directory.value
+        starts = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1])))
+        away = distances(matrix(part.column(1), part.num_rows), shared.value)
+        return shard[starts], np.minimum.reduceat(shard_gaps(away, *piece), starts, axis=1)
+
+    pair_type = "shard int, id bigint, v array<double>, row bigint, bound double"
+    names = ["shard", "id", "v", "row", "bound"]
+
+    def to_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, slice_rows):
+                part = batch.slice(at, slice_rows)
+                shards, gaps = gaps_of(part)
+                none = pa.array(np.full(part.num_rows, np.inf))
+                yield pa.RecordBatch.from_arrays([pa.array(shards[gaps.argmin(axis=1)], pa.int32()), *part.columns, none], names=names)
+
+    def to_others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, slice_rows):
+                part = batch.slice(at, slice_rows)
+                shards, gaps = gaps_of(part)
+                home, bound = (part.column(c).to_numpy(zero_copy_only=False) for c in (3, 4))
+                q, s = np.nonzero((gaps * factor <= bound[:, None]) & (shards[None] != home[:, None]))
+                for a in range(0, len(q), 10_000):
+                    some = pa.array(q[a : a + 10_000])
+                    columns = (part.column(c).take(some) for c in (0, 1, 2, 4))
+                    yield pa.RecordBatch.from_arrays([pa.array(shards[s[a : a + 10_000]], pa.int32()), *columns], names=names)
+
+    def search(asks: pa.Table, grown: pa.Table) -> pa.Table:
+        tree = Tree(**pickle.loads(grown.column("tree")[0].as_py()))
+        ids, bound = (asks.column(c).to_numpy() for c in ("id", "bound"))
+        near, d = search_tree(tree, ids, matrix(asks.column("v").combine_chunks(), len(ids)), k, factor, bound)
+        good = (near != NONE) & (d <= bound[:, None])
+        offsets = pa.array(np.concatenate(([0], np.cumsum(good.sum(axis=1)))), pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c[good])) for c in (near, d)]
+        kept = [asks.column(c) for c in ("row", "id", "v", "shard")]
+        return pa.table([*kept, *lists], names=["row", "query_id", "v", "home", "ids", "scores"])
+
+    def searched(pairs: DataFrame) -> DataFrame:
+        """A shard's queries meet its tree; the tree goes to several tasks if many queries want it."""
+        wanted = pairs.groupBy("shard").agg(F.ceil(F.count("*") / query_block).cast("int").alias("tasks"))
+        asks = pairs.join(F.broadcast(wanted), "shard").withColumn("task", F.expr("CAST(pmod(xxhash64(row), tasks) AS int)"))
+        grown = trees.join(F.broadcast(wanted), "shard").select("shard", F.expr("explode(sequence(0, tasks - 1))").alias("task"), "tree")
+        both = asks.groupBy("shard", "task").cogroup(grown.groupBy("shard", "task"))
+        return both.applyInArrow(search, "row bigint, query_id bigint, v array<double>, home int, ids array<bigint>, scores array<double>")
+
+    at_home = stage(rows.filter("asks").select("id", "v", "row").mapInArrow(to_home, pair_type), "home-pairs")
+    first = stage(searched(at_home), "home-found")
+    kth = F.when(F.size("scores") == k, F.element_at("scores", -1)).otherwise(F.lit(float("inf")))
+    away = first.select(F.col("query_id").alias("id"), "v", "row", "home", kth.alias("bound")).mapInArrow(to_others, pair_type)
+    second = searched(stage(away, "away-pairs"))
+    columns = "row", "query_id", "ids", "scores"
+    return (
+        first.select(*columns)
+        .union(second.select(*columns))
+        .select("row", "query_id", F.explode(F.arrays_zip("ids", "scores")).alias("f"))
+        .select("row", "query_id", F.col("f.ids").alias("id"), F.col("f.scores").alias("score"))
+    )

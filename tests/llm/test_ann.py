@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from claimlens.llm.ann import build_tree, nearest, search_tree
+from claimlens.llm.ann import build_tree, nearest, search_tree, shard_gaps
 from claimlens.llm.queries import op7_vp_trees
 
 SCHEMA = "vec_id bigint, embedding array<float>"
@@ -52,6 +52,29 @@ def test_equal_vectors_tie_to_the_smaller_id(spark):
     same(got, brute(rows, lambda i: i % 100 == 0))
 
 
+def test_few_shards_are_searched_where_pivots_part_the_vectors(spark):
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(40, 3))[rng.integers(40, size=3000)] * 100 + rng.normal(size=(3000, 3))
+    rows = [(i, [float(x) for x in p.astype(np.float32)]) for i, p in enumerate(points)]
+    got = nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, shard_rows=100)
+    same(got.collect(), brute(rows, lambda i: i % 100 == 0))
+
+
+def test_long_vectors(spark):
+    rows = [(i, [float(x) for x in np.random.default_rng(i).normal(size=2000).astype(np.float32)]) for i in range(60)]
+    same(nearest(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 20 == 0, shard_rows=25).collect(), brute(rows, lambda i: i % 20 == 0))
+
+
+def test_shard_gaps_are_never_too_large():
+    rng = np.random.default_rng(6)
+    points, pivots = rng.normal(size=(500, 3)), rng.normal(size=(4, 3))
+    away = np.sqrt(((points[:, None] - pivots[None]) ** 2).sum(axis=2))
+    for p in range(4):
+        for part in np.array_split(np.argsort(away[:, p]), 5):
+            gap = shard_gaps(away, np.array([p]), away[part, p].min(keepdims=True), away[part, p].max(keepdims=True))[:, 0]
+            assert (gap <= np.sqrt(((points[:, None] - points[None, part]) ** 2).sum(axis=2)).min(axis=1)).all()
+
+
 def test_a_larger_factor_searches_less_and_finds_most():
     rng = np.random.default_rng(1)
     points = rng.normal(size=(4000, 4))
