@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from claimlens.llm.queries import URL_RULES
-from claimlens.llm.url_filter import build_trie, judge_urls, match, split_url
+from claimlens.llm.url_filter import blocks_of, build_trie, judge_urls, match, split_url
 
 
 @pytest.mark.parametrize(
@@ -70,9 +70,29 @@ def test_edges(spark):
     assert judge_urls(spark.createDataFrame([], schema), URL_RULES).collect() == []
 
 
-def test_too_many_rules(spark, monkeypatch):
-    import claimlens.llm.url_filter as module
+RULES = [
+    ("allow", "net", "/e"),
+    ("block", "net", ""),
+    ("block", "a.net", ""),
+    ("allow", "example.net", "/en/"),
+    ("block", "", "/en/x/y"),
+    ("allow", "net", ""),
+]
 
-    monkeypatch.setattr(module, "MAX_RULE_CHARS", 3)
-    with pytest.raises(ValueError, match="too many"):
-        judge_urls(spark.range(1).selectExpr("id AS page_id", "'' AS url"), URL_RULES)
+
+@pytest.mark.parametrize("chars", [1, 8, 10**6])
+@pytest.mark.parametrize("rules", [RULES, RULES[::-1], []])
+def test_rules_in_several_passes(spark, chars, rules):
+    urls = ["http://a.net/e", "http://b.net/", "http://example.net/en/x/y", "http://x.org/en/x/y", "http://a.net/en/x/y", "none", None]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = judge_urls(frame, rules, block_chars=chars).collect()
+    whole = build_trie(rules)
+    assert [(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got] == [
+        (i, *split_url(u), *(match(whole, *split_url(u)) or (None, "allow"))) for i, u in enumerate(urls)
+    ]
+
+
+def test_blocks_hold_all_rules_in_order():
+    blocks = blocks_of(RULES, 8)
+    assert [r for b in blocks for r in b] == RULES
+    assert all(len(b) == 1 or sum(len(h + p) for _, h, p in b) <= 8 for b in blocks) and len(blocks) > 2
