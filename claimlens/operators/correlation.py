@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from claimlens.functions.numeric import hash32
 from claimlens.functions.text import literal, number, quoted, rows
 from claimlens.operators.ordering import value_ladder
+from claimlens.operators.ranking import sorted_ranks, wide_ranks
 from claimlens.sources.storage import stage
 
 # distinct values up to which a rank table may be broadcast (16 bytes each)
@@ -99,23 +100,6 @@ def mid_ranks(df: DataFrame, cols: Sequence[str], name: str = "ranks") -> DataFr
     )
 
 
-def _rank_stats(ranks: DataFrame) -> dict[str, tuple[int, int, float, float]]:
-    """Per column: distinct values, rows, mean and population deviation of the ranks."""
-    mean = F.sum(F.col("cnt") * F.col("mid_rank")) / F.sum("cnt")
-    # ranks of n rows have mean (n + 1) / 2; squares are taken around it
-    away = F.col("mid_rank") - (F.col("total") + 1) / 2
-    return {
-        r["feature"]: (r["values"], r["total"], r["mean"], math.sqrt(r["variance"]))
-        for r in ranks.groupBy("feature", "total")
-        .agg(
-            F.count(F.lit(1)).alias("values"),
-            mean.alias("mean"),
-            (F.sum(F.col("cnt") * away * away) / F.sum("cnt")).alias("variance"),
-        )
-        .collect()
-    }
-
-
 def with_ranks(
     df: DataFrame,
     cols: Sequence[str],
@@ -159,22 +143,19 @@ def with_ranks(
     return out
 
 
-def spearman(
-    df: DataFrame,
-    cols: Sequence[str],
-    row_key: str = "Id",
-    digits: int | None = 2,
-    broadcast_values: int = BROADCAST_VALUES,
-) -> DataFrame:
-    """Pearson correlation of average ranks."""
-    numeric = df.select(row_key, *[F.col(c).cast("double").alias(c) for c in cols])
-    ranks = mid_ranks(numeric, cols)
-    known = _rank_stats(ranks)
-    none = (0, 0, 0.0, 0.0)
-    per_column = [known.get(c, none) for c in cols]
-    sizes = {c: k[:2] for c, k in zip(cols, per_column)}
-    ranked = with_ranks(numeric, cols, ranks, row_key, sizes, broadcast_values)
-    stats = ColumnStats(
-        df.count(), *[[k[i] for k in per_column] for i in (1, 2, 3)]
-    )
-    return pearson(ranked, cols, digits, stats)
+def spearman(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> DataFrame:
+    """Pearson correlation of average ranks.
+
+    The ranks of all columns come from one range sort (``sorted_ranks``) and go back to their rows in one
+    shuffle, whatever the columns' number, distinct values or hot values.
+    """
+    ranks = sorted_ranks(df, cols)
+    # ranks of n rows have mean (n + 1) / 2; squares are taken around it
+    away = F.col("mid_rank") - (F.col("total") + 1) / 2
+    known = {
+        r["_c"]: (r["total"], (r["total"] + 1) / 2, math.sqrt(r["variance"]))
+        for r in ranks.groupBy("_c", "total").agg(F.avg(away * away).alias("variance")).collect()
+    }
+    per_column = [known.get(i, (0, 0.0, 0.0)) for i in range(len(cols))]
+    stats = ColumnStats(df.count(), *[[k[i] for k in per_column] for i in range(3)])
+    return pearson(wide_ranks(ranks, cols), cols, digits, stats)

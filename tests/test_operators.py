@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from claimlens.operators.density import kernel_density, reference_bandwidth
 from claimlens.operators.encoding import category_levels, level_code, one_hot
 from claimlens.operators.features import FeatureSpec, apply_features, fit_features
 from claimlens.operators.ordering import _sorted_stage, dense_ids, value_ladder
+from claimlens.operators.ranking import sorted_ranks, wide_ranks
 from claimlens.operators.profile import distinct_counts, marginal_profile, uniform_reference
 from claimlens.operators.quantiles import (
     approximate_quantiles,
@@ -310,7 +313,7 @@ def test_ranks_by_broadcast_and_by_shuffle(hot):
 
 def test_spearman_ignores_monotone_transforms(hot):
     changed = hot.withColumn("w", F.log("z"))
-    got = {(r["a"], r["b"]): r["r"] for r in spearman(changed, ["x", "z", "w"], "k", None).collect()}
+    got = {(r["a"], r["b"]): r["r"] for r in spearman(changed, ["x", "z", "w"], digits=None).collect()}
     data = [(r["x"], r["z"]) for r in hot.collect()]
     ranks = np.array([[(np.searchsorted(s, v) + np.searchsorted(s, v, "right") + 1) / 2 for v in column]
                       for column in zip(*data) for s in [np.sort(column)]])
@@ -318,6 +321,42 @@ def test_spearman_ignores_monotone_transforms(hot):
     assert got["x", "z"] == pytest.approx(got["x", "w"]) and got["z", "w"] == pytest.approx(1)
 
 
+@pytest.mark.parametrize("rows_per_range", [40, 10**6])
+def test_ranks_by_one_sort(spark, rows_per_range):
+    """Nulls, NaN, infinities, both zeros, repeated rows, and a value over most of the ranges."""
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(1500) < 1 / 3, 7.0, np.round(rng.normal(0, 20, 1500)))
+    x[:40], x[40:60], x[60:70], x[70:80] = np.nan, np.inf, -np.inf, -0.0
+    y = rng.normal(size=1500)
+    data = [(float(a), None if i % 4 == 0 else float(b), None, 3) for i, (a, b) in enumerate(zip(x, y))] * 2
+    df = spark.createDataFrame(data, "`a b` double, y double, empty double, same int").repartition(5)
+    cols = df.columns
+    ranks = sorted_ranks(df, cols, rows_per_range=rows_per_range)
+    got = Counter((r["_c"], r["mid_rank"], r["total"]) for r in ranks.collect())
+    want = Counter()
+    for i, column in enumerate(zip(*data)):
+        values = np.sort(np.array([v for v in column if v is not None], dtype=float))
+        low = np.searchsorted(values, values)
+        high = np.searchsorted(values, values, side="right")
+        want.update((i, (a + 1 + b) / 2, len(values)) for a, b in zip(low, high))
+    assert got == want
+    wide = wide_ranks(ranks, cols)
+    assert wide.columns == cols and wide.count() == len(data)
+    by_value = {i: {} for i in (0, 1)}
+    for i, column in ((0, [r[0] for r in data]), (1, [r[1] for r in data])):
+        values = np.sort(np.array([v for v in column if v is not None], dtype=float))
+        for v in values:
+            by_value[i][str(v + 0.0)] = (np.searchsorted(values, v) + 1 + np.searchsorted(values, v, "right")) / 2
+    pairs = Counter(
+        (by_value[0][str(a + 0.0)], None if b is None else by_value[1][str(b)], None, (len(data) + 1) / 2)
+        for a, b, _, _ in data
+    )
+    assert Counter(map(tuple, wide.collect())) == pairs
+    assert sorted_ranks(df.filter("same = 4"), cols).count() == 0
+    nothing = {tuple(r) for r in spearman(df.filter("same = 4"), ["y", "same"]).collect()}
+    assert len(nothing) == 4 and all(r[2] is None for r in nothing)
+
+
 def test_pearson_with_nulls_and_constants(spark, hot):
     holes = hot.withColumn("z", F.when(F.col("k") % 7 > 0, F.col("z"))).withColumn("c", F.lit(3.0))
     got = {(r["a"], r["b"]): r["r"] for r in pearson(holes, ["x", "z", "c"], None).collect()}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from claimlens.operators.cleaning import small_claims
 from claimlens.operators.correlation import mid_ranks, with_ranks
+from claimlens.operators.ranking import sorted_ranks, wide_ranks
 from claimlens.plans.flagship import severity_by_year
 
 QUERIES = entry.queries()
@@ -110,3 +111,11 @@ def test_queries_read_whole_tables(spark, small_dir, lab):
     for name in ("silver_claims", "standardized", "ffn_forward_fixed", "delay_weeks"):
         assert QUERIES[name](spark, small_dir).count() == n
     assert lab.features.filter(F.col("split").isNull()).count() == 0
+
+
+def test_ranks_of_any_number_of_columns_take_one_shuffle_back(lab):
+    """Above the sorted table there is one exchange, on the row, and one join with a small table."""
+    cols = ["Claim", "Age", "WeeklyPay", "RepDelay"]
+    text = plan(wide_ranks(sorted_ranks(lab.features, cols), cols), "simple")
+    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text and "Window" not in text
