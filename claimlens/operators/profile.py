@@ -89,3 +89,16 @@ def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .groupBy("feature")
         .agg(F.count("level").alias("n_distinct"))
     )
+
+
+def distinct_counts_by(df: DataFrame, cols: Sequence[str], by: str) -> DataFrame:
+    """The same within each value of ``by``."""
+    pairs = F.array(
+        *[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("level")) for c in cols]
+    )
+    return (
+        df.select(by, F.inline(pairs))
+        .distinct()
+        .groupBy(by, "feature")
+        .agg(F.count("level").alias("n_distinct"))
+    )

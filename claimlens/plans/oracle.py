@@ -13,6 +13,7 @@ from claimlens.plans.registry import (
     GLM_POWERS,
     SMALL_INPUTS,
     SMALL_POWERS,
+    SKETCHED,
     SUMMARY_COLUMNS,
 )
 
@@ -778,6 +779,26 @@ def all_oracles() -> dict[str, str]:
         "repeated_runs": _repeated(),
         "claim_summary": _with(SILVER, _summary("silver", ["Claim"])),
         "level_counts": _with(BASE, _levels(schema.CATEGORICAL, "base", "count(*) AS n")),
+        "sketch_quantiles": _with(
+            SILVER,
+            _union(
+                [
+                    f"SELECT '{c}' AS feature, {p}::DOUBLE AS prob, count({c}) AS n, TRUE AS \"within\" FROM silver"
+                    for c in SKETCHED
+                    for p in schema.SPLIT_PROBS
+                ]
+            ),
+        ),
+        "sketch_distinct": _with(
+            SILVER,
+            _union(
+                [
+                    f"SELECT AccYear, '{c}' AS feature, count({c}) AS n, count(DISTINCT {c}) AS exact, "
+                    'TRUE AS "within" FROM silver GROUP BY AccYear'
+                    for c in SKETCHED
+                ]
+            ),
+        ),
         "distinct_counts": _with(
             BASE,
             _union(

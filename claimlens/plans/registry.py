@@ -52,6 +52,17 @@ from claimlens.operators.encoding import (
 from claimlens.operators.features import SCALED, clamp_claims, design_array
 from claimlens.operators.quantiles import exact_quantiles
 from claimlens.operators.scaling import minmax, standardize
+from claimlens.operators.sketches import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    merge_sketches,
+    rank_errors,
+    read_sketches,
+    sketch_columns,
+    sketched_distinct,
+    sketched_quantiles,
+    write_sketches,
+)
 from claimlens.operators.split import (
     learn_rows,
     picked_ids,
@@ -427,6 +438,42 @@ def distinct_counts(w: Workspace) -> DataFrame:
     return prof.distinct_counts(w.features, schema.PROFILE_FEATURES)
 
 
+SKETCHED = ["Claim", "Age", "WeeklyPay", "HoursWorkedPerWeek"]
+
+
+def _yearly_sketches(w: Workspace) -> DataFrame:
+    """Sketches per accident year, two years at a time; the last years are loaded twice."""
+    path = stage_path(w.spark, "sketches")
+    for years in ("AccYear <= 1996", "AccYear > 1996", "AccYear > 1996"):
+        write_sketches(sketch_columns(w.silver.filter(years), SKETCHED, "AccYear"), path)
+    return read_sketches(w.spark, path)
+
+
+@query
+def sketch_quantiles(w: Workspace) -> DataFrame:
+    """Quantiles merged from yearly sketches, held against their exact ranks."""
+    asked = sketched_quantiles(merge_sketches(_yearly_sketches(w)), schema.SPLIT_PROBS)
+    errors = rank_errors(w.silver, asked, SKETCHED)
+    return errors.select("feature", "prob", "n", (F.col("rank_error") <= RANK_ERROR).alias("within"))
+
+
+@query
+def sketch_distinct(w: Workspace) -> DataFrame:
+    """Distinct values per year from sketches, held against exact counts (within four standard errors)."""
+    kept = sketched_distinct(merge_sketches(_yearly_sketches(w), ["part"]), ["part"])
+    exact = prof.distinct_counts_by(w.silver, SKETCHED, "AccYear").select(
+        F.col("AccYear").cast("string").alias("part"), "feature", F.col("n_distinct").alias("exact")
+    )
+    off = F.abs(F.col("n_distinct") / F.col("exact") - 1)
+    return kept.join(exact, ["part", "feature"]).select(
+        F.col("part").cast("int").alias("AccYear"),
+        "feature",
+        "n",
+        "exact",
+        (off <= 4 * DISTINCT_ERROR).alias("within"),
+    )
+
+
 @query
 def claim_grid(w: Workspace) -> DataFrame:
     """101 equally spaced log claims."""

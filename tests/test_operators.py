@@ -22,6 +22,17 @@ from claimlens.operators.quantiles import (
     order_statistic,
 )
 from claimlens.operators.scaling import fit_scaling, minmax, standardize
+from claimlens.operators.sketches import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    merge_sketches,
+    rank_errors,
+    read_sketches,
+    sketch_columns,
+    sketched_distinct,
+    sketched_quantiles,
+    write_sketches,
+)
 from claimlens.operators.split import learn_rows, with_split, with_validation
 from claimlens.operators.summary import numeric_summary
 from claimlens.plans.workspace import workspace
@@ -250,6 +261,35 @@ def test_numeric_summary_both_ways(hot):
     assert near[0][4] == pytest.approx(np.quantile(x, 0.25))
 
 
+def test_sketches_merge_and_replace(spark, tmp_path):
+    """Hot, missing and special values; a part loaded twice counts once; an empty load changes nothing."""
+    path = str(tmp_path / "sketches")
+    value = "CASE WHEN id % 3 = 0 THEN 7D WHEN id % 50 = 1 THEN double('NaN') WHEN id % 50 = 2 THEN NULL ELSE rand(5) * 1000 END"
+    made = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 11 = 0 THEN NULL WHEN id % 11 = 1 THEN '' ELSE concat('p/', id % 4) END AS part",
+        f"{value} AS `a b`", "CAST(NULL AS DOUBLE) AS none", "if(id % 2 = 0, 0D, -0D) AS zero",
+    )
+    made.write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    cols = ["a b", "none", "zero"]
+    for rows in (df, df.filter("part = 'p/1'"), df.filter("part = 'no'")):
+        write_sketches(sketch_columns(rows, cols, "part"), path)
+    kept = read_sketches(spark, path)
+    assert {r["part"] for r in kept.collect()} == {"p/0", "p/1", "p/2", "p/3", "null"}
+    merged = merge_sketches(kept)
+    asked = sketched_quantiles(merged, [0.0, 0.01, 0.5, 0.9, 1.0])
+    errors = rank_errors(df, asked, cols).collect()
+    assert len(errors) == 10 and all(r["rank_error"] <= RANK_ERROR for r in errors)
+    assert {r["n"] for r in errors} == {df.filter("`a b` IS NOT NULL AND NOT isnan(`a b`)").count(), 60_000}
+    distinct = {r["feature"]: r["n_distinct"] for r in sketched_distinct(merged).collect()}
+    exact = df.select("a b").filter("`a b` IS NOT NULL").distinct().count()
+    assert abs(distinct["a b"] / exact - 1) <= 4 * DISTINCT_ERROR and distinct["zero"] == 1
+    one = merge_sketches(kept.filter("part = 'p/1'"), ["part"])
+    assert {r["n"] for r in sketched_distinct(one, ["part"]).filter("feature = 'zero'").collect()} == {
+        df.filter("part = 'p/1'").count()
+    }
+
+
 # --- profiles ----------------------------------------------------------------------
 
 
