@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +20,10 @@ from claimlens.llm.common import few_rows, kept_and, texts_in, type_of, utf8
 
 PASSAGE_WORDS = 100
 
-# Fitting reads at most so many labelled documents, of at most so many bytes each; scoring
-# reads all documents whole.
+# Fitting takes at most so many labelled documents, of any length, and at most so many passages of
+# each; scoring reads all passages of all documents.
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 40_000
+SAMPLE_PASSAGES = 100
 
 # Bytes to classes; each place in the list is a class, what is left out shares the last two.
 _GROUPS = [b" ", b"\t\n\v\f\r", b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".", b",", b"!", b"?", b"|", b"#", b"*", b"%$&@", b"-_/+:;"]
@@ -41,6 +42,14 @@ def passages(text: bytes | None, words_each: int = PASSAGE_WORDS) -> list[list[b
     return [words[i : i + words_each] for i in range(0, len(words), words_each)] or [[]]
 
 
+def sample(groups: list[list[bytes]], most: int) -> list[list[bytes]]:
+    """At most so many passages from all over the text, in order: those whose words have the smallest checksums."""
+    if len(groups) <= most:
+        return groups
+    least = sorted(range(len(groups)), key=lambda i: (crc32(b" ".join(groups[i])), i))[:most]
+    return [groups[i] for i in sorted(least)]
+
+
 def describe(groups: list[list[bytes]]) -> np.ndarray:
     """One row per passage: shares of neighbouring byte classes, and word repetition."""
     joined = [b" ".join(g) for g in groups]
@@ -130,7 +139,9 @@ class AttentionModel:
 
 def train(x: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int = 40, batch: int = 128, seed: int = 7) -> AttentionModel:
     """Adam on mini-batches of documents, with a small weight decay."""
-    model = AttentionModel.fresh(x.mean(axis=0), np.maximum(x.std(axis=0), 1e-3))
+    model = AttentionModel.fresh(
+        x.mean(axis=0, dtype=np.float64), np.maximum(x.std(axis=0, dtype=np.float64), 1e-3)
+    )
     ends = np.append(starts[1:], len(x))
     rng = np.random.default_rng(seed)
     first = {k: 0.0 for k in ("W", "b", "V", "U", "a", "c", "c0")}
@@ -144,7 +155,7 @@ def train(x: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int = 40, ba
             begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             rows = np.arange(sizes.sum()) + np.repeat(starts[docs] - begins, sizes)
             step += 1
-            for k, g in model.gradient(x[rows], begins, y[docs]).items():
+            for k, g in model.gradient(x[rows].astype(np.float64), begins, y[docs]).items():
                 g = g + (1e-4 * model.w[k] if k in "WVU" else 0)
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
@@ -166,15 +177,17 @@ def fit_quality(
     text_column: str = "text",
     label_column: str = "quality",
     sample_docs: int = SAMPLE_DOCS,
-    sample_bytes: int = SAMPLE_BYTES,
+    sample_passages: int = SAMPLE_PASSAGES,
 ) -> dict[str, np.ndarray] | float:
-    """Weights fitted to at most ``sample_docs`` labelled documents of up to ``sample_bytes``.
+    """Weights fitted to at most ``sample_docs`` labelled documents, whatever their length.
 
     The documents with the smallest hashes of their ids are taken, of those not held out; of rows
-    that share an id, the one whose text has the smallest hash.
-    Tasks turn their texts into passage features, which then come to the driver: a kilobyte
-    per hundred words, so at worst about five times ``sample_docs * sample_bytes`` bytes.  Null labels and ids are passed over; an id with
-    several labels counts with their mean.  Without both labels in the sample the
+    that share an id, the one whose text has the smallest hash.  Of a text with more than ``sample_passages``
+    passages, those count whose words have the smallest checksums, wherever they stand.
+    Tasks turn their texts into passage features, which then come to the driver: about a kilobyte
+    a passage, so at most ``sample_docs * sample_passages`` kilobytes (300 MB).  Null labels and ids are passed
+    over; an id with several labels counts with their mean.  A null or empty text is one passage without words;
+    other columns are not read.  Without both labels in the sample (also if a table is empty) the
     result is one score for all, (ones + 1) / (labels + 2).
     """
     spark = docs.sparkSession
@@ -194,7 +207,6 @@ def fit_quality(
     ids = spark.createDataFrame([(k,) for k in known], f"id {type_of(docs, id_column)}")
     texts = (
         docs.select(F.col(f"`{id_column}`").alias("id"), utf8(text_column).alias("text"))
-        .filter(F.coalesce(F.length("text"), F.lit(0)) <= sample_bytes)
         .join(F.broadcast(ids), "id", "left_semi")
         .groupBy("id")
         .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
@@ -203,7 +215,7 @@ def fit_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):
-            rows = [describe(passages(t)).astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
+            rows = [describe(sample(passages(t), sample_passages)).astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["id", "x"])
 
     rows = texts.mapInArrow(run, f"id {type_of(docs, id_column)}, x binary").collect()
@@ -213,7 +225,7 @@ def fit_quality(
         return float(((y > 0.5).sum() + 1) / (len(y) + 2))
     x = [np.frombuffer(b, dtype="<f4").reshape(-1, N_FEATURES) for _, b in bags]
     starts = np.concatenate(([0], np.cumsum([len(b) for b in x])[:-1]))
-    return train(np.concatenate(x).astype(np.float64), starts, y).w
+    return train(np.concatenate(x), starts, y).w
 
 
 def scores_of(texts: list[bytes | None], model: dict[str, np.ndarray] | float) -> np.ndarray:
@@ -262,7 +274,11 @@ def score_quality(
 
 
 def keep_good(docs: DataFrame, model: dict[str, np.ndarray] | float, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text scores at least 0.5, all columns as they are."""
+    """The rows of ``docs`` whose text scores at least 0.5, all columns as they are.
+
+    Null and empty texts are judged as one passage without words, texts of any length whole; repeated rows
+    alike, each by itself.  An empty table stays empty; other columns are not looked at, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in few_rows(batches):

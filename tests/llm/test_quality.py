@@ -89,3 +89,26 @@ def test_a_repeated_id_is_fitted_once(spark, monkeypatch):
     quality.fit_quality(docs, labels)
     ids = labels.filter(~quality.held_out("doc_id")).count()
     assert seen == [ids]
+
+
+def test_long_texts_are_fitted_too(spark, monkeypatch):
+    """Passages from all over a long text, the same ones whichever way it is read."""
+    from claimlens.llm import quality
+
+    groups = quality.passages(b" ".join(b"w%d" % (i * i) for i in range(90_000)))
+    chosen = quality.sample(groups, 100)
+    at = [groups.index(g) for g in chosen]
+    assert len(at) == 100 and at == sorted(at) and at[0] < 100 and at[-1] > 800
+    assert quality.sample(groups[:100], 100) == groups[:100]
+    # repeated passages tie; the earlier ones are taken
+    assert quality.sample([[b"a"]] * 5, 3) == [[b"a"]] * 3
+
+    seen = []
+    whole = quality.train
+    monkeypatch.setattr(quality, "train", lambda x, starts, y: seen.append((len(x), len(y))) or whole(x, starts, y, epochs=1))
+    texts = {1: "word " * 60_000, 2: "other " * 250, 3: "", 4: None}
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % 3 != 1][:4]
+    docs = spark.createDataFrame([(i, texts[k]) for k, i in enumerate(ids, 1)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id bigint, quality int")
+    quality.fit_quality(docs, labels)
+    assert seen == [(100 + 3 + 1 + 1, 4)]
