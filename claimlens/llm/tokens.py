@@ -22,8 +22,12 @@ _LETTERS, _DIGITS, _SPACES = "a-zA-ZªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾", "
 _SPLIT = f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_LETTERS}{_DIGITS}{_SPACES}]+"
 _LIBRARY_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-# Entries kept per cache before it is emptied: some 50 MB in a Python worker.
+# A cache is emptied at so many entries (some 200 bytes each beside their letters) or letters (at most
+# some 40 bytes each, an identifier a letter): 150 MB in a Python worker at worst, 50 MB as a rule.
 CACHE_ENTRIES = 250_000
+CACHE_LETTERS = 2_500_000
+# Longer pre-tokens hardly repeat and are made anew.
+LONGEST_KEPT = 64
 
 
 class _Cache(dict):
@@ -32,12 +36,17 @@ class _Cache(dict):
     def __init__(self, make: Callable[[str], object]):
         super().__init__()
         self.make = make
+        self.letters = 0
 
     def __missing__(self, key: str):
         value = self.make(key)
-        if len(self) >= CACHE_ENTRIES:
+        if len(key) > LONGEST_KEPT:
+            return value
+        if len(self) >= CACHE_ENTRIES or self.letters >= CACHE_LETTERS:
             self.clear()
+            self.letters = 0
         self[key] = value
+        self.letters += len(key)
         return value
 
 

@@ -62,6 +62,19 @@ def test_a_full_cache_is_emptied(monkeypatch):
     same("one two three four five one two six seven one")
 
 
+def test_caches_keep_a_bounded_number_of_letters(monkeypatch):
+    from claimlens.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_LETTERS", 600)
+    counts = PretokenResults(tokenizer_file(), lambda w: count_merged(w, RANKS, END), lambda _: 1, sum)
+    for k in range(300):
+        text = f"{'abcdefghij'[k % 10] * (k % 90 + 1)} é{'語' * (k % 40)}"
+        assert counts.of_text(text) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+        for cache in (counts.plain, counts.lettered):
+            assert all(len(key) <= tokens.LONGEST_KEPT for key in cache)
+            assert sum(map(len, cache)) == cache.letters < 600 + tokens.LONGEST_KEPT
+
+
 def test_documents(spark, small_dir, small_docs):
     texts = {r["doc_id"]: r["text"] or "" for r in small_docs.collect()}
     for r in op6_token_count(spark, small_dir).collect():
