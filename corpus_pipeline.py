@@ -20,7 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts (score of at least 0.5).
 
     The classifier is fitted to the labels of these documents that are not held out.  Rows
-    are judged by their text alone: null and empty texts like any other, repeated rows alike.
+    are judged by their text alone: null and empty texts like any other, long ones whole, repeated rows
+    alike.  Extra columns go along untouched; an empty table stays empty.
     """
     return keep_good(docs, fit_quality(docs, table(spark, sf_dir, "labels")))
 
@@ -29,7 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of linked SimHash fingerprints: the one with the smallest id.
 
     Rows that repeat a doc_id are one document and stay or go together.  Rows without a
-    doc_id stay only in groups where no document has one, and one of them a group.
+    doc_id stay only in groups where no document has one, and one of them a group.  Texts without words
+    (null, empty) are one group.  Extra columns, of any name, go along; an empty table stays empty.
     """
     nameless = docs.filter("doc_id IS NULL")
     if nameless.isEmpty():
@@ -38,6 +40,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         return docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi")
     # Rows without an id are told apart by written numbers, and sort after all others.
     key = "document key"
+    while key in map(str.lower, docs.columns):
+        key += "+"
     named = docs.filter("doc_id IS NOT NULL").withColumn(key, F.expr("struct(false AS none, doc_id AS id, 0L AS row)"))
     nameless = nameless.withColumn(key, F.expr("struct(true AS none, doc_id AS id, monotonically_increasing_id() AS row)"))
     keyed = named.union(stage(nameless, "nameless"))
@@ -49,7 +53,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents without passages that stand earlier in the corpus; ``n_chars`` follows the text.
 
     A document that consisted of such passages alone keeps its row with an empty text, and
-    ``n_chars`` stays as it was where nothing was removed.
+    ``n_chars`` stays as it was where nothing was removed.  Null texts stay null; rows that repeat
+    a document are that document.  Extra columns go along; an empty table stays empty.
     """
     names = docs.columns
     apart = {c: f"input {c}" for c in names if c.lower() == "n_removed"}
@@ -61,12 +66,20 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of the benchmark items."""
+    """Documents without any passage of the benchmark items.
+
+    Null and empty texts have no words, so they stay; repeated rows stay or go together.  An empty benchmark
+    lets everything stay.  Extra columns go along; an empty table stays empty.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece's place in windows of 4096 tokens."""
+    """Every piece's place in windows of 4096 tokens, each token of each row in exactly one piece.
+
+    A null or empty text is its end mark alone; long texts are cut, repeated rows packed one by one.
+    Columns other than id and text are left behind, whatever their names; an empty table packs to none.
+    """
     return packed_documents(docs)
 
 
