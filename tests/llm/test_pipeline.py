@@ -62,6 +62,14 @@ def test_one_row_without_id_stays_in_a_group_without_ids(spark, small_dir):
     assert Counter(map(tuple, left.collect())) == Counter([(None, alone), (7, PASSAGE), (7, PASSAGE), rows[-1]])
 
 
+def test_a_column_named_like_the_key_is_kept(spark, small_dir):
+    rows = [(None, "some words that are the same", 5), (None, "some words that are the same", 5), (3, "quite other words stand here", 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `Document Key` int")
+    kept = corpus_pipeline.near_duplicates(spark, docs, small_dir)
+    assert kept.columns == docs.columns
+    assert sorted(r["Document Key"] for r in kept.collect()) == [5, 6]
+
+
 def test_edges(spark, small_dir, edge_docs, no_docs):
     for docs in (edge_docs, no_docs):
         for name, step in corpus_pipeline.STAGES:
