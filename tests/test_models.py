@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -317,6 +318,50 @@ def test_minibatch_is_the_same_for_any_tasks_and_jobs(shuffled):
     assert fit(tasks=8, held_rows=1) == one
 
 
+@pytest.mark.parametrize("held", [1, 700])
+def test_more_rows_than_a_task_holds_are_gone_round_in_segments(spark, shuffled, held):
+    """Segments (also a single mini-batch each), ends by patience and no held-out rows give the same as one task."""
+    barriers, real = [], type(shuffled).mapInArrow
+
+    def fit(**how):
+        found = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], batch_size=300, **how)
+        return [(m.history, m.best_epoch, m.theta.tolist()) for m in found]
+
+    def watched(self, *args, barrier=False, **more):
+        barriers.append(barrier)
+        return real(self, *args, barrier=barrier, **more)
+
+    ways = [{"epochs": 3, "epochs_per_job": 2}, {"epochs": 6, "patience": 1, "rate": 0.5}, {"epochs": 2, "validation_split": 0.0}]
+    for way in ways:
+        one = fit(**way)
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(type(shuffled), "mapInArrow", watched)
+            assert fit(held_rows=held, **way) == one
+    assert barriers and not any(barriers)  # no step waits for an exchange
+
+
+def test_a_unit_of_many_rows_is_cut_into_blocks(shuffled, monkeypatch):
+    """A mini-batch of all rows is never one array: blocks are bounded, whatever the tasks."""
+    from claimlens.models import minibatch
+
+    rows = [(0, 0, float(i + 1), float(i), 1.0) for i in range(25)] + [(0, 1, 1.0, 2.0, 3.0)]
+    table = pa.table({n: list(c) for n, c in zip(("batch", "unit", "y", "a", "b"), zip(*rows))})
+    monkeypatch.setattr(minibatch, "BLOCK_ROWS", 10)
+    made = [b.to_pylist()[0] for b in minibatch._pack(np.float64)(iter(table.to_batches(max_chunksize=7)))]
+    assert [(b["unit"], len(b["y"]) // 8) for b in made] == [(0, 10), (0, 10), (0, 5), (1, 1)]
+    assert np.concatenate([np.frombuffer(b["y"]) for b in made]).tolist() == [r[2] for r in rows]
+
+    def fit(**how):
+        found = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], epochs=2, batch_size=10**6, precision=np.float64, **how)
+        return [(m.history, m.theta.tolist()) for m in found]
+
+    cut = fit(tasks=1)
+    assert fit(tasks=3) == cut == fit(tasks=1, held_rows=1)
+    monkeypatch.setattr(minibatch, "BLOCK_ROWS", 10**6)
+    for (h, t), (h_whole, t_whole) in zip(cut, fit(tasks=1)):
+        assert np.allclose(h, h_whole, rtol=1e-9) and np.allclose(t, t_whole, rtol=1e-9, atol=1e-12)
+
+
 def test_minibatch_is_plain_training(shuffled):
     """The same steps in one process over the rows in shuffle order."""
     rows = shuffled.orderBy("shuffle_key", "Id").toPandas()
