@@ -6,7 +6,9 @@ one Spark job per epoch: every task walks through its blocks, starting from the
 parameters of all networks, and returns one row.  In ``local`` mode a
 task takes optimizer steps on mini-batches of its rows, and the resulting parameters are
 averaged with the row counts as weights (one partition is plain mini-batch training).
-How many tasks there are follows from the row count alone, never from the cluster.
+How many parts there are follows from the row count alone, never from the cluster.  A task
+has one part or, of very many, several, each from the same parameters; it returns their sum, so an epoch
+shuffles nothing.
 In ``full`` mode tasks only sum gradients and the step is taken once per epoch.
 The validation loss of an epoch's parameters is measured while the next one reads the
 data.
@@ -42,12 +44,14 @@ cloudpickle.register_pickle_by_value(nets)
 
 # partial results collected directly up to this many; more are summed in groups first
 DIRECT_PARTS = 256
-# Training tasks: one per so many rows.  Part of the method, like the batch size: it decides
+# Parts that a task may have, one after the other, before there are more than DIRECT_PARTS tasks.
+PARTS_PER_TASK = 64
+# Training parts: one per so many rows.  Part of the method, like the batch size: it decides
 # between which rows steps are averaged.
 ROWS_PER_PART = 25_000
 # weights of one model that may come to the driver
 MOST_WEIGHTS = 1_000_000
-BLOCK_SCHEMA = "held boolean, y binary, x binary"
+BLOCK_SCHEMA = "part int, held boolean, y binary, x binary"
 PART_SCHEMA = "part int, payload array<double>"
 
 
@@ -63,16 +67,34 @@ class NetModel:
 
 
 def parts_for(rows: int) -> int:
-    """Number of training tasks for so many rows."""
+    """Number of training parts for so many rows."""
     return max(1, math.ceil(rows / ROWS_PER_PART))
 
 
+def tasks_for(parts: int) -> int:
+    """Number of tasks for so many parts."""
+    return parts if parts <= DIRECT_PARTS else max(DIRECT_PARTS, math.ceil(parts / PARTS_PER_TASK))
+
+
+def _blocks(rows: DataFrame, n_parts: int, id_col: str, order: Sequence[str], batch: int, precision: type) -> DataFrame:
+    """Blocks of the rows (held, claim, features, then ``order``), which are dealt over the parts by ``id_col``."""
+    part = F.pmod(F.hash(id_col), F.lit(n_parts)).alias("_part")
+    return (
+        rows.select(part, "*")
+        .repartitionById(tasks_for(n_parts), F.col("_part") % tasks_for(n_parts))
+        .sortWithinPartitions("_part", *order)
+        .drop(*order)
+        .mapInArrow(_pack_task(batch, precision), BLOCK_SCHEMA)
+    )
+
+
 def _pack_task(batch: int, precision: type = np.float32):
-    """Pack rows (held, claim, features...) into blocks of ``batch`` rows, in order;
+    """Pack rows (part, held, claim, features...) into blocks of ``batch`` rows of a part, in order;
     held-out rows get blocks of their own.  Features get the given precision."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[bool, list[tuple[np.ndarray, np.ndarray]]] = {False: [], True: []}
+        of = None
 
         def blocks(held: bool, last: bool) -> Iterator[pa.RecordBatch]:
             n = sum(len(y) for y, _ in waiting[held])
@@ -84,22 +106,31 @@ def _pack_task(batch: int, precision: type = np.float32):
             for at in range(0, whole, batch):
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array([of], pa.int32()),
                         pa.array([held], pa.bool_()),
                         pa.array([y[at : at + batch].tobytes()], pa.binary()),
                         pa.array([x[at : at + batch].tobytes()], pa.binary()),
                     ],
-                    names=["held", "y", "x"],
+                    names=["part", "held", "y", "x"],
                 )
             waiting[held] = [(y[whole:], x[whole:])]
 
         for record in batches:
             columns = [c.to_numpy(zero_copy_only=False) for c in record.columns]
-            held_out, y = columns[0].astype(bool), columns[1]
-            x = np.column_stack(columns[2:]).astype(precision)
-            for held in (False, True):
-                chosen = held_out == held
-                waiting[held].append((y[chosen], x[chosen]))
-                yield from blocks(held, last=False)
+            parts, held_out, y = columns[0], columns[1].astype(bool), columns[2]
+            x = np.column_stack(columns[3:]).astype(precision)
+            cuts = np.flatnonzero(parts[1:] != parts[:-1]) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(y)]):
+                if a == b:
+                    continue
+                if of != parts[a]:
+                    for held in (False, True):
+                        yield from blocks(held, last=True)
+                    waiting, of = {False: [], True: []}, int(parts[a])
+                for held in (False, True):
+                    chosen = held_out[a:b] == held
+                    waiting[held].append((y[a:b][chosen], x[a:b][chosen]))
+                    yield from blocks(held, last=False)
         for held in (False, True):
             yield from blocks(held, last=True)
 
@@ -109,23 +140,48 @@ def _pack_task(batch: int, precision: type = np.float32):
 def _epoch_task(
     mode: str, specs: list[NetSpec], states: list[nets.Nadam], precision: type = np.float32
 ):
-    """The function run on every partition.  Its row: part number and, in this order, the
+    """The function run on every partition.  Its row: the task's number and, in this order, the
     row counts (train, validation), then per network validation and train loss sums,
-    followed by parameters and moments times the train count (local) or gradient (full)."""
+    followed by parameters and moments times the train count (local) or gradient (full); all
+    added up over the task's parts in their order."""
     step_batch = nets.loss_and_gradient
     predict, deviance, optimizer = nets.predict, nets.deviance, nets.Nadam
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        local = [
-            optimizer(s.theta, s.m, s.v, s.step, s.momentum_product, s.rate) for s in states
-        ]
-        train_loss, val_loss = np.zeros(len(specs)), np.zeros(len(specs))
-        gradients = [np.zeros(s.size) for s in specs]
-        n_train = n_val = 0
+        total, of = None, None
+
+        def start() -> None:
+            nonlocal local, train_loss, val_loss, gradients, n_train, n_val
+            local = [
+                optimizer(s.theta, s.m, s.v, s.step, s.momentum_product, s.rate) for s in states
+            ]
+            train_loss, val_loss = np.zeros(len(specs)), np.zeros(len(specs))
+            gradients = [np.zeros(s.size) for s in specs]
+            n_train = n_val = 0
+
+        def close() -> np.ndarray:
+            payload = [np.array([n_train, n_val], dtype=float)]
+            for k in range(len(specs)):
+                payload.append(np.array([val_loss[k], train_loss[k]]))
+                if mode == "local":
+                    s = local[k]
+                    clock = np.array([s.step, s.momentum_product])
+                    payload += [n_train * part for part in (s.theta, s.m, s.v, clock)]
+                else:
+                    payload.append(gradients[k])
+            found = np.concatenate(payload)
+            return found if total is None else total + found
+
+        local = train_loss = val_loss = gradients = n_train = n_val = None
+        start()
         for record in batches:
-            for held, y_bytes, x_bytes in zip(*record.columns):
+            for part, held, y_bytes, x_bytes in zip(*record.columns):
+                if of not in (None, part):
+                    total = close()
+                    start()
+                of = part
                 y = np.frombuffer(y_bytes.as_buffer(), dtype=float)
                 x = np.frombuffer(x_bytes.as_buffer(), dtype=precision).reshape(len(y), -1)
                 if held.as_py():
@@ -142,25 +198,16 @@ def _epoch_task(
                         local[k].update(gradient / len(y))
                     else:
                         gradients[k] += gradient
-        payload = [np.array([n_train, n_val], dtype=float)]
-        for k in range(len(specs)):
-            payload.append(np.array([val_loss[k], train_loss[k]]))
-            if mode == "local":
-                s = local[k]
-                clock = np.array([s.step, s.momentum_product])
-                payload += [n_train * part for part in (s.theta, s.m, s.v, clock)]
-            else:
-                payload.append(gradients[k])
-        part = TaskContext.get().partitionId()
+        task = TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array([np.concatenate(payload)], pa.list_(pa.float64()))],
+            [pa.array([task], pa.int32()), pa.array([close()], pa.list_(pa.float64()))],
             names=["part", "payload"],
         )
 
     return run
 
 
-def _total(parts: DataFrame, n_parts: int) -> np.ndarray:
+def _total(parts: DataFrame, n_tasks: int) -> np.ndarray:
     """Sum of the partial results in a fixed order, so that a rerun gives the same floats."""
 
     def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -168,8 +215,8 @@ def _total(parts: DataFrame, n_parts: int) -> np.ndarray:
         total = np.sum(np.stack(ordered["payload"].to_list()), axis=0)
         return pd.DataFrame({"part": [int(ordered["part"].iloc[0])], "payload": [total]})
 
-    if n_parts > DIRECT_PARTS:
-        groups = math.isqrt(n_parts)
+    if n_tasks > DIRECT_PARTS:
+        groups = math.isqrt(n_tasks)
         parts = parts.groupBy((F.col("part") % groups).alias("_g")).applyInPandas(
             add_up, PART_SCHEMA
         )
@@ -217,14 +264,10 @@ def fit_nets(
     can_fit = _can_fit(features)
     n_rows, n_fit = flagged.agg(F.count(F.lit(1)), F.count_if(can_fit)).first()
     n_parts = partitions or parts_for(n_fit)
-    blocks = (
-        flagged.filter(can_fit)
-        .repartition(n_parts, id_col)
-        .sortWithinPartitions("shuffle_key", id_col)
-        .drop("shuffle_key", id_col)
-        .mapInArrow(_pack_task(batch_size), BLOCK_SCHEMA)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    n_tasks = tasks_for(n_parts)
+    blocks = _blocks(
+        flagged.filter(can_fit), n_parts, id_col, ["shuffle_key", id_col], batch_size, np.float32
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     start = warm_start or [s.start(mean_claim, seed + k) for k, s in enumerate(specs)]
     states = [
         nets.Nadam(np.asarray(t, dtype=float), np.zeros(s.size), np.zeros(s.size), rate=rate)
@@ -240,7 +283,7 @@ def fit_nets(
         for epoch in range(1, epochs + 2):
             measure_only = epoch == epochs + 1
             task = _epoch_task("full" if measure_only else mode, specs, states)
-            total = _total(blocks.mapInArrow(task, PART_SCHEMA), n_parts)
+            total = _total(blocks.mapInArrow(task, PART_SCHEMA), n_tasks)
             n_train, n_val = total[0], total[1]
             if n_train == 0:
                 raise ValueError("no learn rows to fit on")
@@ -314,15 +357,10 @@ def mean_gradients(
         F.col(id_col).alias("_id"),
     ).filter(_can_fit(features))
     n_parts = parts_for(rows.count())
-    blocks = (
-        rows.repartition(n_parts, "_id")
-        .sortWithinPartitions("_id")
-        .drop("_id")
-        .mapInArrow(_pack_task(batch_size, np.float64), BLOCK_SCHEMA)
-    )
+    blocks = _blocks(rows, n_parts, "_id", ["_id"], batch_size, np.float64)
     specs = [m.spec for m in models]
     states = [nets.Nadam(m.theta, np.zeros(m.spec.size), np.zeros(m.spec.size)) for m in models]
-    total = _total(blocks.mapInArrow(_epoch_task("full", specs, states, np.float64), PART_SCHEMA), n_parts)
+    total = _total(blocks.mapInArrow(_epoch_task("full", specs, states, np.float64), PART_SCHEMA), tasks_for(n_parts))
     n, at, out = total[0], 2, []
     if n == 0:
         raise ValueError("no rows to fit on")

@@ -152,6 +152,30 @@ def test_rows_that_cannot_be_fitted_are_left_out(signal):
     assert all(np.isfinite([t, v]).all() for _, t, v in m.history)
 
 
+def test_tasks_of_several_parts_give_the_sums_of_the_parts(signal, monkeypatch):
+    """Parts and results stay the same; an epoch shuffles nothing and has no more tasks than can be collected."""
+    specs = [NetSpec("f", "ffn", 2.0, 2, (4,)), NetSpec("l", "localglm", 3.0, 2, (4,))]
+    sums = []
+    real = training._total
+    monkeypatch.setattr(training, "_total", lambda parts, n: sums.append((parts.count(), n)) or real(parts, n))
+
+    def fit(mode="local"):
+        sums.clear()
+        return fit_nets(signal, specs, 3.0, ["a", "b"], epochs=2, batch_size=100, partitions=11, mode=mode)
+
+    for mode in ("local", "full"):
+        whole = fit(mode)
+        assert set(sums) == {(11, 11)}
+        monkeypatch.setattr(training, "DIRECT_PARTS", 3)
+        for most, tasks in ((64, 3), (2, 6)):
+            monkeypatch.setattr(training, "PARTS_PER_TASK", most)
+            for a, b in zip(fit(mode), whole):
+                assert np.allclose(a.history, b.history, rtol=1e-9)
+                assert a.theta == pytest.approx(b.theta, rel=1e-6, abs=1e-9)
+            assert set(sums) == {(tasks, tasks)}
+        monkeypatch.setattr(training, "DIRECT_PARTS", 256)
+
+
 def test_no_epoch_with_a_finite_loss_is_an_error(signal):
     spec = [NetSpec("f", "ffn", 3.0, 2, (4,))]
     broken = [np.full(spec[0].size, np.nan)]
