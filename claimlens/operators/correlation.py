@@ -157,5 +157,6 @@ def spearman(df: DataFrame, cols: Sequence[str], digits: int | None = 2) -> Data
         for r in ranks.groupBy("_c", "total").agg(F.avg(away * away).alias("variance")).collect()
     }
     per_column = [known.get(i, (0, 0.0, 0.0)) for i in range(len(cols))]
-    stats = ColumnStats(df.count(), *[[k[i] for k in per_column] for i in range(3)])
-    return pearson(wide_ranks(ranks, cols), cols, digits, stats)
+    n_rows = df.count()
+    stats = ColumnStats(n_rows, *[[k[i] for k in per_column] for i in range(3)])
+    return pearson(wide_ranks(ranks, cols, n_rows), cols, digits, stats)

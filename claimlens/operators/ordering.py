@@ -19,8 +19,9 @@ from claimlens.sources.storage import stage
 _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
-# rows per range of a global sort
-ROWS_PER_RANGE = 2_000_000
+# Rows per range of a global sort.  Sorted in memory, rows are several times as large as in the shuffle, by whose bytes
+# adaptive execution would merge ranges: so many that each is sorted without spilling.
+ROWS_PER_RANGE = 250_000
 
 # distinct values up to which running counts may be made in one task per column
 FEW_VALUES = 300_000
@@ -29,7 +30,7 @@ FEW_VALUES = 300_000
 def _sorted_stage(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     """``df`` should be a written table: it is counted, sampled and sorted in passes of its own."""
     parts = -(-df.count() // ROWS_PER_RANGE)
-    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    if parts > 1:
         ranged = df.repartitionByRange(parts, *order)
     else:  # adaptive execution merges small ranges
         ranged = df.repartitionByRange(*order)

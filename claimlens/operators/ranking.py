@@ -87,7 +87,7 @@ def sorted_ranks(df: DataFrame, cols: Sequence[str], name: str = "ranks", rows_p
     ).filter("_v IS NOT NULL")
     order = ["_c", "_v", "_row"]
     parts = -(-n_rows // rows_per_range)
-    if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    if parts > 1:
         ranged = long.repartitionByRange(parts, *order)
     else:  # adaptive execution merges small ranges
         ranged = long.repartitionByRange(*order)
@@ -135,10 +135,17 @@ def sorted_ranks(df: DataFrame, cols: Sequence[str], name: str = "ranks", rows_p
     return places.join(F.broadcast(edges), ["_part", "_c"]).select("_row", "_c", rank.alias("mid_rank"), "total")
 
 
-def wide_ranks(ranks: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The long table as one row per row again: one shuffle on the row for all columns."""
+def wide_ranks(ranks: DataFrame, cols: Sequence[str], n_rows: int = 0) -> DataFrame:
+    """The long table as one row per row again: one shuffle on the row for all columns.
+
+    ``n_rows``: how many there are, if counted; of many, a task gets ``ROWS_PER_RANGE``.
+    The long rows are shuffled as they are.  Adding up before would only widen them, as hardly two of a row meet in a range.
+    """
+    parts = -(-n_rows // ROWS_PER_RANGE)
+    long = ranks.select("_row", "_c", "mid_rank")
     return (
-        ranks.groupBy("_row")
+        (long.repartition(parts, "_row") if parts > 1 else long.repartition("_row"))
+        .groupBy("_row")
         .agg(*[F.max(F.when(F.col("_c") == i, F.col("mid_rank"))).alias(c) for i, c in enumerate(cols)])
         .drop("_row")
     )

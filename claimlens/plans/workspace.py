@@ -16,7 +16,7 @@ from claimlens.operators.cleaning import filter_claims, number_claims
 from claimlens.operators.features import FeatureSpec, apply_features, fit_features
 from claimlens.operators.split import learn_rows, with_split
 from claimlens.sources import catalog
-from claimlens.sources.claims import VIEW_KEY, claims_view
+from claimlens.sources.claims import VIEW_KEY, claims_of, claims_view, joined_sources
 from claimlens.sources.storage import stage, stage_path, unstage
 
 # the test tables start in 1995; the first year is dropped in place of 1987
@@ -49,17 +49,25 @@ class Workspace:
         view = claims_view(self.spark, self.data_dir, first_year=AFTER_YEAR + 1)
         return filter_claims(view, AFTER_YEAR)
 
+    @property
+    def filtered_sources(self) -> DataFrame:
+        """The same claims as columns of the joined sources."""
+        joined = joined_sources(self.spark, self.data_dir, first_year=AFTER_YEAR + 1)
+        sources = [c for c in joined.columns if c not in (*VIEW_KEY, "Claim")]
+        return filter_claims(claims_of(joined, *sources), AFTER_YEAR).select(*joined.columns)
+
     @cached_property
     def silver(self) -> DataFrame:
         """Filtered claims numbered by descending size, with split and shuffle key.
 
+        What is joined, sorted and written on the way are source columns; the claims' own are made last.
         The hashes behind the split cost more than reading it, so they are written too.  The
         joined claims are written before they are sampled and sorted; that table and the
         sorted one go when silver is there.
         """
-        joined = stage(self.filtered, "filtered-claims")
+        joined = stage(self.filtered_sources, "filtered-claims")
         numbered = number_claims(joined, VIEW_KEY)
-        silver = stage(with_split(numbered), "silver")
+        silver = stage(with_split(claims_of(numbered, "Id")), "silver")
         unstage(numbered)
         unstage(joined)
         return silver

@@ -15,6 +15,8 @@ from claimlens.sources.storage import stage
 # unique row key of the view; used to break ties wherever rows are ordered
 VIEW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 DAY_ZERO = "1995-01-01"
+# Rows up to which the way a table is joined is left to the planner.
+PLANNED_ROWS = 2_000_000
 
 
 def ingest(
@@ -68,9 +70,18 @@ def ingest_checked(
 def claims_view(
     spark: SparkSession, data_dir: str, first_year: int | None = None
 ) -> DataFrame:
-    """Claims derived from lineitem, orders, customer and part.
+    """Claims derived from lineitem, orders, customer and part (see ``joined_sources``)."""
+    return claims_of(joined_sources(spark, data_dir, first_year))
 
-    Each dimension key is unique, so every join keeps the lineitem grain.  With
+
+def joined_sources(
+    spark: SparkSession, data_dir: str, first_year: int | None = None
+) -> DataFrame:
+    """The key, ``Claim`` and the source columns of every claim; ``claims_of`` makes the others from them row by
+    row, so what is shuffled and written meanwhile is only these.
+
+    Each dimension key is unique, so every join keeps the lineitem grain; customers meet the orders, which are
+    fewer and narrower than the lines.  With
     ``first_year`` the accident-year bound is also stated on the source dates, where
     the Parquet scans can use it (the derived ``AccYear`` cannot be pushed down);
     reports never precede accidents, so the same date bounds the ship date.
@@ -79,6 +90,10 @@ def claims_view(
     def table(name: str, *cols: str) -> DataFrame:
         return spark.read.parquet(f"{data_dir}/{name}.parquet").select(*cols)
 
+    def many_rows(name: str) -> bool:
+        """By the counts in the files' footers."""
+        return spark.read.parquet(f"{data_dir}/{name}.parquet").count() > PLANNED_ROWS
+
     lines = table(
         "lineitem",
         *VIEW_KEY,
@@ -96,16 +111,27 @@ def claims_view(
     customers = table("customer", "c_custkey", "c_acctbal")
     parts = table("part", "p_partkey", "p_size")
 
-    joined = (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Sorting the lines for a merge join would spill most of them; with many orders only their side is hashed, by partition.
+    by_hash = {name: many_rows(name) for name in ("orders", "customer", "part")}
+    customers, parts = (t.hint("shuffle_hash") if by_hash[n] else t for n, t in (("customer", customers), ("part", parts)))
+    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    placed = placed.hint("shuffle_hash") if by_hash["orders"] else placed
+    return (
+        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
         .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
+        .drop("o_orderkey", "p_partkey")
+        .withColumn("l_extendedprice", F.col("l_extendedprice").cast(CLAIMS_SCHEMA["Claim"].dataType))
+        .withColumnRenamed("l_extendedprice", "Claim")
     )
+
+
+def claims_of(joined: DataFrame, *more: str) -> DataFrame:
+    """The key and the claims' columns from joined sources, and ``more`` columns of theirs."""
     accident_day = F.datediff("o_orderdate", F.lit(DAY_ZERO).cast("date"))
     report_day = F.datediff("l_shipdate", F.lit(DAY_ZERO).cast("date"))
     expressions = {
-        "Claim": F.col("l_extendedprice"),
+        "Claim": F.col("Claim"),
         "Age": F.col("p_size") * 2,
         "Gender": F.col("l_linestatus"),
         "MaritalStatus": F.col("o_orderstatus"),
@@ -128,4 +154,4 @@ def claims_view(
         expressions[field.name].cast(field.dataType).alias(field.name)
         for field in CLAIMS_SCHEMA.fields
     ]
-    return joined.select(*VIEW_KEY, *typed)
+    return joined.select(*VIEW_KEY, *typed, *more)

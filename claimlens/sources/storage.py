@@ -44,7 +44,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = stage_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
