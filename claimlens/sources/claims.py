@@ -17,6 +17,8 @@ VIEW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 DAY_ZERO = "1995-01-01"
 # Rows up to which the way a table is joined is left to the planner.
 PLANNED_ROWS = 2_000_000
+# Customers that are still broadcast to the lines; more of them meet the orders, which are fewer and narrower.
+FEW_CUSTOMERS = 500_000
 
 
 def ingest(
@@ -80,8 +82,7 @@ def joined_sources(
     """The key, ``Claim`` and the source columns of every claim; ``claims_of`` makes the others from them row by
     row, so what is shuffled and written meanwhile is only these.
 
-    Each dimension key is unique, so every join keeps the lineitem grain; customers meet the orders, which are
-    fewer and narrower than the lines.  With
+    Each dimension key is unique, so every join keeps the lineitem grain.  With
     ``first_year`` the accident-year bound is also stated on the source dates, where
     the Parquet scans can use it (the derived ``AccYear`` cannot be pushed down);
     reports never precede accidents, so the same date bounds the ship date.
@@ -90,9 +91,9 @@ def joined_sources(
     def table(name: str, *cols: str) -> DataFrame:
         return spark.read.parquet(f"{data_dir}/{name}.parquet").select(*cols)
 
-    def many_rows(name: str) -> bool:
-        """By the counts in the files' footers."""
-        return spark.read.parquet(f"{data_dir}/{name}.parquet").count() > PLANNED_ROWS
+    def size(name: str) -> int:
+        """Rows, by the counts in the files' footers."""
+        return spark.read.parquet(f"{data_dir}/{name}.parquet").count()
 
     lines = table(
         "lineitem",
@@ -112,15 +113,23 @@ def joined_sources(
     parts = table("part", "p_partkey", "p_size")
 
     # Sorting the lines for a merge join would spill most of them; with many orders only their side is hashed, by partition.
-    by_hash = {name: many_rows(name) for name in ("orders", "customer", "part")}
-    customers, parts = (t.hint("shuffle_hash") if by_hash[n] else t for n, t in (("customer", customers), ("part", parts)))
-    placed = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
-    placed = placed.hint("shuffle_hash") if by_hash["orders"] else placed
+    sizes = {name: size(name) for name in ("orders", "customer", "part")}
+
+    def hashed(table: DataFrame, name: str) -> DataFrame:
+        return table.hint("shuffle_hash") if sizes[name] > PLANNED_ROWS else table
+
+    of_customer = F.col("o_custkey") == F.col("c_custkey")
+    many_customers = sizes["customer"] > FEW_CUSTOMERS
+    if many_customers:
+        orders = orders.join(hashed(customers, "customer"), of_customer)
+    joined = lines.join(hashed(orders, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).filter(
+        F.col("l_shipdate") >= F.col("o_orderdate")
+    )
+    if not many_customers:
+        joined = joined.join(customers, of_customer)
     return (
-        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
-        .filter(F.col("l_shipdate") >= F.col("o_orderdate"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .drop("o_orderkey", "p_partkey")
+        joined.join(hashed(parts, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .drop("o_orderkey", "o_custkey", "c_custkey", "p_partkey")
         .withColumn("l_extendedprice", F.col("l_extendedprice").cast(CLAIMS_SCHEMA["Claim"].dataType))
         .withColumnRenamed("l_extendedprice", "Claim")
     )
