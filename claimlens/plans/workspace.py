@@ -17,7 +17,7 @@ from claimlens.operators.features import FeatureSpec, apply_features, fit_featur
 from claimlens.operators.split import learn_rows, with_split
 from claimlens.sources import catalog
 from claimlens.sources.claims import VIEW_KEY, claims_of, claims_view, joined_sources
-from claimlens.sources.storage import stage, stage_path, unstage
+from claimlens.sources.storage import sorted_in_memory, stage, stage_path, unstage
 
 # the test tables start in 1995; the first year is dropped in place of 1987
 AFTER_YEAR = 1995
@@ -65,7 +65,8 @@ class Workspace:
         joined claims are written before they are sampled and sorted; that table and the
         sorted one go when silver is there.
         """
-        joined = stage(self.filtered_sources, "filtered-claims")
+        with sorted_in_memory(self.spark):
+            joined = stage(self.filtered_sources, "filtered-claims")
         numbered = number_claims(joined, VIEW_KEY)
         silver = stage(with_split(claims_of(numbered, "Id")), "silver")
         unstage(numbered)

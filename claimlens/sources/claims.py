@@ -15,8 +15,6 @@ from claimlens.sources.storage import stage
 # unique row key of the view; used to break ties wherever rows are ordered
 VIEW_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 DAY_ZERO = "1995-01-01"
-# Rows up to which the way a table is joined is left to the planner.
-PLANNED_ROWS = 2_000_000
 # Customers that are still broadcast to the lines; more of them meet the orders, which are fewer and narrower.
 FEW_CUSTOMERS = 500_000
 
@@ -91,10 +89,6 @@ def joined_sources(
     def table(name: str, *cols: str) -> DataFrame:
         return spark.read.parquet(f"{data_dir}/{name}.parquet").select(*cols)
 
-    def size(name: str) -> int:
-        """Rows, by the counts in the files' footers."""
-        return spark.read.parquet(f"{data_dir}/{name}.parquet").count()
-
     lines = table(
         "lineitem",
         *VIEW_KEY,
@@ -112,23 +106,17 @@ def joined_sources(
     customers = table("customer", "c_custkey", "c_acctbal")
     parts = table("part", "p_partkey", "p_size")
 
-    # Sorting the lines for a merge join would spill most of them; with many orders only their side is hashed, by partition.
-    sizes = {name: size(name) for name in ("orders", "customer", "part")}
-
-    def hashed(table: DataFrame, name: str) -> DataFrame:
-        return table.hint("shuffle_hash") if sizes[name] > PLANNED_ROWS else table
-
     of_customer = F.col("o_custkey") == F.col("c_custkey")
-    many_customers = sizes["customer"] > FEW_CUSTOMERS
+    many_customers = customers.count() > FEW_CUSTOMERS  # from the files' footers
     if many_customers:
-        orders = orders.join(hashed(customers, "customer"), of_customer)
-    joined = lines.join(hashed(orders, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).filter(
+        orders = orders.join(customers, of_customer)
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).filter(
         F.col("l_shipdate") >= F.col("o_orderdate")
     )
     if not many_customers:
         joined = joined.join(customers, of_customer)
     return (
-        joined.join(hashed(parts, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        joined.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .drop("o_orderkey", "o_custkey", "c_custkey", "p_partkey")
         .withColumn("l_extendedprice", F.col("l_extendedprice").cast(CLAIMS_SCHEMA["Claim"].dataType))
         .withColumnRenamed("l_extendedprice", "Claim")

@@ -5,10 +5,15 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_MERGED_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# Bytes of a shuffle up to which partitions are merged, where their rows are then sorted for a join.
+SORTED_BYTES = 8 << 20
 _local_folders: dict[str, str] = {}
 
 
@@ -48,6 +53,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def sorted_in_memory(spark: SparkSession) -> Iterator[None]:
+    """Partitions are merged up to fewer bytes than usual, so that a merge join sorts each without spilling.
+
+    In memory rows are several times as large as in the shuffle.  Hot keys are still split, and what is too
+    large all the same still spills.
+    """
+    before = spark.conf.get(_MERGED_BYTES)
+    spark.conf.set(_MERGED_BYTES, str(SORTED_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_MERGED_BYTES, before)
+
+
 def unstage(df: DataFrame) -> None:
     """Delete the staged tables that ``df`` reads, once nothing needs them any more."""
     spark = df.sparkSession

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from claimlens.operators.cleaning import small_claims
 from claimlens.operators.correlation import mid_ranks, with_ranks
+from claimlens.operators import ordering
 from claimlens.operators.ranking import sorted_ranks, wide_ranks
+from claimlens.sources.claims import claims_of
+from claimlens.sources.storage import SORTED_BYTES, sorted_in_memory
 from claimlens.plans.flagship import severity_by_year
 
 QUERIES = entry.queries()
@@ -119,3 +122,33 @@ def test_ranks_of_any_number_of_columns_take_one_shuffle_back(lab):
     text = plan(wide_ranks(sorted_ranks(lab.features, cols), cols), "simple")
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
     assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text and "Window" not in text
+
+
+def test_ranks_are_shuffled_as_long_rows(lab):
+    """No column per rank before the shuffle: hardly two values of a row meet there."""
+    cols = ["Claim", "Age"]
+    text = plan(wide_ranks(sorted_ranks(lab.features, cols), cols), "simple")
+    assert "Aggregate" not in text.partition("Exchange hashpartitioning")[2]
+
+
+def test_silver_is_joined_and_sorted_as_source_columns(spark, lab):
+    """The claims' own columns are made when silver is written, and are those of the view."""
+    sources = lab.filtered_sources
+    assert not {"AccYear", "RepDelay", "WeeklyPay"} & set(sources.columns)
+    made = claims_of(sources).select(*lab.filtered.columns)
+    assert made.exceptAll(lab.filtered).count() == lab.filtered.exceptAll(made).count() == 0
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    with sorted_in_memory(spark):
+        assert spark.conf.get(key) == str(SORTED_BYTES)
+    assert spark.conf.get(key) == before
+
+
+def test_large_sorts_keep_their_ranges(spark, monkeypatch):
+    """Adaptive execution does not merge the ranges of a counted sort by their bytes in the shuffle."""
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", 150)
+    df = spark.range(1000).withColumn("v", F.col("id") * 7 % 1000)
+    staged = ordering._sorted_stage(df, [F.col("v")], "ranges")
+    assert staged.select("_part").distinct().count() > 4
+    numbered = ordering.dense_ids(df, [F.col("v")], "n")
+    assert numbered.filter("n = v + 1").count() == 1000
