@@ -17,6 +17,9 @@ from claimlens.models.nets import (
     deviance,
     loss_and_gradient,
     predict,
+    stacked_gradients,
+    stacked_losses,
+    stacks,
 )
 from claimlens.models.report import loss_report
 from claimlens.models.scoring import score, score_expressions, with_attention
@@ -364,6 +367,49 @@ def test_more_rows_than_a_task_holds_are_gone_round_in_segments(spark, shuffled,
     assert barriers and not any(barriers)  # no step waits for an exchange
 
 
+@pytest.mark.parametrize("spec", SPECS, ids=lambda s: s.name)
+def test_a_stack_gives_what_its_blocks_give(spec):
+    """Blocks of any sizes, stacked as they come: the losses and gradients of each block, whatever stands beside it."""
+    rng = np.random.default_rng(5)
+    theta = spec.start(3.0, 1) + rng.normal(0, 0.1, spec.size)
+    sizes = [(0, 0, 60), (0, 1, 60), (0, 2, 60), (0, 2, 60), (0, 3, 7), (1, 0, 7), (1, 1, 1), (1, 2, 200)]
+    blocks = [(b, u, rng.gamma(2.0, 2.0, n), rng.normal(size=(n, spec.inputs)).astype(np.float32)) for b, u, n in sizes]
+    made, memory = list(stacks(blocks, 180)), {}
+    assert [(batch, units, x.shape[:2]) for batch, units, _, x in made] == [
+        (0, [0, 1, 2], (60, 3)), (0, [2], (60, 1)), (0, [3], (7, 1)), (1, [0], (7, 1)), (1, [1], (1, 1)), (1, [2], (200, 1))
+    ]
+    at = iter(blocks)
+    for _, _, y, x in made:
+        losses, gradients = stacked_gradients(spec, theta, x, y, memory)
+        held_out = stacked_losses(spec, theta, x, y, memory)
+        for k in range(len(y)):
+            _, _, claims, rows = next(at)
+            loss, gradient = loss_and_gradient(spec, theta, rows, claims)
+            alone = stacked_gradients(spec, theta, rows[:, None], claims[None], {})
+            assert losses[k] == alone[0][0] and (gradients[k] == alone[1][0]).all()
+            assert losses[k] == pytest.approx(loss, rel=1e-6) and np.allclose(gradients[k], gradient, rtol=1e-4, atol=1e-5)
+            assert held_out[k] == pytest.approx(deviance(claims, predict(spec, theta, rows), spec.power).sum(), rel=1e-6)
+    assert next(at, None) is None
+
+
+def test_rows_that_fit_into_a_task_are_not_gone_round(shuffled, monkeypatch):
+    """More rows than a segment has stay with each network's task for the epochs of a job; packed in any number of parts."""
+    from claimlens.models import minibatch
+
+    def fit(**how):
+        found = fit_minibatch(shuffled, MINI, 3.0, ["a", "b"], epochs=3, epochs_per_job=2, batch_size=300, **how)
+        return [(m.history, m.best_epoch, m.theta.tolist()) for m in found]
+
+    gone_round = fit(held_rows=1)
+    monkeypatch.setattr(minibatch, "_relay", None)
+    monkeypatch.setattr(minibatch, "SEGMENT_ROWS", 500)
+    assert fit() == gone_round
+    monkeypatch.setattr(minibatch, "ROWS_PER_RANGE", 700)
+    assert fit() == gone_round
+    sent = shuffled.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert int(sent) != minibatch.BLOCKS_SENT  # the setting is as before
+
+
 def test_a_unit_of_many_rows_is_cut_into_blocks(shuffled, monkeypatch):
     """A mini-batch of all rows is never one array: blocks are bounded, whatever the tasks."""
     from claimlens.models import minibatch
